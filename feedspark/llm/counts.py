@@ -2,52 +2,61 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedspark.llm.common import materialize, table, text_of
-from feedspark.llm.encoding import encoder, slices, units
+from feedspark.llm.encoding import encoder, slices, unit_lists
 
 #: The most frequent pre-tokens, whose counts are broadcast: at most this many rows of at most MAX_HEAD_CHARS characters.
 HEAD_ROWS, MAX_HEAD_CHARS = 1 << 18, 32
 
 
 class PreTokens:
-    """Splits a unit into pre-tokens; remembers ``limit`` units at most.
+    """Splits units into pre-tokens; remembers about ``limit`` units.
 
     A unit with characters beyond U+024F, or with a special string, is one pre-token whole:
     the library then splits it itself, so that no difference between Unicode tables matters."""
 
-    def __init__(self, pattern: str, limit: int = 200_000):
+    def __init__(self, pattern: str, limit: int = 300_000):
         self.split, self.limit, self.known = regex.compile(pattern).findall, limit, {}
 
-    def of(self, unit: str) -> tuple[str, ...]:
-        got = self.known.get(unit)
-        if got is None:
-            if len(self.known) >= self.limit:
-                self.known = {}
-            got = (unit,) if "<|" in unit or max(unit, default="a") > "ɏ" else tuple(self.split(unit))
-            self.known[unit] = got
+    def _of(self, unit: str) -> tuple[str, ...]:
+        return (unit,) if "<|" in unit or max(unit, default="a") > "\u024f" else tuple(self.split(unit))
+
+    def of(self, distinct: list[str]) -> list[tuple[str, ...]]:
+        got = list(map(self.known.get, distinct))
+        if len(self.known) > self.limit:
+            self.known = {}
+        for i, x in enumerate(got):
+            if x is None:
+                got[i] = self.known[distinct[i]] = self._of(distinct[i])
         return got
 
-    def frequencies(self, texts: list[str]) -> Counter:
-        by_unit: Counter = Counter()
-        heads: Counter = Counter()
-        for t in texts:
-            first, *rest = units(t)
-            heads[first] += 1
-            by_unit.update(rest)
-        out: Counter = Counter()
-        for found, before in ((heads, ""), (by_unit, " ")):
-            for u, n in found.items():
-                for p in self.of(before + u):
-                    out[p] += n
-        return out
+    def occurrences(self, texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct pre-tokens, and for each occurrence its text's number and its pre-token's."""
+        lists = unit_lists(texts)
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        flat = lists.flatten()
+        coded = flat.dictionary_encode()
+        heads = flat.take(pa.array(ends[:-1])).to_pylist()
+        distinct = [f" {u}" for u in coded.dictionary.to_pylist()]
+        codes = coded.indices.to_numpy().copy()
+        codes[ends[:-1]] = np.arange(len(heads)) + len(distinct)
+        parts = self.of(distinct + heads)
+        number: dict[str, int] = {}
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        own = np.fromiter((number.setdefault(p, len(number)) for x in parts for p in x), np.int64, int(sizes.sum()))
+        first = np.cumsum(sizes) - sizes
+        many = sizes[codes]
+        doc = np.repeat(np.repeat(np.arange(len(heads)), np.diff(ends)), many)
+        at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[codes], many)
+        return list(number), doc, own[at]
 
 
 _PRE: dict[str, PreTokens] = {}
@@ -76,13 +85,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
     def vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre = _pre(pattern)
         for batch in batches:
-            seen: Counter = Counter()
-            for held in slices((x.as_py() for x in batch.column(0))):
-                seen.update(pre.frequencies(held))
-                if len(seen) > 300_000:
-                    yield pa.RecordBatch.from_pydict({"p": list(seen), "n": pa.array(list(seen.values()), pa.int64())})
-                    seen = Counter()
-            yield pa.RecordBatch.from_pydict({"p": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+            for held in slices(batch.column(0), 16_000_000):
+                names, _, codes = pre.occurrences(held)
+                yield pa.RecordBatch.from_pydict({"p": pa.array(names, pa.string()), "n": pa.array(np.bincount(codes, minlength=len(names)).astype(np.int64))})
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer_path)
@@ -99,30 +104,20 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, known = _pre(pattern), head.value
         for batch in batches:
-            ids, keys, freq, base = [], [], [], []
-
-            def full():
-                return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.string()), pa.array(freq, pa.int64()), pa.array(base, pa.int64())], names=["_r", "p", "freq", "base"])
-
-            for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                total = 0
-                for p, n in pre.frequencies([x.as_py()]).items():
-                    got = known.get(p)
-                    if got is None:
-                        ids.append(r)
-                        keys.append(p)
-                        freq.append(n)
-                        base.append(None)
-                    else:
-                        total += got * n
-                ids.append(r)
-                keys.append(f"\0{r}")  # a row of its own for each document: it meets no pre-token
-                freq.append(0)
-                base.append(total)
-                if len(ids) > 200_000:
-                    yield full()
-                    ids, keys, freq, base = [], [], [], []
-            yield full()
+            row, done = batch.column(0).to_numpy(), 0
+            for held in slices(batch.column(1), 4_000_000):
+                names, doc, codes = pre.occurrences(held)
+                size = np.fromiter((known.get(x, -1) for x in names), np.int64, len(names))
+                in_head = size[codes] >= 0
+                base = np.bincount(doc[in_head], weights=size[codes[in_head]], minlength=len(held)).astype(np.int64)
+                pairs, freq = np.unique(doc[~in_head] * len(names) + codes[~in_head], return_counts=True)
+                own, which = row[done : done + len(held)], np.asarray(names, object)
+                keys = pa.array([*which[pairs % max(1, len(names))], *(f"\0{r}" for r in own)], pa.string())  # a row of its own for each document: it meets no pre-token
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate((own[pairs // max(1, len(names))], own))), keys, pa.array(np.concatenate((freq, np.zeros(len(own), np.int64)))), pa.array([None] * len(freq) + base.tolist(), pa.int64())],
+                    names=["_r", "p", "freq", "base"],
+                )
+                done += len(held)
 
     per_document = rows.select("_r", "t").mapInArrow(documents, "_r long, p string, freq long, base long")
     summed = per_document.join(distinct.select("p", "n_pieces"), "p", "left").groupBy("_r").agg(F.sum(F.coalesce("base", F.col("freq") * F.col("n_pieces"))).alias("n_tokens"))

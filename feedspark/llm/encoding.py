@@ -8,28 +8,40 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Code points that some engine takes for white space. Cuts are made only at spaces beside none of these.
 WHITE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
-BESIDE = [pair for c in WHITE for pair in (f" {c}", f"{c} ")]
 CUT = re.compile(f"(?<![{WHITE}]) (?![{WHITE}])")
+BESIDE = f" [{WHITE}]|[{WHITE}] "
 
 
 def units(text: str) -> list[str]:
     """The text's units: all but the first follow a space, which is left out."""
-    for c in BESIDE:
-        if c in text:
-            return CUT.split(text)
-    return text.split(" ")
+    return CUT.split(text)
+
+
+def unit_lists(texts: pa.StringArray) -> pa.ListArray:
+    """The units of each text. Where no space is beside white space, every space is a cut."""
+    odd = pc.match_substring_regex(texts, BESIDE)
+    split = pc.split_pattern(texts, " ")
+    if not pc.any(odd).as_py():
+        return split
+    return pa.array([units(t.as_py()) if o else s for t, o, s in zip(texts, odd.to_pylist(), split.to_pylist(), strict=True)], split.type)
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; its cache holds ``limit`` units at most."""
+    """Encodes texts to little-endian unsigned 32-bit ids; its cache holds about ``limit`` units.
+
+    Arrow finds the distinct units of the texts at hand, each of which is looked up or encoded
+    once, and puts their ids together. When the cache is full, what these texts use stays."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,22 +52,28 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [units(t) for t in texts]
-        wanted = set().union(*(p[1:] for p in parts)).difference(self.known)
-        if len(self.known) + len(wanted) > self.limit:
-            self.known = {}
-            wanted = set().union(*(p[1:] for p in parts))
-        new = list(wanted)
-        self.known.update(zip(new, self.direct([f" {u}" for u in new]), strict=True))
-        get = self.known.__getitem__
-        out = [head + b"".join(map(get, p[1:])) for head, p in zip(self.direct([p[0] for p in parts]), parts, strict=True)]
-        for u in new:
-            if len(u) > 256:
-                del self.known[u]
-        return out
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids(self, distinct: list[str]) -> list[bytes]:
+        got = list(map(self.known.get, distinct))
+        new = [u for u, x in zip(distinct, got, strict=True) if x is None]
+        if len(self.known) + len(new) > self.limit:
+            self.known = {u: x for u, x in zip(distinct, got, strict=True) if x is not None}
+        ids = dict(zip(new, self.direct([f" {u}" for u in new]), strict=True))
+        self.known.update(x for x in ids.items() if len(x[0]) <= 32)
+        return [ids[u] if x is None else x for u, x in zip(distinct, got, strict=True)]
+
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
+        lists = unit_lists(texts)
+        ends = lists.offsets.to_numpy()
+        flat = lists.flatten()
+        heads = self.direct(flat.take(pa.array(ends[:-1] - ends[0])).to_pylist())
+        coded = flat.dictionary_encode()
+        joined = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        at = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1)[ends - ends[0]].tolist()
+        first = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1)[ends[:-1] - ends[0] + 1].tolist()
+        raw = memoryview(joined.buffers()[2])
+        return [head + bytes(raw[a:b]) for head, a, b in zip(heads, first, at[1:], strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -68,20 +86,20 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def slices(texts: Iterable[str], chars: int = 2_000_000) -> Iterator[list[str]]:
-    """Consecutive texts of about ``chars`` characters together, one at least."""
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= chars:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def slices(texts: pa.StringArray, size: int = 8_000_000) -> Iterator[pa.StringArray]:
+    """Consecutive texts of about ``size`` bytes together, one at least."""
+    if not len(texts):
+        return
+    total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        before = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, before + size, side="right")))
+        yield texts.slice(first, last - first)
+        first = last
 
 
-def encoded(texts: Iterable[str], path: str) -> Iterator[bytes]:
+def encoded(texts: pa.StringArray, path: str, size: int = 8_000_000) -> Iterator[bytes]:
     own = encoder(path)
-    for held in slices(texts):
+    for held in slices(texts, size):
         yield from own.encode(held)

@@ -127,7 +127,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=["part", "pos", "doc_id", "ids", "n", "whole_before", "r", "rank"])
 
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded((x.as_py() for x in batch.column(1)), tokenizer_path), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer_path), strict=True):
                 ids += tail
                 n = len(ids) // 4
                 r = n % window

@@ -210,8 +210,7 @@ def write_token_shards(docs: DataFrame, tokenizer_path: str, end_id: int | None,
                 sink = store.open_output_stream(mine)
                 writer = ShardWriter(sink, width)
             ids = batch.column(0).to_pylist()
-            texts = (x.as_py() for x in batch.column(1))
-            for doc_id, got in zip(ids, encoded(texts, tokenizer_path), strict=True):
+            for doc_id, got in zip(ids, encoded(batch.column(1), tokenizer_path), strict=True):
                 writer.add(key_of(doc_id), np.frombuffer(got + tail, "<u4"))
             keys = [*keys[:1], ids[0], ids[-1]]
         if writer is not None:
