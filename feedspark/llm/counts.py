@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from feedspark.llm.common import materialize, table, text_of
 from feedspark.llm.encoding import encoder, slices, unit_lists
 
-#: The most frequent pre-tokens, whose counts are broadcast: at most this many rows of at most MAX_HEAD_CHARS characters.
-HEAD_ROWS, MAX_HEAD_CHARS = 1 << 18, 32
+#: Pre-tokens that make up at least 1 / HEAD_SHARE of all occurrences are the head, which is
+#: broadcast. There can be HEAD_SHARE of them at most, each of at most MAX_HEAD_CHARS characters;
+#: in texts, where frequencies fall off, there are far fewer.
+HEAD_SHARE, MAX_HEAD_CHARS = 1 << 22, 32
 
 
 class PreTokens:
@@ -68,11 +70,11 @@ def _pre(pattern: str) -> PreTokens:
     return _PRE[pattern]
 
 
-def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", head_rows: int = HEAD_ROWS) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", head_share: int = HEAD_SHARE) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes (UTF-8), n_tokens.
 
     1. Pre-token frequencies over all documents: counted by task, then summed.
-    2. The ``head_rows`` most frequent ones get their number of pieces and are broadcast.
+    2. Each distinct one gets its number of pieces, once. The frequent ones are broadcast.
     3. Documents' pre-token frequencies are summed where they are for pre-tokens of the head;
        the others leave the task as (row, pre-token, frequency), are joined to the pieces of
        the distinct pre-tokens, each counted once, and are summed by row.
@@ -98,8 +100,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
 
     counted = rows.select("t").mapInArrow(vocabulary, "p string, n long").groupBy("p").agg(F.sum("n").alias("n"))
     distinct = materialize(counted.mapInArrow(pieces, "p string, n long, n_pieces long"))
-    ranked = distinct.filter(F.char_length("p") <= MAX_HEAD_CHARS).orderBy(F.desc("n"), "p").limit(head_rows)
-    head = spark.sparkContext.broadcast(dict(map(tuple, ranked.select("p", "n_pieces").collect())))
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    frequent = distinct.filter((F.char_length("p") <= MAX_HEAD_CHARS) & (F.col("n") * head_share >= total))
+    head = spark.sparkContext.broadcast(dict(map(tuple, frequent.select("p", "n_pieces").toLocalIterator())))
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, known = _pre(pattern), head.value
