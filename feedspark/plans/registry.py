@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedspark.plans import compression, presence, revisions, versions
+from feedspark.plans import compression, coverage, presence, revisions, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for module in (revisions, compression, presence, versions):
+for module in (revisions, compression, presence, versions, coverage):
     QUERIES |= module.QUERIES
     SQL |= module.SQL
