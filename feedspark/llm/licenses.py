@@ -28,9 +28,8 @@ TEMPLATES = (
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
 )
-#: Words of each document that are looked up: those of the highest IDF among the licence words.
-#: Whatever they are, every alignment through one of a template's RARE rarest words is found.
-RARE, COVERAGE = 3, 0.6
+#: Least IDF-weighted share of a template's words that stand at their places.
+COVERAGE = 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -45,11 +44,13 @@ def license_scan(docs: DataFrame, base: dict[str, str] | None = None, templates:
 
     1. One pass keeps, of each text, the words of the licence vocabulary with their positions.
     2. Document frequencies of these words, over all documents, give their IDF.
-    3. Each template's RARE words of the highest IDF are its keys. An occurrence of a key at
-       word p whose template position is q proposes the start p - q.
-    4. At each proposed start the template's other words are intersected by relative position:
-       coverage is the IDF-weighted share of the template's words that stand at their places.
-       A match has all words of a mandatory phrase in place and coverage of COVERAGE or more.
+    3. The word of the highest IDF in a template's mandatory phrase is its key. An occurrence
+       at word p whose template position is q proposes the start p - q. As a match has the
+       whole phrase in place, its key is there: no match is lost.
+    4. Only at proposed starts, the template's other words are intersected with the text's by
+       relative position: coverage is the IDF-weighted share of the template's words that
+       stand at their places. A match has all words of the mandatory phrase in place and
+       coverage of COVERAGE or more.
     Base phrases are found in the same way, with all their words in place.
 
     The vocabulary and templates are fixed, small tables and are broadcast. Only documents
@@ -78,15 +79,18 @@ def license_scan(docs: DataFrame, base: dict[str, str] | None = None, templates:
     idf = {x: math.log((n_docs + 1) / (frequency.get(x, 0) + 1)) + 1e-3 for x in vocabulary}
     rows = []
     for n, (kind, _, label, ws, must) in enumerate(entries):
-        keys = sorted(range(len(ws)), key=lambda i: (-idf[ws[i]], i))[:RARE]
+        key = min(must, key=lambda i: (-idf[ws[i]], i))
         weight = sum(idf[x] for x in ws)
-        rows += [(x, n, kind, label, i, i in keys, i in must, len(must), len(ws), idf[x] / weight) for i, x in enumerate(ws)]
-    postings = F.broadcast(spark.createDataFrame(rows, "word string, entry int, kind string, label string, q int, key boolean, must boolean, n_must int, n_all int, share double"))
+        rows += [(x, n, kind, label, i, i == key, i in must, len(must), len(ws), idf[x] / weight) for i, x in enumerate(ws)]
+    postings = spark.createDataFrame(rows, "word string, entry int, kind string, label string, q int, key boolean, must boolean, n_must int, n_all int, share double")
 
-    placed_at = occurrences.join(postings, "word").withColumn("start", F.col("at") - F.col("q"))
-    aligned = placed_at.groupBy("_r", "entry", "kind", "label", "n_must", "n_all", "start").agg(
-        F.count(F.lit(1)).alias("n_found"), F.sum(F.col("must").cast("int")).alias("found_must"), F.max("key").alias("proposed"), F.sum("share").alias("coverage"))
-    places = aligned.filter(F.when(F.col("kind") == "base", F.col("n_found") == F.col("n_all")).otherwise(F.col("proposed") & (F.col("found_must") == F.col("n_must")) & (F.col("coverage") >= COVERAGE)))
+    keys = F.broadcast(postings.filter("key").select("word", "entry", "q"))
+    proposed = materialize(occurrences.join(keys, "word").select("_r", "entry", (F.col("at") - F.col("q")).alias("start")))
+    wanted = proposed.join(F.broadcast(postings.drop("key")), "entry").withColumn("at", F.col("start") + F.col("q"))
+    near = scanned.join(proposed.select("_r").distinct(), "_r", "left_semi").select("_r", F.explode("occ").alias("o")).select("_r", "o.word", "o.at")
+    aligned = wanted.join(near, ["_r", "word", "at"]).groupBy("_r", "entry", "kind", "label", "n_must", "n_all", "start").agg(
+        F.count(F.lit(1)).alias("n_found"), F.sum(F.col("must").cast("int")).alias("found_must"), F.sum("share").alias("coverage"))
+    places = aligned.filter(F.when(F.col("kind") == "base", F.col("n_found") == F.col("n_all")).otherwise((F.col("found_must") == F.col("n_must")) & (F.col("coverage") >= COVERAGE)))
     is_base = F.col("kind") == "base"
     matches = places.groupBy("_r").agg(
         F.count(F.when(is_base, 1)).alias("n_base"),
