@@ -53,3 +53,23 @@ def tie_of(text_col: str) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def filter_rows(docs: DataFrame, keys: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that ``keys`` (doc_id, text_key) names: 'left_semi' keeps them, 'left_anti' drops them.
+
+    Other columns stay as they are, whatever their names."""
+    o, k = fresh(docs, "_order_id", "_text_key")
+    own = keys.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(o), F.col("text_key").alias(k)).distinct()
+    rows = docs.withColumns({o: order_id(id_col), k: F.xxhash64(text_of(text_col))})
+    return rows.join(own, [o, k], how).select(*docs.columns)

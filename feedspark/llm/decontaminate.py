@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import table, text_of
+from feedspark.llm.common import filter_rows, table, text_of
 
 WINDOW = 13
 #: An automaton takes this many characters of windows at most (about 60 bytes of memory each);
@@ -113,9 +113,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without contamination, with all their columns (anti join with the few contaminated ones)."""
-    bad = contamination(docs, benchmark, id_col, text_col).filter("contaminated").select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_o"), F.col("text_key").alias("_k")).distinct()
-    rows = docs.withColumns({"_o": F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), "_k": F.xxhash64(text_of(text_col))})
-    return rows.join(bad, ["_o", "_k"], "left_anti").select(*docs.columns)
+    bad = contamination(docs, benchmark, id_col, text_col).filter("contaminated").select("doc_id", "text_key")
+    return filter_rows(docs, bad, "left_anti", id_col, text_col)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

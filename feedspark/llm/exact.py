@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import materialize, order_id, table, text_of
+from feedspark.llm.common import filter_rows, fresh, materialize, order_id, table, text_of
 
 #: A digest in more than this share of the rows is surely among the candidates, of which there are at most 1 / SUPPORT.
 SUPPORT = 1 / 2000
@@ -46,22 +46,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return both.select("doc_id", F.col("_w.doc_id").alias("keep_id"), "group_size", (F.col("_r") == F.col("_w.r")).alias("kept"), "text_sha256", "n_chars", "text_key")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` named by ``kept`` (doc_id, text_key: pairs without repeats), one for each pair."""
-    own = kept.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_o"), F.col("text_key").alias("_k"))
-    rows = docs.withColumns({"_o": order_id(id_col), "_k": F.xxhash64(text_of(text_col))})
-    return rows.join(own, ["_o", "_k"], "left_semi")
-
-
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns: one row of each group."""
     verdict = exact_duplicates(docs, id_col, text_col)
-    chosen = verdict.filter("kept").select("doc_id", "text_key")
-    rows = keep_rows(docs, chosen, id_col, text_col)
+    rows = filter_rows(docs, verdict.filter("kept"), "left_semi", id_col, text_col)
     # Rows that repeat identifier and text both: only these few are shuffled, and one of each is kept.
-    twins = verdict.groupBy("doc_id", "text_key").count().filter("count > 1").select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_o"), F.col("text_key").alias("_k"), F.lit(True).alias("_twin"))
-    marked = materialize(rows.join(twins, ["_o", "_k"], "left"))
-    return marked.filter("_twin is null").unionByName(marked.filter("_twin").dropDuplicates(["_o", "_k"])).select(*docs.columns)
+    twins = verdict.groupBy("doc_id", "text_key").count().filter("count > 1")
+    if twins.isEmpty():
+        return rows
+    o, k = fresh(docs, "_order_id", "_text_key")
+    repeated = filter_rows(rows, twins, "left_semi", id_col, text_col).withColumns({o: order_id(id_col), k: F.xxhash64(text_of(text_col))})
+    return filter_rows(rows, twins, "left_anti", id_col, text_col).unionByName(repeated.dropDuplicates([o, k]).select(*docs.columns))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

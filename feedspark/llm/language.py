@@ -16,7 +16,8 @@ from feedspark.llm.common import table, text_of
 WINDOW, DIM, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 #: Labelled texts of each language that the network is trained on, about this many at most, and characters taken of each (from a place that a hash chooses).
 TRAIN_TEXTS, TRAIN_CHARS = 1_200, 512
-EPOCHS, BATCH, RATE, SEED = 6, 64, 0.004, 11
+#: Training passes over the sample EPOCHS times, and more often if these are fewer than STEPS batches.
+EPOCHS, STEPS, BATCH, RATE, SEED = 6, 500, 64, 0.004, 11
 #: A document is rejected if it has no letter, or if its best language has less than this probability.
 LEAST_SCORE = 0.3
 UNKNOWN = "und"
@@ -107,6 +108,7 @@ def train(samples: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = SEED
     names = ("vectors", "weights", "bias", "out", "out_bias")
     first, second, step = ({n: np.zeros_like(getattr(net, n)) for n in names} for _ in range(2)), None, 0
     first, second = first
+    epochs = max(epochs, -(-STEPS // -(-len(x) // BATCH)))
     for epoch in range(epochs):
         order = r.permutation(len(x))
         for i in range(0, len(x), BATCH):
