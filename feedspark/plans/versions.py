@@ -58,7 +58,7 @@ SQL = {
     "day_end_version": _H + "SELECT d.day, h.version FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d ASOF LEFT JOIN h ON CAST(d.day + 1 AS TIMESTAMP) > h.checked_at",
     "version_timeline": _H + """, n AS (SELECT *, lead(checked_at) OVER (ORDER BY checked_at) AS nxt, CASE WHEN version = lag(version) OVER (ORDER BY checked_at) THEN 0 ELSE 1 END AS new FROM h),
 r AS (SELECT *, sum(new) OVER (ORDER BY checked_at) AS run FROM n)
-SELECT version, epoch_us(min(checked_at)) AS from_us, epoch_us(max_by(nxt, checked_at)) AS to_us, count(*) AS n_checks FROM r GROUP BY run, version""",
+SELECT version, epoch_us(min(checked_at)) AS from_us, CASE WHEN count(*) = count(nxt) THEN epoch_us(max(nxt)) END AS to_us, count(*) AS n_checks FROM r GROUP BY run, version""",
     "static_match_rates": _M + """, b AS (SELECT mode, sum(n) AS updates, sum(CASE WHEN trip_matched THEN n ELSE 0 END) AS trip_matches, sum(CASE WHEN exact THEN n ELSE 0 END) AS exact_matches FROM m GROUP BY mode),
 a AS (SELECT * FROM b UNION ALL SELECT 'all', sum(updates), sum(trip_matches), sum(exact_matches) FROM b)
 SELECT mode, CAST(updates AS BIGINT) AS updates, CAST(trip_matches AS BIGINT) AS trip_matches, CAST(exact_matches AS BIGINT) AS exact_matches, exact_matches / updates AS exact_rate,

@@ -29,7 +29,7 @@ def make(seed, n=400):
     r, out, t = random.Random(seed), [], 0.0
     for i in range(n):
         t += r.choice([0, 1, 5, 30])
-        out.append((i, r.choice(["a", "b", None]), f"d{int(t) // 2000}", t, r.choice("pq") if r.random() < 0.1 else "p", r.choice([None, *range(9)]) and float(r.randrange(9))))
+        out.append((i, r.choice(["a", "b", None]), f"d{int(t) // 2000}", t, r.choice("pq") if r.random() < 0.1 else "p", None if r.random() < 0.1 else float(r.randrange(9))))
     return out
 
 
