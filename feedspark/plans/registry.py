@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedspark.plans import compression, coverage, presence, revisions, shapes, versions
+from feedspark.plans import compression, coverage, evidence, presence, revisions, shapes, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for module in (revisions, compression, presence, versions, coverage, shapes):
+for module in (revisions, compression, presence, versions, coverage, shapes, evidence):
     QUERIES |= module.QUERIES
     SQL |= module.SQL
