@@ -19,6 +19,10 @@ STOP_RELATION = {0: "SCHEDULED", 1: "SKIPPED", 2: "NO_DATA", 3: "UNSCHEDULED"}
 STOP_STATUS = {0: "INCOMING_AT", 1: "STOPPED_AT", 2: "IN_TRANSIT_TO"}
 CONGESTION = {0: "UNKNOWN_CONGESTION_LEVEL", 1: "RUNNING_SMOOTHLY", 2: "STOP_AND_GO", 3: "CONGESTION", 4: "SEVERE_CONGESTION"}
 OCCUPANCY = {0: "EMPTY", 1: "MANY_SEATS_AVAILABLE", 2: "FEW_SEATS_AVAILABLE", 3: "STANDING_ROOM_ONLY", 4: "CRUSHED_STANDING_ROOM_ONLY", 5: "FULL", 6: "NOT_ACCEPTING_PASSENGERS", 7: "NO_DATA_AVAILABLE", 8: "NOT_BOARDABLE"}
+CAUSE = {1: "UNKNOWN_CAUSE", 2: "OTHER_CAUSE", 3: "TECHNICAL_PROBLEM", 4: "STRIKE", 5: "DEMONSTRATION", 6: "ACCIDENT", 7: "HOLIDAY", 8: "WEATHER", 9: "MAINTENANCE", 10: "CONSTRUCTION", 11: "POLICE_ACTIVITY", 12: "MEDICAL_EMERGENCY"}
+EFFECT = {1: "NO_SERVICE", 2: "REDUCED_SERVICE", 3: "SIGNIFICANT_DELAYS", 4: "DETOUR", 5: "ADDITIONAL_SERVICE", 6: "MODIFIED_SERVICE", 7: "OTHER_EFFECT", 8: "UNKNOWN_EFFECT", 9: "STOP_MOVED", 10: "NO_EFFECT", 11: "ACCESSIBILITY_ISSUE"}
+SEVERITY = {1: "UNKNOWN_SEVERITY", 2: "INFO", 3: "WARNING", 4: "SEVERE"}
+EFFECT_TYPE = {1: "NO_SERVICE", 2: "WARNING"}
 WHEELCHAIR = {0: "NO_VALUE", 1: "UNKNOWN", 2: "WHEELCHAIR_ACCESSIBLE", 3: "WHEELCHAIR_INACCESSIBLE"}
 
 
@@ -109,31 +113,101 @@ def trip_updates(polls: DataFrame) -> DataFrame:
     )
 
 
-def alerts(polls: DataFrame) -> DataFrame:
-    """One row for each selector of an alert, one without where it has none; lists as JSON, with their first entry in columns."""
-    df, a, s = entities(polls), "entity.alert", "_selector"
-    df = df.filter(F.col(a).isNotNull() | F.coalesce(field(df, "entity.is_deleted", "boolean"), F.lit(False)))
-    selectors = F.col(f"{a}.informed_entity")
-    df = df.withColumn("_json", F.to_json(selectors)).select("*", F.explode_outer(selectors).alias(s))
-    has = F.col(a).isNotNull()
+def _sub(df: DataFrame, path: str) -> T.StructType:
+    """The schema of the items of a list, empty where the schema lacks the list."""
+    at: T.DataType = df.schema
+    for name in path.split("."):
+        if not isinstance(at, T.StructType) or name not in at.fieldNames():
+            return T.StructType([])
+        at = at[name].dataType
+    return at.elementType if isinstance(at, T.ArrayType) and isinstance(at.elementType, T.StructType) else T.StructType([])
 
-    def listed(name: str) -> Column:
-        return F.when(has, F.coalesce(field(df, f"{a}.{name}", "string"), F.lit("[]")))
 
-    def texts(name: str) -> list[Column]:
-        at = f"{a}.{name}.translation"
-        if not field_exists(df, at):
-            return [F.lit(None).cast("string").alias(name), F.when(has, "[]").alias(f"{name}_json")]
-        return [F.get(F.col(at), 0)["text"].alias(name), F.when(has, F.coalesce(F.to_json(F.col(at)), F.lit("[]"))).alias(f"{name}_json")]
+def _item(item: Column, schema: T.StructType, name: str, kind: str) -> Column:
+    """A field of a list's item, null where the schema lacks it; empty texts are null."""
+    if name not in schema.fieldNames():
+        return F.lit(None).cast(kind)
+    return empty_to_null(item[name]) if kind == "string" and isinstance(schema[name].dataType, T.StringType) else item[name].cast(kind)
 
-    period = F.get(F.col(f"{a}.active_period"), 0) if field_exists(df, f"{a}.active_period") else None
-    ends = [(period[n] if period is not None else F.lit(None)).cast("long").alias(f"active_period_{n}") for n in ("start", "end")]
-    chosen = [field(df, f"{s}.{n}", k).alias(f"affected_{n}") for n, k in (("agency_id", "string"), ("route_id", "string"), ("route_type", "long"), ("stop_id", "string"), ("direction_id", "long"))]
-    trip = [field(df, f"{s}.trip.{n}", k).alias(f"affected_trip_{n}".replace("trip_trip", "trip")) for n, k in (("trip_id", "string"), ("route_id", "string"), ("direction_id", "long"), ("start_time", "string"), ("start_date", "string"))]
-    return df.select(
-        *poll_columns(df), *[field(df, f"{a}.{n}", "long").alias(n) for n in ("cause", "effect", "severity_level")], *texts("header_text"), *texts("description_text"), *texts("url"),
-        *ends, listed("active_period").alias("active_periods_json"), F.when(has, F.coalesce("_json", F.lit("[]"))).alias("informed_entities_json"), *chosen, *trip,
-    )
+
+def _named_struct(values: dict[str, Column]) -> Column:
+    """A struct whose fields are in the order of their names."""
+    return F.named_struct(*[x for n in sorted(values) for x in (F.lit(n), values[n])])
+
+
+def _list_json(df: DataFrame, path: str, build) -> Column:
+    """Canonical JSON of a list: keys in order, nulls kept, '[]' for none."""
+    schema = _sub(df, path)
+    if not schema.fieldNames():
+        return F.lit("[]")
+    return F.coalesce(F.to_json(F.transform(F.col(path), lambda x: build(x, schema)), {"ignoreNullFields": "false"}), F.lit("[]"))
+
+
+def _translations(x: Column, s: T.StructType) -> Column:
+    return _named_struct({"language": _item(x, s, "language", "string"), "text": x["text"]})
+
+
+def _periods(x: Column, s: T.StructType) -> Column:
+    return _named_struct({n: _item(x, s, n, "long") for n in ("start", "end")})
+
+
+def _trip_json(x: Column, s: T.StructType) -> Column:
+    trip = s["trip"].dataType if "trip" in s.fieldNames() else T.StructType([])
+    get = lambda n, k: _item(x["trip"], trip, n, k) if trip.fieldNames() else F.lit(None).cast(k)
+    number = get("schedule_relationship", "int")
+    named = {"schedule_relationship": number, "schedule_relationship_name": enum_name(number, TRIP_RELATION), "direction_id": get("direction_id", "long")}
+    modified = F.to_json(x["trip"]["modified_trip"]) if "modified_trip" in trip.fieldNames() else F.lit(None).cast("string")
+    named |= {"modified_trip_json": modified} | {n: get(n, "string") for n in ("route_id", "start_date", "start_time", "trip_id")}
+    return _named_struct(named)
+
+
+def _selector_json(x: Column, s: T.StructType) -> Column:
+    kinds = {"agency_id": "string", "direction_id": "long", "route_id": "string", "route_type": "long", "stop_id": "string"}
+    return _named_struct({n: _item(x, s, n, k) for n, k in kinds.items()} | {"trip": _trip_json(x, s)})
+
+
+def _route_json(x: Column, s: T.StructType) -> Column:
+    cause, effect, kind = (_item(x, s, n, "int") for n in ("cause", "effect", "effect_type"))
+    text = s["header_text"].dataType if "header_text" in s.fieldNames() else T.StructType([])
+    empty = F.array().cast("array<struct<language:string,text:string>>")
+    texts = empty
+    if "translation" in text.fieldNames():
+        texts = F.coalesce(F.transform(x["header_text"]["translation"], lambda t: _translations(t, text["translation"].dataType.elementType)), empty)
+    numbers = {"cause": (cause, CAUSE), "effect": (effect, EFFECT), "effect_type": (kind, EFFECT_TYPE)}
+    named = {n: v for n, (v, _) in numbers.items()} | {f"{n}_name": enum_name(v, names) for n, (v, names) in numbers.items()}
+    return _named_struct(named | {"header_text": texts, "route_id": _item(x, s, "route_id", "string")})
+
+
+def alerts(polls: DataFrame) -> DataFrame:
+    """One row for each selector of an alert, one without where it has none.
+
+    The alert's lists are repeated on each row as canonical JSON, computed once for each alert
+    before its selectors are exploded; first texts and periods are columns too."""
+    df, a, s = entities(polls), "entity.alert", "_selector"
+    has = F.col(a).isNotNull()
+    df = df.filter(has | F.coalesce(field(df, "entity.is_deleted", "boolean"), F.lit(False)))
+
+    def listed(path: str, build, name: str) -> Column:
+        return F.when(has, _list_json(df, f"{a}.{path}", build)).alias(name)
+
+    def first(path: str, name: str, kind: str) -> Column:
+        schema = _sub(df, f"{a}.{path}")
+        return _item(F.get(F.col(f"{a}.{path}"), 0), schema, name, kind) if name in schema.fieldNames() else F.lit(None).cast(kind)
+
+    texts = [c for n in ("header_text", "description_text", "url") for c in (first(f"{n}.translation", "text", "string").alias(n), listed(f"{n}.translation", _translations, f"{n}_json"))]
+    texts += [listed(f"{n}.translation", _translations, f"{n}_json") for n in ("tts_header_text", "tts_description_text", "image_alternative_text")]
+    texts += [field(df, f"{a}.{n}", "string").alias(f"{n}_json") for n in ("image", "cause_detail", "effect_detail")]
+    periods = [first("active_period", n, "long").alias(f"active_period_{n}") for n in ("start", "end")]
+    periods += [listed(f"{n}_period", _periods, f"{n}_periods_json") for n in ("active", "communication", "impact")]
+    own = [listed("bkk.startText.translation", _translations, "bkk_start_text_json"), listed("bkk.endText.translation", _translations, "bkk_end_text_json")]
+    own += [field(df, f"{a}.bkk.modifiedTime", "long").alias("bkk_modified_time"), listed("bkk.route", _route_json, "bkk_route_details_json")]
+    plain = [c for n, names in (("cause", CAUSE), ("effect", EFFECT), ("severity_level", SEVERITY)) for c in _named(df, f"{a}.{n}", n, names)]
+    base = [*poll_columns(df), *plain, *texts, *periods, listed("informed_entity", _selector_json, "informed_entities_json"), *own]
+    selectors = F.col(f"{a}.informed_entity") if field_exists(df, f"{a}.informed_entity") else F.array().cast("array<struct<route_id:string>>")
+    rows = df.select(*base, F.explode_outer(selectors).alias(s))
+    chosen = [field(rows, f"{s}.{n}", k).alias(f"affected_{n}") for n, k in (("agency_id", "string"), ("route_id", "string"), ("route_type", "long"), ("stop_id", "string"), ("direction_id", "long"))]
+    trip = [field(rows, f"{s}.trip.{n}", k).alias(f"affected_trip_{n}".replace("trip_trip", "trip")) for n, k in (("trip_id", "string"), ("route_id", "string"), ("direction_id", "long"), ("start_time", "string"), ("start_date", "string"))]
+    return rows.select("*", *chosen, *trip, *_named(rows, f"{s}.trip.schedule_relationship", "affected_trip_schedule_relationship", TRIP_RELATION)).drop(s)
 
 
 def valid_poll(entities_col: str, expected: str, others: tuple[str, ...] = ()) -> Column:

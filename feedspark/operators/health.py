@@ -24,16 +24,21 @@ def unchanged_since(polls: DataFrame, feed: list[str], order: list[str], value:
     return polls.withColumn("_at", F.when(changed, F.col(time))).withColumn(name, F.last("_at", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_at")
 
 
-def freshness(polls: DataFrame, now: Column, source: Column, content_since: Column, header_since: Column, advisory: Column, empty: Column, limits: tuple[float, float, float] = (180, 300, 300)) -> DataFrame:
-    """Adds ``flags``. An advisory feed (alerts) only warns about its header and unchanged content; an empty one not at all."""
-    stale, frozen, header = limits
-    plain = ~advisory
+def freshness(polls: DataFrame, now: Column, source: Column, content_since: Column, header_since: Column, advisory: Column, empty: Column, limits: tuple[float, float, float] = (180, 300, 86_400), newest_entity: Column | None = None) -> DataFrame:
+    """Adds ``flags``. ``limits``: age of a source, seconds without change, the same for advisory feeds (alerts).
+
+    An advisory feed only warns: about its header, and about content that does not change unless it is empty."""
+    stale, plain_frozen, advisory_frozen = limits
+    frozen = F.when(advisory, F.lit(float(advisory_frozen))).otherwise(F.lit(float(plain_frozen)))
+    old, content, header = now - source > stale, now - content_since > frozen, now - header_since > frozen
+    entity = now - newest_entity > stale if newest_entity is not None else F.lit(False)
     rules = [
-        ("source_timestamp_stale", plain & (now - source > stale)),
-        ("source_timestamp_stale_warning", advisory & ~empty & (now - source > stale)),
-        ("payload_frozen", plain & (now - content_since > frozen)),
-        ("content_unchanged_warning", advisory & ~empty & (now - content_since > frozen)),
-        ("header_frozen", plain & (now - header_since > header)),
+        ("source_timestamp_stale", ~advisory & old),
+        ("payload_frozen", ~advisory & content),
+        ("source_timestamp_frozen", ~advisory & header),
+        ("source_timestamp_unchanged_warning", advisory & (F.coalesce(old, F.lit(False)) | F.coalesce(header, F.lit(False)))),
+        ("payload_unchanged_warning", advisory & ~empty & content),
+        ("entity_timestamp_stale", ~advisory & entity),
     ]
     return polls.withColumn("flags", flag_list(rules))
 

@@ -69,7 +69,7 @@ def unchanged_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     now, since = F.col("us") / 1e6, F.col("since_us") / 1e6
     advisory, empty = F.col("event_type") == "error", F.col("value") < 5
-    return health.freshness(_content(spark, sf_dir), now, now - 4 * F.col("k"), since, since, advisory, empty, (180, 1800, 7200))
+    return health.freshness(_content(spark, sf_dir), now, now - 4 * F.col("k"), since, since, advisory, empty, (180, 1800, 7200), F.when(F.col("value") > 90, now - 8 * F.col("k")))
 
 
 def freshness_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +89,9 @@ s AS (SELECT event_type, day, cadence, count(*) AS attempts, count_if(success) A
  min(CASE WHEN success AND parse_ok THEN us END) AS first_us, max(CASE WHEN success AND parse_ok THEN us END) AS last_us, greatest(1, CAST(round_even(86400.0 / cadence, 0) AS BIGINT)) AS expected FROM t GROUP BY ALL),
 d AS (SELECT event_type, day, cadence, attempts, CAST(responses AS BIGINT) AS responses, CAST(parsed AS BIGINT) AS parsed, CAST(data_polls AS BIGINT) AS data_polls, CAST(misses AS BIGINT) AS misses, runs, first_us, last_us, expected, round(100.0 * data_polls / expected, 2) AS coverage FROM s),
 u AS (SELECT *, max(began) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS since_us FROM (SELECT *, CASE WHEN row_number() OVER w = 1 OR floor(value / 20) IS DISTINCT FROM lag(floor(value / 20)) OVER w THEN us END AS began FROM p WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))),
-f AS (SELECT *, list_filter([CASE WHEN event_type <> 'error' AND 4 * k > 180 THEN 'source_timestamp_stale' END, CASE WHEN event_type = 'error' AND value >= 5 AND 4 * k > 180 THEN 'source_timestamp_stale_warning' END,
- CASE WHEN event_type <> 'error' AND us - since_us > 1800000000 THEN 'payload_frozen' END, CASE WHEN event_type = 'error' AND value >= 5 AND us - since_us > 1800000000 THEN 'content_unchanged_warning' END,
- CASE WHEN event_type <> 'error' AND us - since_us > CAST(7200000000 AS BIGINT) THEN 'header_frozen' END], lambda x: x IS NOT NULL) AS flags FROM u)
+f AS (SELECT *, list_filter([CASE WHEN event_type <> 'error' AND 4 * k > 180 THEN 'source_timestamp_stale' END, CASE WHEN event_type <> 'error' AND us - since_us > 1800000000 THEN 'payload_frozen' END,
+ CASE WHEN event_type <> 'error' AND us - since_us > 1800000000 THEN 'source_timestamp_frozen' END, CASE WHEN event_type = 'error' AND (4 * k > 180 OR us - since_us > CAST(7200000000 AS BIGINT)) THEN 'source_timestamp_unchanged_warning' END,
+ CASE WHEN event_type = 'error' AND value >= 5 AND us - since_us > CAST(7200000000 AS BIGINT) THEN 'payload_unchanged_warning' END, CASE WHEN event_type <> 'error' AND value > 90 AND 8 * k > 180 THEN 'entity_timestamp_stale' END], lambda x: x IS NOT NULL) AS flags FROM u)
 """
 SQL = {
     "observation_gaps": _T + "SELECT event_type, day, cadence, count(*) AS n_polls, count(CASE WHEN gap > 1.5 * cadence THEN 1 END) AS n_gaps, max(gap) AS max_gap FROM t GROUP BY ALL",

@@ -34,5 +34,9 @@ def test_alerts(spark):
     ents = [("a", False, (1, ([("hi", "en")],), [(5, None)], [("r", None), (None, "s")])), ("b", False, (2, None, [], [])), ("c", True, None)]
     df = spark.createDataFrame([("p", "x", "y", (7, 0), ents)], f"{HEAD}, entities array<struct<id:string,is_deleted:boolean,alert:{alert}>>")
     got = [(r.entity_id, r.affected_route_id, r.affected_stop_id, r.header_text, r.active_period_start, r.informed_entities_json) for r in feeds.alerts(df).collect()]
-    both = '[{"route_id":"r"},{"stop_id":"s"}]'
+    trip = "".join(f'"{n}":null,' for n in ("direction_id", "modified_trip_json", "route_id", "schedule_relationship", "schedule_relationship_name", "start_date", "start_time", "trip_id"))[:-1]
+    one = lambda route, stop: f'{{"agency_id":null,"direction_id":null,"route_id":{route},"route_type":null,"stop_id":{stop},"trip":{{{trip}}}}}'
+    both = f'[{one(chr(34) + "r" + chr(34), "null")},{one("null", chr(34) + "s" + chr(34))}]'
     assert got == [("a", "r", None, "hi", 5, both), ("a", None, "s", "hi", 5, both), ("b", None, None, None, None, "[]"), ("c", None, None, None, None, None)]
+    first = feeds.alerts(df).filter("entity_id = 'a'").first()
+    assert (first.cause_name, first.active_periods_json, first.header_text_json, first.impact_periods_json) == ("UNKNOWN_CAUSE", '[{"end":null,"start":5}]', '[{"language":"en","text":"hi"}]', "[]")
