@@ -11,12 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import filter_rows, table, text_of
+from feedspark.llm.common import filter_rows, materialize, table, text_of
 
 WINDOW = 13
 #: An automaton takes this many characters of windows at most (about 60 bytes of memory each);
 #: a larger benchmark is cut into several automata, each of which scans the text.
 SHARD_CHARS = 4_000_000
+#: A broadcast holds this many characters of items at most (and one item more); a larger benchmark is scanned in several passes.
+BROADCAST_CHARS = 64_000_000
 #: Bytes that end a word, and A-Z to lower case. Bytes from 0x80 belong to words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -62,13 +64,8 @@ def scan(text: str, over: list[ahocorasick.Automaton]) -> tuple[int, list[tuple[
         return len(w), [], []
     gaps = np.flatnonzero(np.frombuffer(flat.encode("latin-1"), np.uint8) == 32)
     first = np.searchsorted(gaps, [h[0] for h in hits])
-    runs: list[list[int]] = []
-    for a, b in sorted(zip(first.tolist(), (first + [h[1] for h in hits]).tolist(), strict=True)):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
-    return len(w), [tuple(r) for r in runs], sorted({i for h in hits for i in h[2]})
+    runs = merged(zip(first.tolist(), (first + [h[1] for h in hits]).tolist(), strict=True))
+    return len(w), runs, sorted({i for h in hits for i in h[2]})
 
 
 def spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -77,38 +74,91 @@ def spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(at[a][0], at[b - 1][1]) for a, b in runs]
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+SPANS = "array<struct<start:long,end:long>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs in order, those that touch or overlap made one."""
+    out: list[list[int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [tuple(r) for r in out]
+
+
+def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """For each row (key, t): the key, n_words, runs of hit words, items. The items are broadcast."""
+    shared = rows.sparkSession.sparkContext.broadcast(sorted(map(tuple, items.distinct().toLocalIterator())))
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        over = automata(windows(shared.value))
+        for batch in batches:
+            got = [scan(x.as_py(), over) for x in batch.column(1)]
+            made = [pa.array([g[0] for g in got], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in g[1]] for g in got], _SPANS), pa.array([g[2] for g in got], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["_r", "n_words", "runs", "items"])
+
+    return rows.select("_r", "t").mapInArrow(find, f"_r long, n_words long, runs {SPANS}, items array<string>")
+
+
+def _in_passes(rows: DataFrame, items: DataFrame, passes: int) -> DataFrame:
+    """As one pass, for a benchmark that one broadcast may not hold: items are dealt by hash, and each pass
+    keeps the documents it hits; these are few, and their runs are merged by row."""
+    rows = materialize(rows.withColumn("_r", F.monotonically_increasing_id()))
+    hits = [_scanned(rows, items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == i)) for i in range(passes)]
+    n_words = materialize(hits[0].select("_r", "n_words"))
+    found = materialize(hits[0].filter(F.size("runs") > 0).drop("n_words"))
+    for h in hits[1:]:
+        found = found.unionByName(materialize(h.filter(F.size("runs") > 0).drop("n_words")))
+    by_row = found.groupBy("_r").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return rows.join(n_words, "_r").join(by_row, "_r", "left").select("doc_id", "text_key", "t", "n_words", F.coalesce("runs", F.array().cast(SPANS)).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text_key, n_words, n_hit, items (sorted as strings), spans, contaminated.
 
-    The benchmark is small beside the corpus and is broadcast; its size is checked: what one
-    automaton would not hold goes to several, each of which scans every text.
+    The size of the benchmark is checked first. Up to ``broadcast_chars`` characters it is
+    broadcast and each text is scanned once; what one automaton would not hold goes to several.
+    A larger one is dealt over passes, each with a broadcast of that size, and the runs found
+    are merged by row: the results are the same.
 
     Null text (of documents or items) has no words; a null item is named 'null'. Repeated
     items count once. Empty benchmark: nothing is hit. Empty documents: no rows. Other
     columns are not read."""
     spark = docs.sparkSession
-    items = sorted({(str(r[0]) if r[0] is not None else "null", r[1]) for r in benchmark.select(item_col, item_text_col).toLocalIterator() if r[1]})
-    shared = spark.sparkContext.broadcast(items)
+    known = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("t")).filter("t <> ''")
+    passes = 1 + (known.agg(F.sum(F.length("t"))).first()[0] or 0) // broadcast_chars
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("t"))
+    schema = f"doc_id long, text_key long, n_words long, n_hit long, items array<string>, spans {SPANS}"
 
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        over = automata(windows(shared.value))
-        for batch in batches:
-            n_words, n_hit, ids, at = [], [], [], []
-            for x in batch.column(2):
-                text = x.as_py()
-                n, runs, found = scan(text, over)
-                n_words.append(n)
-                n_hit.append(sum(b - a for a, b in runs))
-                ids.append(found)
-                at.append([{"start": a, "end": b} for a, b in spans(text, runs)] if runs else [])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(at, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                names=["doc_id", "text_key", "n_words", "n_hit", "items", "spans"],
-            )
-
-    got = rows.mapInArrow(find, "doc_id long, text_key long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
-    return got.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
+    def row(text: str, n: int, runs: list[tuple[int, int]], ids: list[str]) -> tuple:
+        return n, sum(b - a for a, b in runs), ids, [{"start": a, "end": b} for a, b in spans(text, runs)] if runs else []
+
+    def out(batch: pa.RecordBatch, got: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), _SPANS)
+        made = [pa.array([g[i] for g in got], k) for i, k in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["doc_id", "text_key", "n_words", "n_hit", "items", "spans"])
+
+    if passes == 1:
+        shared = spark.sparkContext.broadcast(sorted(map(tuple, known.distinct().toLocalIterator())))
+
+        def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            over = automata(windows(shared.value))
+            for batch in batches:
+                yield out(batch, [row(t, *scan(t, over)) for t in (x.as_py() for x in batch.column(2))])
+
+        result = rows.mapInArrow(find, schema)
+    else:
+
+        def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts, n, runs, ids = (batch.column(i).to_pylist() for i in range(2, 6))
+                yield out(batch, [row(t, k, merged((x["start"], x["end"]) for x in r), i) for t, k, r, i in zip(texts, n, runs, ids, strict=True)])
+
+        result = _in_passes(rows, known, passes).mapInArrow(place, schema)
+    return result.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -197,6 +197,9 @@ def test_decontamination(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == len(TEXTS) - 2
     assert decontaminate.decontaminate(docs, items.filter("1 = 0")).count() == len(TEXTS)
     assert decontaminate.decontaminate(none, items).isEmpty()
+    more = items.union(spark.createDataFrame([("d", f"{PASSAGE[60:120]} end"), ("e", " ".join(f"w{i}" for i in range(90, 120)))], "item_id string, text string"))
+    plain = lambda d: sorted(map(repr, d.collect()))
+    assert plain(decontaminate.contamination(docs, more)) == plain(decontaminate.contamination(docs, more, broadcast_chars=70))
     found = decontaminate.windows([("b", PASSAGE)])
     assert decontaminate.scan(f"{PASSAGE} z", decontaminate.automata(found, 200)) == decontaminate.scan(f"{PASSAGE} z", decontaminate.automata(found))
 
