@@ -51,6 +51,15 @@ def tie_of(text_col: str) -> Column:
     return F.xxhash64(text_of(text_col)).bitwiseAND(F.lit(0xFFFF)).cast("long")
 
 
+#: Samples are drawn by a hash modulo this, so that small shares of very large tables are not rounded to none.
+SHARES = 1 << 40
+
+
+def sampled(key: Column, share: Column) -> Column:
+    """True for about ``share`` of the keys, always the same ones; equal keys are all in or all out."""
+    return F.pmod(F.xxhash64(key), F.lit(SHARES)) < F.ceil(share * F.lit(float(SHARES)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,11 +8,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import table
+from feedspark.llm.common import materialize, sampled, table
 
 #: Verdict and 'host/path' of each rule.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: Labelled URLs that the trees are fitted on, about this many at most, chosen by a hash of the url.
+#: Different labelled URLs that the trees are fitted on, about this many at most, chosen by a hash of the url.
 TRAIN_ROWS = 8_000
 FEATURES = ("n_url", "n_host", "n_path", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "suffix_rate", "suffix_share", "site_rate")
 
@@ -49,8 +49,9 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
 
     The rules label the urls that they fit; gradient-boosted trees learn these labels from
     lexical features and judge the others. Host suffix and site statistics (share of blocked
-    among the labelled, smoothed) are counted over all labelled urls, the trees are fitted on
-    about ``train_rows`` of them. score: the trees' probability of 'block'; null where they
+    among the labelled, smoothed) are counted over all labelled urls and written once, so that
+    Spark knows their size when it plans the joins and can split a frequent host's rows; the
+    trees are fitted on about ``train_rows`` different ones. score: the trees' probability of 'block'; null where they
     were not asked (a rule fits) or not fitted.
 
     If the labelled urls are all of one verdict, that is the verdict of the others too; if
@@ -60,7 +61,7 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("u"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("site", F.substring_index("host", ".", -2))
     blocked = F.sum((F.col("hit.verdict") == "block").cast("int"))
-    total = rows.agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("labelled"), blocked.alias("blocked")).first()
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("labelled"), blocked.alias("blocked"), F.approx_count_distinct(F.when(F.col("hit").isNotNull(), F.xxhash64("u"))).alias("urls")).first()
     n, labelled, n_blocked = total.n, total.labelled, total.blocked or 0
 
     def judged(df: DataFrame, other: Column, score: Column) -> DataFrame:
@@ -82,9 +83,9 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
         "digit_ratio": F.length(F.regexp_replace(u, "[^0-9]", "")) / F.greatest(F.length(u), F.lit(1)),
         "entropy": entropy(F.lower(u)), "parameters": F.when(F.contains(u, F.lit("?")), count(u, "&") + 1).otherwise(0.0),
     }
-    full = rows.join(statistics("suffix"), "suffix").join(statistics("site"), "site").withColumns(features)
-    share = min(1.0, train_rows / labelled)
-    sample = full.filter(F.col("hit").isNotNull() & (F.pmod(F.xxhash64("u"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))).withColumn("label", (F.col("hit.verdict") == "block").cast("double"))
+    full = rows.join(materialize(statistics("suffix")), "suffix").join(materialize(statistics("site")), "site").withColumns(features)
+    share = F.lit(min(1.0, train_rows / total.urls))
+    sample = full.filter(F.col("hit").isNotNull() & sampled(F.col("u"), share)).dropDuplicates(["u"]).withColumn("label", (F.col("hit.verdict") == "block").cast("double"))
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     model = GBTClassifier(maxIter=10, maxDepth=3, maxBins=32, stepSize=0.3, seed=7, featuresCol="features", labelCol="label").fit(ready.transform(sample).select("features", "label"))
     scored = model.transform(ready.transform(full))
