@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import table, text_of
+from feedspark.llm.common import sampled, table, text_of
 
 #: Bytes of a window, of which a text has as many as it needs; size of a byte's vector; filters of each width.
 WINDOW, DIM, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
-#: Labelled texts of each language that the network is trained on, about this many at most, and characters taken of each (from a place that a hash chooses).
+#: Different labelled texts of each language that the network is trained on, about this many at most, and characters taken of each (from a place that a hash chooses).
 TRAIN_TEXTS, TRAIN_CHARS = 1_200, 512
 #: Training passes over the sample EPOCHS times, and more often if these are fewer than STEPS batches.
 EPOCHS, STEPS, BATCH, RATE, SEED = 6, 500, 64, 0.004, 11
@@ -141,19 +141,18 @@ def train(samples: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = SEED
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> Network:
-    """Train on a bounded sample: about ``per_language`` texts of each language, chosen by a hash of the text.
+    """Train on a bounded sample: about ``per_language`` different texts of each language, chosen by a hash of the text.
 
-    Rows without a language or a letter are left out. Only the sample comes to the driver."""
+    Rows without a language or a letter are left out, copies count once. Only the sample comes to the driver."""
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"))
-    counts = {x.lang: x.n for x in labelled.filter(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {x.lang: x.n for x in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).collect()}
     if not counts:
         return train([])
-    million, h = 1_000_000, F.xxhash64("t")
-    share = F.lit(0)
+    share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, int(min(1.0, per_language / n) * million)).otherwise(share)
-    place = F.pmod(F.shiftright(h, 20), F.greatest(F.lit(1), F.length("t") - chars)).cast("int") + 1
-    sample = rows.filter(F.pmod(h, F.lit(million)) < share).select(F.substring("t", place, F.lit(chars)).alias("t"), "lang")
+        share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
+    place = F.pmod(F.xxhash64("t", F.lit(1)), F.greatest(F.lit(1), F.length("t") - chars)).cast("int") + 1
+    sample = rows.filter(sampled(F.col("t"), share)).select(F.substring("t", place, F.lit(chars)).alias("t"), "lang").distinct()
     return train([(x.t, x.lang) for x in sample.toLocalIterator()])
 
 
