@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,12 +91,24 @@ def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(r) for r in out]
 
 
+#: The automata that this worker process built last, by the name of their broadcast.
+_BUILT: dict[str, list[ahocorasick.Automaton]] = {}
+
+
+def _automata(name: str, items: Broadcast) -> list[ahocorasick.Automaton]:
+    """Built once for each worker process, not for each task."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = automata(windows(items.value))
+    return _BUILT[name]
+
+
 def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
     """For each row (key, t): the key, n_words, runs of hit words, items. The items are broadcast."""
-    shared = rows.sparkSession.sparkContext.broadcast(sorted(map(tuple, items.distinct().toLocalIterator())))
+    shared, name = rows.sparkSession.sparkContext.broadcast(sorted(map(tuple, items.distinct().toLocalIterator()))), uuid.uuid4().hex
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        over = automata(windows(shared.value))
+        over = _automata(name, shared)
         for batch in batches:
             got = [scan(x.as_py(), over) for x in batch.column(1)]
             made = [pa.array([g[0] for g in got], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in g[1]] for g in got], _SPANS), pa.array([g[2] for g in got], pa.list_(pa.string()))]
@@ -142,10 +156,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["doc_id", "text_key", "n_words", "n_hit", "items", "spans"])
 
     if passes == 1:
-        shared = spark.sparkContext.broadcast(sorted(map(tuple, known.distinct().toLocalIterator())))
+        shared, name = spark.sparkContext.broadcast(sorted(map(tuple, known.distinct().toLocalIterator()))), uuid.uuid4().hex
 
         def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            over = automata(windows(shared.value))
+            over = _automata(name, shared)
             for batch in batches:
                 yield out(batch, [row(t, *scan(t, over)) for t in (x.as_py() for x in batch.column(2))])
 
