@@ -22,6 +22,8 @@ from feedspark.llm.encoding import encoded
 WINDOW = 2048
 #: Columns of one least-squares problem at most; further rounds take up what one leaves.
 COLUMNS, ROUNDS, SWEEPS = 4000, 6, 30
+#: Counts by task and length are broadcast up to this many rows (of four numbers); more of them are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def nnls(columns: list[dict[int, int]], target: np.ndarray, sweeps: int = SWEEPS) -> np.ndarray:
@@ -109,7 +111,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
 
     Ranks: a task numbers its remainders of each length; counts by (task, length) and running
     sums over tasks make the numbers global. The plan (a bounded number of slots) is broadcast.
-    Ids are written once and joined to their places by task and position.
+    Ids are written once and joined to these sums by task and length: without a shuffle of ids
+    while the counts are at most BROADCAST_ROWS.
 
     Null text: only the end id. Identifiers may be null or repeat: rows are told apart by
     position. Empty table: no rows. Other columns are not read. ``window``: a power of two."""
@@ -118,14 +121,14 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
     tail = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, position, whole, ranks = TaskContext.get().partitionId(), 0, 0, {}
+        part, whole, ranks = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
-            held: list[list] = [[] for _ in range(8)]
+            held: list[list] = [[] for _ in range(7)]
             size = 0
 
             def full():
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=["part", "pos", "doc_id", "ids", "n", "whole_before", "r", "rank"])
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=["part", "doc_id", "ids", "n", "whole_before", "r", "rank"])
 
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer_path), strict=True):
                 ids += tail
@@ -135,15 +138,15 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
                 ranks[r] = rank + 1
                 small = np.frombuffer(ids, "<u4")
                 stored = small.astype("<u2").tobytes() if small.max() < 65_536 else ids
-                for col, x in zip(held, (part, position, doc_id, stored, n, whole, r, rank), strict=True):
+                for col, x in zip(held, (part, doc_id, stored, n, whole, r, rank), strict=True):
                     col.append(x)
-                position, whole, size = position + 1, whole + n // window, size + len(stored)
+                whole, size = whole + n // window, size + len(stored)
                 if size > 8_000_000:
                     yield full()
-                    held, size = [[] for _ in range(8)], 0
+                    held, size = [[] for _ in range(7)], 0
             yield full()
 
-    ids = materialize(rows.mapInArrow(encode, "part int, pos long, doc_id long, ids binary, n long, whole_before long, r int, rank long"))
+    ids = materialize(rows.mapInArrow(encode, "part int, doc_id long, ids binary, n long, whole_before long, r int, rank long"))
     counts = materialize(ids.groupBy("part", "r").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("n") / window).cast("long")).alias("w")))
     histogram = {x.r: x.n for x in counts.filter("r > 0").groupBy("r").agg(F.sum("n").alias("n")).collect()}
     slots, rest_from, combined = plan(histogram, window)
@@ -156,12 +159,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
     shared = spark.sparkContext.broadcast((_slot_index(slots), rest_from, base))
 
     before = Window.partitionBy("r").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    ranks_before = counts.filter("r > 0").select("part", "r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank_base"))
+    ranks_before = counts.select("part", "r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank_base"))
     all_before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole_base = counts.groupBy("part").agg(F.sum("w").alias("w")).select("part", F.coalesce(F.sum("w").over(all_before), F.lit(0)).alias("whole_base"))
-    places = ids.select("part", "pos", "r", "rank", "whole_before").join(ranks_before, ["part", "r"], "left").join(whole_base, "part")
-    places = places.select("part", "pos", (F.col("rank") + F.coalesce("rank_base", F.lit(0))).alias("rank"), (F.col("whole_before") + F.col("whole_base")).alias("whole"))
-    joined = ids.select("part", "pos", "doc_id", "n", "r", "ids").join(places, ["part", "pos"]).select("doc_id", "n", "r", "ids", "rank", "whole")
+    bases = ranks_before.join(whole_base, "part")
+    if counts.count() <= BROADCAST_ROWS:
+        bases = F.broadcast(bases)
+    joined = ids.join(bases, ["part", "r"]).select("doc_id", "n", "r", "ids", (F.col("rank") + F.col("rank_base")).alias("rank"), (F.col("whole_before") + F.col("whole_base")).alias("whole"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, first_left, bases = shared.value

@@ -147,7 +147,7 @@ def test_urls(spark):
     assert urls.judge_urls(pages.filter("1 = 0")).isEmpty()
 
 
-def test_packing(docs, none, tok):
+def test_packing(docs, none, tok, monkeypatch):
     got = sorted(packing.pack(docs, BPE, 1).collect(), key=lambda r: (r.sequence_id, r.offset))
     assert sum(r.length for r in got) == sum(len(ids_of(tok, t, 1)) for _, t in TEXTS)
     fill: dict = {}
@@ -158,6 +158,8 @@ def test_packing(docs, none, tok):
     long = sorted((r for r in got if r.doc_id == 8), key=lambda r: r.start)
     assert b"".join(bytes(r.ids) for r in long) == ids_of(tok, LONG, 1).tobytes()
     assert packing.pack(none, BPE, 1).isEmpty()
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    assert sorted(packing.pack(docs, BPE, 1).collect(), key=lambda r: (r.sequence_id, r.offset)) == got
 
 
 def test_plan_is_feasible():
