@@ -15,7 +15,8 @@ of one anchor, and a text of n words gives about n / 8 segments.
    k - WINDOW + 1 nodes, not one node for each word of each window.
 3. Anchors with many different segments in one task (a line that stands in a large share of
    all documents, in ever new surroundings) would make one partition large. Their windows are
-   dealt one by one instead, with partial aggregation: min(position) by window, joined back.
+   dealt one by one instead, with partial aggregation: min(position) by window, written once
+   and joined back, so that Spark knows its size and can split a frequent window's rows.
 4. The marked intervals are joined to the texts, and the covered words are removed."""
 
 from __future__ import annotations
@@ -278,7 +279,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole = found.filter(F.col("kind") == REPEATED).select("did", tie.alias("tie"), start.alias("start"), (count + (window - 1)).alias("length"))
     each = F.transform(F.sequence(F.lit(0), (F.length("wins") / WIN_BYTES - 1).cast("int")), lambda i: F.substring("wins", (i * WIN_BYTES + 1).cast("int"), F.lit(WIN_BYTES)))
     crowd = found.filter(F.col("kind") == CROWD).select("anchor", "did", tie.alias("tie"), start.alias("first"), F.posexplode(each).alias("i", "win")).select("anchor", "win", "did", "tie", (F.col("first") + F.col("i")).alias("start"))
-    lead = crowd.groupBy("anchor", "win").agg(F.min(F.struct("did", "tie", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    lead = materialize(crowd.groupBy("anchor", "win").agg(F.min(F.struct("did", "tie", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     single = crowd.join(lead, ["anchor", "win"]).filter(F.struct("did", "tie", "start") != F.col("lead")).select("did", "tie", "start", F.lit(window).cast("long").alias("length"))
     return whole.unionByName(single)
 
