@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedspark.llm import counts, decontaminate, exact, language, licenses, packing, registry, simhash, sstable, substring, urls
+from feedspark.llm import counts, decontaminate, exact, language, licenses, packing, registry, similar, simhash, sstable, substring, urls
 from feedspark.llm.common import shared_dir
 from tests.oracle import same, views
 
@@ -218,3 +218,37 @@ def test_pipeline(spark, docs, none, sf):
         assert C.STAGES[-1][1](spark, now, sf).select("doc_id").distinct().count() <= now.count()
     pieces = C.run(spark, sf).collect()
     assert len({r.doc_id for r in pieces}) > 100
+
+
+def jaccard(a, b, k=5):
+    x, y = ({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in ((a or "").lower().split(), (b or "").lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_near_stage_drops_copies_from_similarity_08(spark, docs, none):
+    import corpus_pipeline as C
+
+    r = np.random.default_rng(3)
+    texts = []
+    for base in range(40):
+        w = [f"b{base}x{i}" for i in r.integers(0, 5000, 300)]
+        texts.append(" ".join(w))
+        for edits in (1, 3, 5, 6, 12, 30):
+            own = list(w)
+            for at in r.choice(300, edits, replace=False):
+                own[at] = f"e{base}y{edits}z{at}"
+            texts.append(" ".join(own))
+    order = list(enumerate(texts))
+    root = list(range(len(texts)))
+    for i, t in order:
+        for j in range(i - i % 7, i):
+            if jaccard(t, texts[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    rows = spark.createDataFrame(order, "doc_id long, text string")
+    got = {x.doc_id: x for x in similar.near_copies(rows).collect()}
+    assert {i: got[i].component_id for i in got} == dict(enumerate(root))
+    assert len(set(root)) < len(root) - 120
+    left = C.near_dedup(spark, rows, "").collect()
+    assert sorted(x.doc_id for x in left) == sorted(set(root))
+    assert similar.near_copies(docs).count() == len(TEXTS) and similar.near_copies(none).isEmpty()
