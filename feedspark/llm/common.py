@@ -47,8 +47,8 @@ def order_id(id_col: str) -> Column:
 
 
 def tie_of(text_col: str) -> Column:
-    """16 bits of the text's hash; tells apart rows that share an identifier."""
-    return F.xxhash64(text_of(text_col)).bitwiseAND(F.lit(0xFFFF)).cast("long")
+    """64 bits of the text's hash; tells apart rows that share an identifier."""
+    return F.xxhash64(text_of(text_col))
 
 
 #: Samples are drawn by a hash modulo this, so that small shares of very large tables are not rounded to none.

@@ -11,7 +11,7 @@ of one anchor, and a text of n words gives about n / 8 segments.
    recur are confirmed by count, compiled to an Aho-Corasick automaton for a bounded chunk
    of anchors, and all segments of these anchors are streamed through it, in order of their
    position: it locates every occurrence, and all but the first are marked. The automaton's
-   letters are windows (an anchor and 48 bits of hash), so a passage of k words costs
+   letters are windows (an anchor and 64 bits of hash), so a passage of k words costs
    k - WINDOW + 1 nodes, not one node for each word of each window.
 3. Anchors with many different segments in one task (a line that stands in a large share of
    all documents, in ever new surroundings) would make one partition large. Their windows are
@@ -38,7 +38,7 @@ WINDOW, GRAM = 20, 6
 RUN = 20
 #: From this many different segments of one anchor in a slice of a task, its windows are dealt one by one.
 CROWDED = 8
-WIN_BYTES = 6
+WIN_BYTES = 8
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: What a row is: dealt by anchor; the same, with a window that recurs inside; the same, of a
 #: crowded anchor; windows dealt one by one; repeated whole.
@@ -126,9 +126,8 @@ def _segments(texts: list[bytes], did: np.ndarray, tie: np.ndarray, window: int)
         i = np.flatnonzero(wins[:-lag] == wins[lag:])
         i = of[i[of[i] == of[i + lag]]]
         kinds[i[kinds[i] == PLAIN]] = LOOPED
-    packed = (tie[row] << 40) | (start << 8) | count
-    ids = did[row]
-    spread = _mix(ids.astype(np.uint64) * _P + packed.astype(np.uint64))
+    packed, ids, ties = (start << 8) | count, did[row], tie[row]
+    spread = _mix(_mix(ids.astype(np.uint64) * _P + ties.astype(np.uint64)) + packed.astype(np.uint64))
     keys = np.where(kinds >= CROWD, spread, anchor).view(np.int64)
     raw = np.ascontiguousarray(wins.view(np.uint8).reshape(-1, 8)[:, :WIN_BYTES]).tobytes()
     offsets = np.append(first, len(at)).astype(np.int32) * WIN_BYTES
@@ -137,11 +136,11 @@ def _segments(texts: list[bytes], did: np.ndarray, tie: np.ndarray, window: int)
         import pyarrow.compute as pc
 
         binary = pc.if_else(pa.array(kinds == REPEATED), pa.scalar(b"", pa.binary()), binary)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(anchor.view(np.int64)), pa.array(kinds.astype(np.int8)), pa.array(ids), pa.array(packed), binary], names=["k", "anchor", "kind", "did", "at", "wins"])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(anchor.view(np.int64)), pa.array(kinds.astype(np.int8)), pa.array(ids), pa.array(ties), pa.array(packed), binary], names=["k", "anchor", "kind", "did", "tie", "at", "wins"])
 
 
-SEGMENT = "k long, anchor long, kind byte, did long, at long, wins binary"
-FOUND = "kind byte, anchor long, did long, at long, wins binary"
+SEGMENT = "k long, anchor long, kind byte, did long, tie long, at long, wins binary"
+FOUND = "kind byte, anchor long, did long, tie long, at long, wins binary"
 
 
 def _cut(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -164,12 +163,12 @@ def _letters(n: int) -> str:
     return chr(n + 1 if n + 1 < 0xD800 else n + 0x801)
 
 
-def _located(groups: list[list[tuple[int, int, bytes]]]) -> Iterator[tuple[int, int]]:
-    """(did, packed position) of the repeated runs of windows; rows of a group: one anchor's, in order."""
+def _located(groups: list[list[tuple[int, int, int, bytes]]]) -> Iterator[tuple[int, int, int]]:
+    """(did, tie, packed position) of the repeated runs of windows; rows of a group: one anchor's, in order."""
     texts, counts, letters = [], [], 0
     for rows in groups:
         codes: dict[bytes, int] = {}
-        for _, _, wins in rows:
+        for _, _, _, wins in rows:
             own = []
             for j in range(0, len(wins), WIN_BYTES):
                 w = wins[j : j + WIN_BYTES]
@@ -193,28 +192,28 @@ def _located(groups: list[list[tuple[int, int, bytes]]]) -> Iterator[tuple[int,
     if not len(automaton):
         return
     automaton.make_automaton()
-    seen: dict[int, tuple[int, int]] = {}
-    for (did, at, _), own in zip(chain.from_iterable(groups), texts, strict=True):
+    seen: dict[int, tuple[int, int, int]] = {}
+    for (did, tie, at, _), own in zip(chain.from_iterable(groups), texts, strict=True):
         covered = [False] * len(own)
         for end, size in automaton.iter("".join(map(_letters, own))):
             covered[end - size + 1 : end + 1] = [True] * size
-        start, tie, run = at >> 8 & 0xFFFFFFFF, at >> 40, 0
+        start, run = at >> 8, 0
         for i, c in enumerate([*own, -1]):
-            here = (did, tie << 32 | start + i)
+            here = (did, tie, start + i)
             if i < len(own) and covered[i] and seen.setdefault(c, here) != here:
                 run += 1
             elif run:
-                yield did, tie << 40 | start + i - run << 8 | run
+                yield did, tie, start + i - run << 8 | run
                 run = 0
 
 
 def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (k, did, at). Holds one chunk of anchors, and one anchor's rows beyond it."""
+    """Rows come sorted by (k, did, tie, at). Holds one chunk of anchors, and one anchor's rows beyond it."""
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["kind", "anchor", "did", "at", "wins"])
+        cols = list(zip(*rows, strict=True)) or [()] * 6
+        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["kind", "anchor", "did", "tie", "at", "wins"])
 
     groups: list[list] = []
     held, open_key, open_rows, open_marked = 0, None, [], False
@@ -225,7 +224,7 @@ def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal open_rows, held
         passed: list[tuple] = []
         if open_marked:
-            passed = [(CROWD, open_key, d, a, w) for d, a, w in open_rows]
+            passed = [(CROWD, open_key, d, t, a, w) for d, t, a, w in open_rows]
         elif len(open_rows) > 1 or looped:
             groups.append(open_rows)
             held += len(open_rows)
@@ -233,13 +232,13 @@ def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return passed
 
     for batch in batches:
-        key, anchor, kind, did, at = (batch.column(i).to_numpy() for i in range(5))
-        wins = batch.column(5)
+        key, anchor, kind, did, tie, at = (batch.column(i).to_numpy() for i in range(6))
+        wins = batch.column(6)
         done: list[tuple] = []
         for i in np.flatnonzero(kind == REPEATED).tolist():
-            done.append((REPEATED, 0, int(did[i]), int(at[i]), None))
+            done.append((REPEATED, 0, int(did[i]), int(tie[i]), int(at[i]), None))
         for i in np.flatnonzero(kind == CROWD).tolist():
-            done.append((CROWD, int(anchor[i]), int(did[i]), int(at[i]), wins[i].as_py()))
+            done.append((CROWD, int(anchor[i]), int(did[i]), int(tie[i]), int(at[i]), wins[i].as_py()))
         own = np.flatnonzero(kind < CROWD)
         if len(own):
             k = key[own]
@@ -255,30 +254,30 @@ def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows = own[a:b]
                 open_marked = open_marked or bool((kind[rows] == MARKED).any())
                 looped = looped or bool((kind[rows] == LOOPED).any())
-                open_rows += [(int(did[i]), int(at[i]), wins[i].as_py()) for i in rows.tolist()]
+                open_rows += [(int(did[i]), int(tie[i]), int(at[i]), wins[i].as_py()) for i in rows.tolist()]
         if held > 20_000:
-            done += [(REPEATED, 0, d, a, None) for d, a in _located(groups)]
+            done += [(REPEATED, 0, d, t, a, None) for d, t, a in _located(groups)]
             groups, held = [], 0
         yield out(done)
     done = close()
-    done += [(REPEATED, 0, d, a, None) for d, a in _located(groups)]
+    done += [(REPEATED, 0, d, t, a, None) for d, t, a in _located(groups)]
     yield out(done)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(did, tie, start, length): runs of words that are covered by windows with an earlier occurrence.
 
-    did: the identifier (null: the largest number), tie: 16 bits of the text's hash."""
+    did: the identifier (null: the largest number), tie: the text's hash."""
     if window - GRAM + 1 < 1:
         raise ValueError(f"a window needs {GRAM} words or more")
     n = partitions(docs.sparkSession)
     rows = docs.select(order_id(id_col).alias("did"), tie_of(text_col).alias("tie"), text_of(text_col).alias("t"))
     segments = rows.mapInArrow(lambda b: _cut(b, window), SEGMENT)
-    found = materialize(segments.repartition(n, "k").sortWithinPartitions("k", "did", "at").mapInArrow(_resolve, FOUND))
-    tie, start, count = F.shiftright("at", 40), F.shiftright("at", 8).bitwiseAND(F.lit(0xFFFFFFFF)), F.col("at").bitwiseAND(F.lit(0xFF))
-    whole = found.filter(F.col("kind") == REPEATED).select("did", tie.alias("tie"), start.alias("start"), (count + (window - 1)).alias("length"))
+    found = materialize(segments.repartition(n, "k").sortWithinPartitions("k", "did", "tie", "at").mapInArrow(_resolve, FOUND))
+    start, count = F.shiftright("at", 8), F.col("at").bitwiseAND(F.lit(0xFF))
+    whole = found.filter(F.col("kind") == REPEATED).select("did", "tie", start.alias("start"), (count + (window - 1)).alias("length"))
     each = F.transform(F.sequence(F.lit(0), (F.length("wins") / WIN_BYTES - 1).cast("int")), lambda i: F.substring("wins", (i * WIN_BYTES + 1).cast("int"), F.lit(WIN_BYTES)))
-    crowd = found.filter(F.col("kind") == CROWD).select("anchor", "did", tie.alias("tie"), start.alias("first"), F.posexplode(each).alias("i", "win")).select("anchor", "win", "did", "tie", (F.col("first") + F.col("i")).alias("start"))
+    crowd = found.filter(F.col("kind") == CROWD).select("anchor", "did", "tie", start.alias("first"), F.posexplode(each).alias("i", "win")).select("anchor", "win", "did", "tie", (F.col("first") + F.col("i")).alias("start"))
     lead = materialize(crowd.groupBy("anchor", "win").agg(F.min(F.struct("did", "tie", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     single = crowd.join(lead, ["anchor", "win"]).filter(F.struct("did", "tie", "start") != F.col("lead")).select("did", "tie", "start", F.lit(window).cast("long").alias("length"))
     return whole.unionByName(single)

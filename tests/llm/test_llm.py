@@ -252,3 +252,14 @@ def test_near_stage_drops_copies_from_similarity_08(spark, docs, none):
     left = C.near_dedup(spark, rows, "").collect()
     assert sorted(x.doc_id for x in left) == sorted(set(root))
     assert similar.near_copies(docs).count() == len(TEXTS) and similar.near_copies(none).isEmpty()
+
+
+@pytest.mark.parametrize("crowded", [2, 8])
+def test_substring_tells_rows_of_one_id_apart(spark, monkeypatch, crowded):
+    monkeypatch.setattr(substring, "CROWDED", crowded)
+    low = lambda t: int(xxhash.xxh64_intdigest(t.encode(), 42)) & 0xFFFF
+    repeated = f"{PASSAGE} tail"
+    clean = next(t for t in (" ".join(f"c{n}q{i}" for i in range(40)) for n in range(2_000_000)) if low(t) == low(repeated))
+    rows = spark.createDataFrame([(1, f"x {PASSAGE} y"), (None, repeated), (None, clean)], "doc_id long, text string")
+    got = {r.kept: (r.n_words, r.n_removed) for r in substring.remove_repeats(rows).collect()}
+    assert got == {f"x {PASSAGE} y": (42, 0), "tail": (41, 40), clean: (40, 0)}
