@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -19,8 +20,10 @@ WINDOW = 13
 #: An automaton takes this many characters of windows at most (about 60 bytes of memory each);
 #: a larger benchmark is cut into several automata, each of which scans the text.
 SHARD_CHARS = 4_000_000
-#: A broadcast holds this many characters of items at most (and one item more); a larger benchmark is scanned in several passes.
-BROADCAST_CHARS = 64_000_000
+#: A broadcast holds this many characters of items at most (and one item more).
+BROADCAST_CHARS = 16_000_000
+#: A pass has automata over this many characters of windows (some 240 MB in each worker); a benchmark with more is scanned in several passes.
+PASS_CHARS = 4_000_000
 #: Bytes that end a word, and A-Z to lower case. Bytes from 0x80 belong to words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -30,13 +33,18 @@ def words(text: str) -> list[bytes]:
     return text.encode().translate(FOLD).split()
 
 
-def windows(items: list[tuple[str, str | None]], width: int = WINDOW) -> dict[str, list[str]]:
-    """Each window, as ' word word ... ' with every byte one character, with the items that have it."""
+def windows(items: list[tuple[str, str | None]], width: int = WINDOW, part: int = 0, parts: int = 1) -> dict[str, list[str]]:
+    """Each window, as ' word word ... ' with every byte one character, with the items that have it.
+
+    Of ``parts`` parts, to which windows are dealt by their hash, only the one asked for is held."""
     out: dict[str, list[str]] = {}
     for item, text in items:
         w = words(text or "")
         for i in range(max(1, len(w) - width + 1) if w else 0):
-            held = out.setdefault((b" " + b" ".join(w[i : i + width]) + b" ").decode("latin-1"), [])
+            window = b" " + b" ".join(w[i : i + width]) + b" "
+            if parts > 1 and zlib.crc32(window) % parts != part:
+                continue
+            held = out.setdefault(window.decode("latin-1"), [])
             if item not in held:
                 held.append(item)
     return out
@@ -95,20 +103,27 @@ def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 _BUILT: dict[str, list[ahocorasick.Automaton]] = {}
 
 
-def _automata(name: str, items: Broadcast) -> list[ahocorasick.Automaton]:
+def _automata(name: str, items: Broadcast, part: int = 0, parts: int = 1) -> list[ahocorasick.Automaton]:
     """Built once for each worker process, not for each task."""
     if name not in _BUILT:
         _BUILT.clear()
-        _BUILT[name] = automata(windows(items.value))
+        _BUILT[name] = automata(windows(items.value, part=part, parts=parts))
     return _BUILT[name]
 
 
-def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """For each row (key, t): the key, n_words, runs of hit words, items. The items are broadcast."""
-    shared, name = rows.sparkSession.sparkContext.broadcast(sorted(map(tuple, items.distinct().toLocalIterator()))), uuid.uuid4().hex
+def window_chars(items: DataFrame) -> int:
+    """Bytes of all windows of the items (item, t), as many at least as the automata have."""
+    n = F.regexp_count("t", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    most = (F.octet_length("t") + 2).cast("long") * F.least(n, F.lit(WINDOW), F.greatest(F.lit(1), n - (WINDOW - 1)))
+    return items.agg(F.sum(most)).first()[0] or 0
+
+
+def _scanned(rows: DataFrame, shared: Broadcast, part: int, parts: int) -> DataFrame:
+    """For each row (key, t): the key, n_words, runs of hit words, items. Of the items' windows, one part is looked for."""
+    name = uuid.uuid4().hex
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        over = _automata(name, shared)
+        over = _automata(name, shared, part, parts)
         for batch in batches:
             got = [scan(x.as_py(), over) for x in batch.column(1)]
             made = [pa.array([g[0] for g in got], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in g[1]] for g in got], _SPANS), pa.array([g[2] for g in got], pa.list_(pa.string()))]
@@ -117,33 +132,41 @@ def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
     return rows.select("_r", "t").mapInArrow(find, f"_r long, n_words long, runs {SPANS}, items array<string>")
 
 
-def _in_passes(rows: DataFrame, items: DataFrame, passes: int) -> DataFrame:
-    """As one pass, for a benchmark that one broadcast may not hold: items are dealt by hash, and each pass
-    keeps the documents it hits; these are few, and their runs are merged by row."""
+def _in_passes(rows: DataFrame, items: DataFrame, broadcasts: int, parts: int) -> DataFrame:
+    """As one pass, for a benchmark that one broadcast or one worker's automata may not hold: items are dealt by hash
+    over broadcasts, the windows of each over parts, and each pass keeps the documents it hits; these are few, and
+    their runs are merged by row."""
     rows = materialize(rows.withColumn("_r", F.monotonically_increasing_id()))
-    hits = [_scanned(rows, items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == i)) for i in range(passes)]
-    n_words = materialize(hits[0].select("_r", "n_words"))
-    found = materialize(hits[0].filter(F.size("runs") > 0).drop("n_words"))
-    for h in hits[1:]:
-        found = found.unionByName(materialize(h.filter(F.size("runs") > 0).drop("n_words")))
+    n_words, found = None, None
+    for i in range(broadcasts):
+        own = items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(broadcasts)) == i).distinct()
+        shared = rows.sparkSession.sparkContext.broadcast(sorted(map(tuple, own.toLocalIterator())))
+        for part in range(parts):
+            scanned = _scanned(rows, shared, part, parts)
+            if n_words is None:
+                n_words = materialize(scanned)
+                found, n_words = n_words.filter(F.size("runs") > 0).drop("n_words"), n_words.select("_r", "n_words")
+            else:
+                found = found.unionByName(materialize(scanned.filter(F.size("runs") > 0).drop("n_words")))
     by_row = found.groupBy("_r").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return rows.join(n_words, "_r").join(by_row, "_r", "left").select("doc_id", "text_key", "t", "n_words", F.coalesce("runs", F.array().cast(SPANS)).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_chars: int = BROADCAST_CHARS, pass_chars: int = PASS_CHARS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text_key, n_words, n_hit, items (sorted as strings), spans, contaminated.
 
-    The size of the benchmark is checked first. Up to ``broadcast_chars`` characters it is
-    broadcast and each text is scanned once; what one automaton would not hold goes to several.
-    A larger one is dealt over passes, each with a broadcast of that size, and the runs found
-    are merged by row: the results are the same.
+    The size of the benchmark is checked first. Up to ``broadcast_chars`` characters, and
+    ``pass_chars`` characters of its windows (each word stands in 13), it is broadcast and each
+    text is scanned once. A larger one is dealt over passes, each with automata of about that
+    size, and the runs found are merged by row: the results are the same.
 
     Null text (of documents or items) has no words; a null item is named 'null'. Repeated
     items count once. Empty benchmark: nothing is hit. Empty documents: no rows. Other
     columns are not read."""
     spark = docs.sparkSession
     known = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("t")).filter("t <> ''")
-    passes = 1 + (known.agg(F.sum(F.length("t"))).first()[0] or 0) // broadcast_chars
+    broadcasts = 1 + (known.agg(F.sum(F.length("t"))).first()[0] or 0) // broadcast_chars
+    parts = 1 + window_chars(known) // (broadcasts * pass_chars)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("t"))
     schema = f"doc_id long, text_key long, n_words long, n_hit long, items array<string>, spans {SPANS}"
 
@@ -155,7 +178,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         made = [pa.array([g[i] for g in got], k) for i, k in enumerate(kinds)]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["doc_id", "text_key", "n_words", "n_hit", "items", "spans"])
 
-    if passes == 1:
+    if broadcasts * parts == 1:
         shared, name = spark.sparkContext.broadcast(sorted(map(tuple, known.distinct().toLocalIterator()))), uuid.uuid4().hex
 
         def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +194,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 texts, n, runs, ids = (batch.column(i).to_pylist() for i in range(2, 6))
                 yield out(batch, [row(t, k, merged((x["start"], x["end"]) for x in r), i) for t, k, r, i in zip(texts, n, runs, ids, strict=True)])
 
-        result = _in_passes(rows, known, passes).mapInArrow(place, schema)
+        result = _in_passes(rows, known, broadcasts, parts).mapInArrow(place, schema)
     return result.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 
 

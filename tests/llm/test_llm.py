@@ -263,3 +263,16 @@ def test_substring_tells_rows_of_one_id_apart(spark, monkeypatch, crowded):
     rows = spark.createDataFrame([(1, f"x {PASSAGE} y"), (None, repeated), (None, clean)], "doc_id long, text string")
     got = {r.kept: (r.n_words, r.n_removed) for r in substring.remove_repeats(rows).collect()}
     assert got == {f"x {PASSAGE} y": (42, 0), "tail": (41, 40), clean: (40, 0)}
+
+
+def test_decontamination_deals_windows_over_passes(spark, docs):
+    item = f"{LONG[:8000]} {PASSAGE}"
+    items = spark.createDataFrame([("long", item), ("b", PASSAGE)], "item_id string, text string")
+    plain = lambda d: sorted(map(repr, d.collect()))
+    want = plain(decontaminate.contamination(docs, items))
+    assert decontaminate.window_chars(items.select(F.col("item_id").alias("item"), F.col("text").alias("t"))) >= sum(map(len, decontaminate.windows([("long", item), ("b", PASSAGE)])))
+    assert plain(decontaminate.contamination(docs, items, pass_chars=20_000)) == want
+    whole = decontaminate.windows([("long", item)])
+    parts = [decontaminate.windows([("long", item)], part=i, parts=6) for i in range(6)]
+    assert sum(map(len, parts)) == len(whole) and set().union(*parts) == set(whole)
+    assert max(sum(map(len, p)) for p in parts) < 1.5 * sum(map(len, whole)) / 6
