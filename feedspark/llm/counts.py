@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import materialize, table, text_of
+from feedspark.llm.common import in_batches, materialize, table, text_of
 from feedspark.llm.encoding import encoder, slices, unit_lists
 
 #: Pre-tokens that make up at least 1 / HEAD_SHARE of all occurrences are the head, which is
@@ -98,8 +98,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
             n = [len(x) // 4 for at in range(0, len(texts), 20_000) for x in own.direct(texts[at : at + 20_000])]
             yield pa.RecordBatch.from_pydict({"p": batch.column(0), "n": batch.column(1), "n_pieces": pa.array(n, pa.int64())})
 
-    counted = rows.select("t").mapInArrow(vocabulary, "p string, n long").groupBy("p").agg(F.sum("n").alias("n"))
-    distinct = materialize(counted.mapInArrow(pieces, "p string, n long, n_pieces long"))
+    counted = in_batches(rows.select("t"), vocabulary, "p string, n long").groupBy("p").agg(F.sum("n").alias("n"))
+    distinct = materialize(in_batches(counted, pieces, "p string, n long, n_pieces long"))
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = distinct.filter((F.char_length("p") <= MAX_HEAD_CHARS) & (F.col("n") * head_share >= total))
     head = spark.sparkContext.broadcast(dict(map(tuple, frequent.select("p", "n_pieces").toLocalIterator())))
@@ -122,7 +122,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
                 )
                 done += len(held)
 
-    per_document = rows.select("_r", "t").mapInArrow(documents, "_r long, p string, freq long, base long")
+    per_document = in_batches(rows.select("_r", "t"), documents, "_r long, p string, freq long, base long")
     summed = per_document.join(distinct.select("p", "n_pieces"), "p", "left").groupBy("_r").agg(F.sum(F.coalesce("base", F.col("freq") * F.col("n_pieces"))).alias("n_tokens"))
     return rows.select("_r", "doc_id", F.octet_length("t").cast("long").alias("n_bytes")).join(summed, "_r").drop("_r")
 

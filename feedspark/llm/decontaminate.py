@@ -1,91 +1,84 @@
-"""Benchmark decontamination: one Aho-Corasick automaton over the items' windows, one scan of each text."""
+"""Benchmark decontamination: one Aho-Corasick automaton over the items' windows, one scan of each text.
+
+A word of the benchmark is spelled by two letters of the automaton, so that a window of 13 words
+is 26 nodes and no node has many children. A text's words are looked up once, words that no
+item has are never part of a window, and places found are mapped to characters of the text."""
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
-import zlib
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import filter_rows, materialize, table, text_of
+from feedspark.llm.common import NULL_ID, filter_rows, in_batches, materialize, table, text_of, word_array
 
 WINDOW = 13
-#: An automaton takes this many characters of windows at most (about 60 bytes of memory each);
-#: a larger benchmark is cut into several automata, each of which scans the text.
-SHARD_CHARS = 4_000_000
-#: A broadcast holds this many characters of items at most (and one item more).
-BROADCAST_CHARS = 16_000_000
-#: A pass has automata over this many characters of windows (some 240 MB in each worker); a benchmark with more is scanned in several passes.
-PASS_CHARS = 4_000_000
+#: A pass looks for about this many windows (some 2.6 million nodes, 120 MB in each worker) of about
+#: this many characters of items; a larger benchmark is looked for in several passes.
+PASS_WINDOWS, PASS_CHARS = 100_000, 8_000_000
+#: Windows of one item that are dealt together: longer items are cut, the parts overlapping.
+PART_WINDOWS = 2_000
 #: Bytes that end a word, and A-Z to lower case. Bytes from 0x80 belong to words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+RUNS = "array<struct<first:long,last:long,start:long,end:long>>"
+_RUNS = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
 
 
 def words(text: str) -> list[bytes]:
     return text.encode().translate(FOLD).split()
 
 
-def windows(items: list[tuple[str, str | None]], width: int = WINDOW, part: int = 0, parts: int = 1) -> dict[str, list[str]]:
-    """Each window, as ' word word ... ' with every byte one character, with the items that have it.
-
-    Of ``parts`` parts, to which windows are dealt by their hash, only the one asked for is held."""
-    out: dict[str, list[str]] = {}
-    for item, text in items:
-        w = words(text or "")
-        for i in range(max(1, len(w) - width + 1) if w else 0):
-            window = b" " + b" ".join(w[i : i + width]) + b" "
-            if parts > 1 and zlib.crc32(window) % parts != part:
-                continue
-            held = out.setdefault(window.decode("latin-1"), [])
-            if item not in held:
-                held.append(item)
-    return out
-
-
-def automata(found: dict[str, list[str]], shard_chars: int = SHARD_CHARS) -> list[ahocorasick.Automaton]:
-    out, size = [], shard_chars
-    for window, ids in found.items():
-        if size + len(window) > shard_chars and size:
-            out.append(ahocorasick.Automaton())
-            size = 0
-        size += len(window)
-        out[-1].add_word(window, (len(window), window.count(" ") - 1, ids))
-    for a in out:
-        a.make_automaton()
-    return out
-
-
-def scan(text: str, over: list[ahocorasick.Automaton]) -> tuple[int, list[tuple[int, int]], list[str]]:
-    """Number of words, runs of hit words [first, end), and the items found."""
-    w = words(text)
-    if not w:
-        return 0, [], []
-    flat = (b" " + b" ".join(w) + b" ").decode("latin-1")
-    hits = [(end - size + 1, n, ids) for a in over for end, (size, n, ids) in a.iter(flat)]
-    if not hits:
-        return len(w), [], []
-    gaps = np.flatnonzero(np.frombuffer(flat.encode("latin-1"), np.uint8) == 32)
-    first = np.searchsorted(gaps, [h[0] for h in hits])
-    runs = merged(zip(first.tolist(), (first + [h[1] for h in hits]).tolist(), strict=True))
-    return len(w), runs, sorted({i for h in hits for i in h[2]})
-
-
-def spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Runs of words as character offsets in the original text."""
-    at = [m.span() for m in WORD.finditer(text)]
-    return [(at[a][0], at[b - 1][1]) for a, b in runs]
-
-
-SPANS = "array<struct<start:long,end:long>>"
-_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+class Finder:
+    """The automaton over all windows of the items (name or None, words joined by spaces)."""
+
+    def __init__(self, items: Iterable[tuple[str | None, str]], width: int = WINDOW):
+        number: dict[bytes, int] = {}
+        coded = [(name, [number.setdefault(w, len(number)) for w in words(text)]) for name, text in items]
+        base = math.isqrt(len(number)) + 1
+        self.codes = {w: chr(1 + n // base) + chr(1 + base + n % base) for w, n in number.items()}
+        by_number = list(self.codes.values())
+        self.names: list[str | None] = list(dict.fromkeys(name for name, _ in coded))
+        place = {name: (i,) for i, name in enumerate(self.names)}
+        self.owners: list[tuple[int, ...]] = []
+        self.automaton, shortest = ahocorasick.Automaton(ahocorasick.STORE_INTS), width
+        for name, own in coded:
+            only, text, n = place[name], "".join([by_number[c] for c in own]), min(len(own), width)
+            shortest = min(shortest, n or width)
+            for i in range(0, len(text) - 2 * n + 1 if n else 0, 2):
+                window = text[i : i + 2 * n]
+                at = self.automaton.get(window, -1)
+                if at < 0:
+                    self.automaton.add_word(window, len(self.owners) << 8 | n)
+                    self.owners.append(only)
+                elif only[0] not in self.owners[at >> 8]:
+                    self.owners[at >> 8] += only
+        self.runs = re.compile("[^\0]{%d,}" % (2 * shortest))
+        if self.owners:
+            self.automaton.make_automaton()
+
+    def scan(self, text: str) -> tuple[int, list[tuple[int, int]], list[str | None]]:
+        """Number of words, runs of hit words [first, last), and the items found, a null name last.
+
+        Only runs of known words as long as the shortest window go through the automaton."""
+        w, get = words(text), self.codes.get
+        if not w or not self.owners:
+            return len(w), [], []
+        found = []
+        for m in self.runs.finditer("".join([get(x, "\0\0") for x in w])):
+            found += [((m.start() + end + 1) // 2, v) for end, v in self.automaton.iter(m[0])]
+        if not found:
+            return len(w), [], []
+        runs = merged((last - (v & 255), last) for last, v in found)
+        owners = {o for v in {v for _, v in found} for o in self.owners[v >> 8]}
+        return len(w), runs, sorted((self.names[o] for o in owners), key=lambda x: (x is None, x or ""))
 
 
 def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -99,103 +92,101 @@ def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(r) for r in out]
 
 
-#: The automata that this worker process built last, by the name of their broadcast.
-_BUILT: dict[str, list[ahocorasick.Automaton]] = {}
+def placed(text: str, runs: list[tuple[int, int]]) -> list[dict[str, int]]:
+    """Runs of words with their character offsets in the original text."""
+    at = [m.span() for m in WORD.finditer(text)] if runs else []
+    return [{"first": a, "last": b, "start": at[a][0], "end": at[b - 1][1]} for a, b in runs]
+
+
+#: The finder that this worker process built last, by the name of its broadcast.
+_BUILT: dict[str, Finder] = {}
 
 
-def _automata(name: str, items: Broadcast, part: int = 0, parts: int = 1) -> list[ahocorasick.Automaton]:
-    """Built once for each worker process, not for each task."""
+def _finder(name: str, items: Broadcast) -> Finder:
+    """Built once for each worker process, not for each task; one at a time."""
     if name not in _BUILT:
         _BUILT.clear()
-        _BUILT[name] = automata(windows(items.value, part=part, parts=parts))
+        _BUILT[name] = Finder(items.value)
     return _BUILT[name]
 
 
-def window_chars(items: DataFrame) -> int:
-    """Bytes of all windows of the items (item, t), as many at least as the automata have."""
-    n = F.regexp_count("t", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    most = (F.octet_length("t") + 2).cast("long") * F.least(n, F.lit(WINDOW), F.greatest(F.lit(1), n - (WINDOW - 1)))
-    return items.agg(F.sum(most)).first()[0] or 0
+def parts_of(benchmark: DataFrame, item_col: str, text_col: str, size: int = PART_WINDOWS, width: int = WINDOW) -> DataFrame:
+    """(item, t, n): every item, cut to parts of ``size`` windows at most that share width - 1 words; t: words joined by spaces."""
+    n = F.size("w")
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), n - width), F.lit(size))
+    cut = benchmark.select(F.col(item_col).cast("string").alias("item"), word_array(text_of(text_col)).alias("w")).filter(n > 0).select("item", "w", F.explode(starts).alias("s"))
+    own = F.slice("w", F.col("s") + 1, F.lit(size + width - 1))
+    return cut.select("item", F.array_join(own, " ").alias("t"), F.greatest(F.lit(1), F.size(own) - (width - 1)).alias("n")).distinct()
 
 
-def _scanned(rows: DataFrame, shared: Broadcast, part: int, parts: int) -> DataFrame:
-    """For each row (key, t): the key, n_words, runs of hit words, items. Of the items' windows, one part is looked for."""
+def _scanned(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """For each row (doc_id, text_key, t): doc_id, text_key, n_words, runs of hit words, items."""
+    shared = rows.sparkSession.sparkContext.broadcast([(x.item, x.t) for x in items.select("item", "t").toLocalIterator()])
     name = uuid.uuid4().hex
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        over = _automata(name, shared, part, parts)
+        own = _finder(name, shared)
         for batch in batches:
-            got = [scan(x.as_py(), over) for x in batch.column(1)]
-            made = [pa.array([g[0] for g in got], pa.int64()), pa.array([[{"start": a, "end": b} for a, b in g[1]] for g in got], _SPANS), pa.array([g[2] for g in got], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["_r", "n_words", "runs", "items"])
-
-    return rows.select("_r", "t").mapInArrow(find, f"_r long, n_words long, runs {SPANS}, items array<string>")
-
-
-def _in_passes(rows: DataFrame, items: DataFrame, broadcasts: int, parts: int) -> DataFrame:
-    """As one pass, for a benchmark that one broadcast or one worker's automata may not hold: items are dealt by hash
-    over broadcasts, the windows of each over parts, and each pass keeps the documents it hits; these are few, and
-    their runs are merged by row."""
-    rows = materialize(rows.withColumn("_r", F.monotonically_increasing_id()))
-    n_words, found = None, None
-    for i in range(broadcasts):
-        own = items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(broadcasts)) == i).distinct()
-        shared = rows.sparkSession.sparkContext.broadcast(sorted(map(tuple, own.toLocalIterator())))
-        for part in range(parts):
-            scanned = _scanned(rows, shared, part, parts)
-            if n_words is None:
-                n_words = materialize(scanned)
-                found, n_words = n_words.filter(F.size("runs") > 0).drop("n_words"), n_words.select("_r", "n_words")
-            else:
-                found = found.unionByName(materialize(scanned.filter(F.size("runs") > 0).drop("n_words")))
-    by_row = found.groupBy("_r").agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return rows.join(n_words, "_r").join(by_row, "_r", "left").select("doc_id", "text_key", "t", "n_words", F.coalesce("runs", F.array().cast(SPANS)).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_chars: int = BROADCAST_CHARS, pass_chars: int = PASS_CHARS) -> DataFrame:
+            n_words, runs, found = [], [], []
+            for x in batch.column(2):
+                text = x.as_py()
+                n, r, ids = own.scan(text)
+                n_words.append(n)
+                runs.append(placed(text, r))
+                found.append(ids)
+            made = [pa.array(n_words, pa.int64()), pa.array(runs, _RUNS), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["doc_id", "text_key", "n_words", "runs", "items"])
+
+    return in_batches(rows, find, f"doc_id long, text_key long, n_words long, runs {RUNS}, items array<string>")
+
+
+def _joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of one document that several passes found, made one where they touch."""
+    for batch in batches:
+        out = []
+        for runs in batch.column(3).to_pylist():
+            begins = {r["first"]: r["start"] for r in runs}
+            ends = {r["last"]: r["end"] for r in runs}
+            out.append([{"first": a, "last": b, "start": begins[a], "end": ends[b]} for a, b in merged((r["first"], r["last"]) for r in runs)])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, _RUNS), batch.column(4)], names=["doc_id", "text_key", "n_words", "runs", "items"])
+
+
+def _in_passes(rows: DataFrame, items: DataFrame, passes: int) -> DataFrame:
+    """Parts of items are dealt by hash over the passes; each scans all texts, and what the later ones
+    find (few rows, without texts) is joined to the first one's by identifier and text hash."""
+    key = [F.coalesce("doc_id", F.lit(NULL_ID)).alias("_o"), "text_key"]
+    own = lambda i: items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == i)
+    base = materialize(_scanned(rows, own(0)))
+    hits = base
+    for i in range(1, passes):
+        hits = hits.unionByName(materialize(_scanned(rows, own(i)).filter(F.size("runs") > 0)))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
+    by_key = hits.filter(F.size("runs") > 0).groupBy(*key).agg(F.flatten(F.collect_list("runs")).alias("runs"), ids.alias("items"))
+    got = base.select("doc_id", "n_words", *key).join(by_key, ["_o", "text_key"], "left")
+    filled = got.select("doc_id", "text_key", "n_words", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return in_batches(filled, _joined, f"doc_id long, text_key long, n_words long, runs {RUNS}, items array<string>")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_windows: int = PASS_WINDOWS, pass_chars: int = PASS_CHARS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text_key, n_words, n_hit, items (sorted as strings), spans, contaminated.
 
-    The size of the benchmark is checked first. Up to ``broadcast_chars`` characters, and
-    ``pass_chars`` characters of its windows (each word stands in 13), it is broadcast and each
-    text is scanned once. A larger one is dealt over passes, each with automata of about that
-    size, and the runs found are merged by row: the results are the same.
-
-    Null text (of documents or items) has no words; a null item is named 'null'. Repeated
-    items count once. Empty benchmark: nothing is hit. Empty documents: no rows. Other
-    columns are not read."""
-    spark = docs.sparkSession
-    known = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).alias("t")).filter("t <> ''")
-    broadcasts = 1 + (known.agg(F.sum(F.length("t"))).first()[0] or 0) // broadcast_chars
-    parts = 1 + window_chars(known) // (broadcasts * pass_chars)
+    The benchmark's windows and characters are counted first. Up to about ``pass_windows`` and
+    ``pass_chars`` of them, its words are broadcast and each text is scanned once. A larger one,
+    or a very long item, is dealt over passes of that size; the results are the same.
+
+    Null text (of documents or items) has no words. A null item id is an item too: it counts,
+    its name is null and comes last. Items that repeat count once. Very long texts are scanned
+    whole, one at a time. Rows of documents that repeat are judged alike. Empty benchmark:
+    nothing is hit. Empty documents: no rows. Other columns are not read."""
+    items = materialize(parts_of(benchmark, item_col, item_text_col))
+    size = items.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.length("t").cast("long")), F.lit(0)).alias("chars")).first()
+    passes = 1 + max(size.n // pass_windows, size.chars // pass_chars)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("t"))
-    schema = f"doc_id long, text_key long, n_words long, n_hit long, items array<string>, spans {SPANS}"
-
-    def row(text: str, n: int, runs: list[tuple[int, int]], ids: list[str]) -> tuple:
-        return n, sum(b - a for a, b in runs), ids, [{"start": a, "end": b} for a, b in spans(text, runs)] if runs else []
-
-    def out(batch: pa.RecordBatch, got: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), _SPANS)
-        made = [pa.array([g[i] for g in got], k) for i, k in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["doc_id", "text_key", "n_words", "n_hit", "items", "spans"])
-
-    if broadcasts * parts == 1:
-        shared, name = spark.sparkContext.broadcast(sorted(map(tuple, known.distinct().toLocalIterator()))), uuid.uuid4().hex
-
-        def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            over = _automata(name, shared)
-            for batch in batches:
-                yield out(batch, [row(t, *scan(t, over)) for t in (x.as_py() for x in batch.column(2))])
-
-        result = rows.mapInArrow(find, schema)
-    else:
-
-        def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts, n, runs, ids = (batch.column(i).to_pylist() for i in range(2, 6))
-                yield out(batch, [row(t, k, merged((x["start"], x["end"]) for x in r), i) for t, k, r, i in zip(texts, n, runs, ids, strict=True)])
-
-        result = _in_passes(rows, known, broadcasts, parts).mapInArrow(place, schema)
-    return result.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
+    got = _scanned(rows, items) if passes == 1 else _in_passes(rows, items, passes)
+    n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda s, r: s + r["last"] - r["first"])
+    spans = F.transform("runs", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
+    out = got.select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), "items", spans.alias("spans"))
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

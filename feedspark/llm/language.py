@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import sampled, table, text_of
+from feedspark.llm.common import in_batches, materialize, sampled, table, text_of
 
 #: Bytes of a window, of which a text has as many as it needs; size of a byte's vector; filters of each width.
 WINDOW, DIM, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
-#: Different labelled texts of each language that the network is trained on, about this many at most, and characters taken of each (from a place that a hash chooses).
-TRAIN_TEXTS, TRAIN_CHARS = 1_200, 512
+#: Different labelled texts of each language that the network is trained on, about this many at most, whole; languages learned, the most frequent ones.
+TRAIN_TEXTS, LANGUAGES = 300, 200
 #: Training passes over the sample EPOCHS times, and more often if these are fewer than STEPS batches.
 EPOCHS, STEPS, BATCH, RATE, SEED = 6, 500, 64, 0.004, 11
 #: A document is rejected if it has no letter, or if its best language has less than this probability.
@@ -29,6 +29,10 @@ def byte_windows(data: bytes, size: int = WINDOW) -> np.ndarray:
     return np.frombuffer(data.ljust(-(-len(data) // size) * size), np.uint8).reshape(-1, size)
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 @dataclass
 class Network:
     """Byte vectors, convolutions of several widths, maximum over positions, softmax."""
@@ -72,7 +76,7 @@ class Network:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and probability of each text: all its windows vote, by their bytes."""
-        parts = [byte_windows(t.encode()) if t and any(map(str.isalpha, t)) else None for t in texts]
+        parts = [byte_windows(t.encode()) if has_letter(t) else None for t in texts]
         known = [p for p in parts if p is not None]
         if not known or not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
@@ -140,28 +144,26 @@ def train(samples: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = SEED
     return net
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> Network:
-    """Train on a bounded sample: about ``per_language`` different texts of each language, chosen by a hash of the text.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_TEXTS, languages: int = LANGUAGES) -> Network:
+    """Train on a bounded sample of rows: about ``per_language`` different whole texts of each language, chosen by a hash of the text.
 
-    Rows without a language or a letter are left out, copies count once. Only the sample comes to the driver."""
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"))
-    counts = {x.lang: x.n for x in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).collect()}
-    if not counts:
-        return train([])
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
-    place = F.pmod(F.xxhash64("t", F.lit(1)), F.greatest(F.lit(1), F.length("t") - chars)).cast("int") + 1
-    sample = rows.filter(sampled(F.col("t"), share)).select(F.substring("t", place, F.lit(chars)).alias("t"), "lang").distinct()
+    Rows without a language or a letter are left out, copies count once. Of more than
+    ``languages`` languages the most frequent are learned. Only the sample comes to the driver."""
+    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("lang"))
+    counts = materialize(rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).orderBy(F.desc("n"), "lang").limit(languages))
+    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
+    sample = rows.join(F.broadcast(counts), "lang").filter(sampled(F.col("t"), share)).select("t", "lang").distinct()
     return train([(x.t, x.lang) for x in sample.toLocalIterator()])
 
 
 def identify(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, text_key, lang_pred, score.
+    """One row for each row of ``docs``: doc_id, text_key, lang_pred, score, has_letter.
 
-    Whole texts: every byte is in a window. Null texts and texts without a letter: 'und',
-    score 0; likewise all texts if the network knows no language. Empty table: no rows.
-    Other columns, among them any label, are not read."""
+    Whole texts: every byte is in a window, of a very long text too, whose windows are scored
+    part by part. Null texts and texts without a letter: 'und', score 0; likewise all texts if
+    the network knows no language. Rows that repeat are judged alike; of equally probable
+    languages the first by name. Empty table: no rows. Other columns, among them any label,
+    are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(network)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), F.col(text_col).alias("t"))
 
@@ -177,13 +179,15 @@ def identify(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col
                     got += net.predict(held)
                     held, size = [], 0
             got += net.predict(held)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "text_key", "lang_pred", "score"])
+            letters = pa.array([has_letter(x.as_py()) for x in batch.column(2)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), letters], names=["doc_id", "text_key", "lang_pred", "score", "has_letter"])
 
-    return rows.mapInArrow(run, "doc_id long, text_key long, lang_pred string, score double")
+    return in_batches(rows, run, "doc_id long, text_key long, lang_pred string, score double, has_letter boolean")
 
 
-def rejected() -> Column:
-    return (F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)
+def rejected(network: Network) -> Column:
+    """Without a letter, or of no language with any certainty; a network that knows no language rejects only the first."""
+    return ~F.col("has_letter") | ((F.col("score") < LEAST_SCORE) if network.languages else F.lit(False))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

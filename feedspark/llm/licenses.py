@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import materialize, table, text_of
+from feedspark.llm.common import materialize, table, text_of, word_array
 
 #: The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -30,14 +30,6 @@ TEMPLATES = (
 )
 #: Least IDF-weighted share of a template's words that stand at their places.
 COVERAGE = 0.6
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def word_array(text: Column) -> Column:
-    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z."""
-    flat = F.translate(F.regexp_replace(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "), UPPER, LOWER)
-    return F.filter(F.split(flat, " "), lambda w: w != "")
-
 
 def license_scan(docs: DataFrame, base: dict[str, str] | None = None, templates: tuple = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, matches, score.

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import materialize, table, text_of
+from feedspark.llm.common import in_batches, materialize, table, text_of
 from feedspark.llm.encoding import encoded
 
 WINDOW = 2048
@@ -146,7 +146,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
                     held, size = [[] for _ in range(7)], 0
             yield full()
 
-    ids = materialize(rows.mapInArrow(encode, "part int, doc_id long, ids binary, n long, whole_before long, r int, rank long"))
+    ids = materialize(in_batches(rows, encode, "part int, doc_id long, ids binary, n long, whole_before long, r int, rank long"))
     counts = materialize(ids.groupBy("part", "r").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("n") / window).cast("long")).alias("w")))
     histogram = {x.r: x.n for x in counts.filter("r > 0").groupBy("r").agg(F.sum("n").alias("n")).collect()}
     slots, rest_from, combined = plan(histogram, window)
@@ -194,7 +194,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
                     held = [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=names)
 
-    return joined.mapInArrow(cut, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return in_batches(joined, cut, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def _slot_index(slots: list[tuple[int, int, int, int, int]]) -> dict[int, tuple[list[int], list[tuple[int, int]]]]:

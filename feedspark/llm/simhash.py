@@ -7,12 +7,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import NULL_ID, materialize, order_id, table, text_of
+from feedspark.llm.common import NULL_ID, in_batches, materialize, order_id, table, text_of
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
+#: Buckets of more fingerprints are split by further masks before any pair is compared.
+BUCKET = 32
 
 
 def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -35,49 +37,66 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_key, fp for each row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, text_key, fp for each row. A text is in memory whole, one at a time with its batch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = pa.array([fingerprint(x.as_py()) for x in batch.column(2)], pa.int64())
+            fp = pa.array([fingerprint(x.as_py(), shingle) for x in batch.column(2)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fp], names=["doc_id", "text_key", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("t"))
-    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
+    return in_batches(rows, run, "doc_id long, text_key long, fp long")
 
 
-def masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
-    """The covering masks, 2 ** (radius + 1) - 1 of them, as signed numbers.
+def masks(radius: int = RADIUS, positions: tuple[int, ...] = tuple(range(64))) -> list[int]:
+    """The covering masks over these bit positions, 2 ** (radius + 1) - 1 of them.
 
-    Every bit position gets a nonzero vector of radius + 1 bits; mask v keeps the positions
+    Every position gets a nonzero vector of radius + 1 bits; mask v keeps the positions
     whose vector has an odd inner product with v. Given any ``radius`` positions, some v is
     orthogonal to all their vectors: its mask keeps none of them, so the two fingerprints
     agree in that table. No pair within the radius is lost."""
     size = 2 ** (radius + 1)
-    out = []
-    for v in range(1, size):
-        m = sum(1 << i for i in range(bits) if bin(v & (i % (size - 1) + 1)).count("1") % 2)
-        out.append(m - 2**64 if m >= 2**63 else m)
-    return out
-
-
-def links(distinct: DataFrame) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints whose components are those of all pairs within two bits.
-
-    Covering tables give the candidates: fingerprints that share a masked key with another
-    one. Inside the tables no pairs are compared. A candidate emits itself and its 64
-    neighbours at one bit; fingerprints at two bits or fewer share one of these, and at most
-    65 can share one, so that these groups are bounded by construction, whatever the tables'
-    bucket sizes are. Each group links its members to its smallest, all of them within two bits."""
-    keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks()])).alias("t", "k"))
-    shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    candidates = keyed.join(shared, ["t", "k"], "left_semi").select("fp").distinct()
-    flips = [F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)]]
-    near = candidates.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(x) for x in flips])).alias("k"))
-    groups = near.groupBy("k").agg(F.collect_set("fp").alias("g")).filter(F.size("g") > 1)
-    edges = groups.select(F.array_min("g").alias("a"), F.explode("g").alias("b")).filter("a < b")
-    return edges.distinct()
+    return [sum(1 << p for i, p in enumerate(positions) if (v & (i % (size - 1) + 1)).bit_count() % 2) for v in range(1, size)]
+
+
+def refined(above: list[int], radius: int) -> list[int]:
+    """For each mask, the masks of a covering of the positions that it leaves free, each with those that it keeps."""
+    return [m | x for m in above for x in masks(radius, tuple(i for i in range(64) if not m >> i & 1))]
+
+
+def _signed(xs: list[int]) -> Column:
+    return F.array(*[F.lit(x - 2**64 if x >= 2**63 else x).cast("long") for x in xs])
+
+
+def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """All pairs (a, b), a < b, of distinct fingerprints (fp) that differ in ``radius`` bits or fewer.
+
+    Pairs are compared inside the buckets of the covering tables, and a pair belongs to the
+    first table in which it meets. A bucket of more than ``bucket`` fingerprints is split: its
+    members agree in the bits that its mask keeps, so a covering of the free bits deals them to
+    further tables, again without loss. Every step leaves fewer bits free; when these number
+    five, a bucket has 32 members at most. So no group is compared that is larger than
+    ``bucket`` (32 at least), and a fingerprint has a bounded number of links."""
+    bucket = max(bucket, 32)
+    over, tables = masks(radius), 2 ** (radius + 1) - 1
+    place = F.posexplode(F.transform(_signed(over), lambda m: F.col("fp").bitwiseAND(m))).alias("t", "k")
+    rows, found = distinct.select("fp", place), None
+    while True:
+        sizes = materialize(rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        met = rows.join(sizes.filter(F.col("n") <= bucket).drop("n"), ["t", "k"])
+        x = F.col("a").bitwiseXOR(F.col("b"))
+        earlier = F.slice(_signed(over), (F.col("t") - F.col("t") % tables + 1).cast("int"), (F.col("t") % tables).cast("int"))
+        first = F.forall(earlier, lambda m: x.bitwiseAND(m) != 0)
+        pairs = met.withColumnRenamed("fp", "a").join(met.withColumnRenamed("fp", "b"), ["t", "k"]).filter((F.col("a") < F.col("b")) & (F.bit_count(x) <= radius) & first).select("a", "b")
+        found = pairs if found is None else found.unionByName(pairs)
+        large = sizes.filter(F.col("n") > bucket).drop("n")
+        if large.isEmpty():
+            return found.distinct()
+        crowded = rows.join(large, ["t", "k"], "left_semi")
+        over = refined(over, radius)
+        own = F.slice(_signed(over), (F.col("t") * tables + 1).cast("int"), tables)
+        rows = materialize(crowded.select("fp", F.col("t").alias("_t"), F.posexplode(F.transform(own, lambda m: F.col("fp").bitwiseAND(m))).alias("i", "k")).select("fp", (F.col("_t") * tables + F.col("i")).alias("t"), "k"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -100,21 +119,22 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text_key, fp, component_id, kept.
 
-    Fingerprints link at two or fewer differing bits; component_id is the smallest id that
+    Fingerprints link at ``radius`` or fewer differing bits; component_id is the smallest id that
     can be reached. Equal fingerprints become one node first, so that a group of copies of
     any size costs one node. ``kept`` marks the component's first document (smallest id,
     then text_key); rows that repeat both are marked alike.
 
-    Null text and texts without words have fingerprint zero and link like any other. Null
+    Null text and texts without words have fingerprint zero and link like any other. Very long
+    texts are hashed whole. Null
     ids sort last, a component of only null ids has a null component_id. Empty table: no
     rows. Other columns are not read."""
-    prints = materialize(fingerprints(docs, id_col, text_col))
+    prints = materialize(fingerprints(docs, id_col, text_col, shingle))
     first = F.min(F.struct(order_id("doc_id").alias("o"), F.col("text_key").alias("k")))
     nodes = materialize(prints.groupBy("fp").agg(first.alias("w")))
-    roots = components(links(nodes.select("fp")).select("a", "b"))
+    roots = components(links(nodes.select("fp"), radius))
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("w").alias("c"))
     labels = named.join(least, "root").select("fp", "c")

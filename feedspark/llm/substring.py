@@ -27,11 +27,11 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedspark.llm.common import materialize, order_id, partitions, table, text_of, tie_of
+from feedspark.llm.hashing import HASHES, P, Q, mix, rolled, sliding_min
 
 WINDOW, GRAM = 20, 6
 #: A segment has this many windows at most: its first and last window then cover all its words.
@@ -39,58 +39,23 @@ RUN = 20
 #: From this many different segments of one anchor in a slice of a task, its windows are dealt one by one.
 CROWDED = 8
 WIN_BYTES = 8
-_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: What a row is: dealt by anchor; the same, with a window that recurs inside; the same, of a
 #: crowded anchor; windows dealt one by one; repeated whole.
 PLAIN, LOOPED, MARKED, CROWD, REPEATED = 0, 1, 2, 3, 4
 
 
-class _Hashes(dict):
-    """64-bit hash of a word; remembers a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_HASHES = _Hashes()
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return x ^ (x >> np.uint64(33))
-
-
-def _rolled(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every k consecutive entries."""
-    out = np.zeros(max(0, len(h) - k + 1), np.uint64)
-    for i in range(k):
-        out = out * _P + h[i : i + len(out)]
-    return _mix(out)
-
-
-def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
-    span = 1
-    while span * 2 <= w:
-        x, span = np.minimum(x[:-span], x[span:]), span * 2
-    return np.minimum(x[: len(x) - (w - span)], x[w - span :]) if span < w else x
-
-
 def _segments(texts: list[bytes], did: np.ndarray, tie: np.ndarray, window: int) -> pa.RecordBatch | None:
     words = [t.split() for t in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     n = int(sizes.sum())
     if n < window:
         return None
-    h = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(words)), np.uint64, n)
+    h = np.fromiter(map(HASHES.__getitem__, chain.from_iterable(words)), np.uint64, n)
     del words
     doc = np.repeat(np.arange(len(sizes)), sizes)
     word = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    anchors = _sliding_min(_rolled(h, GRAM), window - GRAM + 1)
-    wins = _rolled(h, window)
+    anchors = sliding_min(rolled(h, GRAM), window - GRAM + 1)
+    wins = rolled(h, window)
     at = np.flatnonzero(doc[: len(wins)] == doc[window - 1 :])
     if not len(at):
         return None
@@ -101,7 +66,7 @@ def _segments(texts: list[bytes], did: np.ndarray, tie: np.ndarray, window: int)
     first = np.flatnonzero(starts | (inside % RUN == 0))
     last = np.append(first[1:], len(at)) - 1
     count = last - first + 1
-    anchor, content = anchors[first], _mix(wins[first] * _P + wins[last] * _Q + count.astype(np.uint64))
+    anchor, content = anchors[first], mix(wins[first] * P + wins[last] * Q + count.astype(np.uint64))
     row, start = doc[first], word[first]
     rank = np.empty(len(did), np.int64)
     rank[np.lexsort((tie, did))] = np.arange(len(did))
@@ -127,7 +92,7 @@ def _segments(texts: list[bytes], did: np.ndarray, tie: np.ndarray, window: int)
         i = of[i[of[i] == of[i + lag]]]
         kinds[i[kinds[i] == PLAIN]] = LOOPED
     packed, ids, ties = (start << 8) | count, did[row], tie[row]
-    spread = _mix(_mix(ids.astype(np.uint64) * _P + ties.astype(np.uint64)) + packed.astype(np.uint64))
+    spread = mix(mix(ids.astype(np.uint64) * P + ties.astype(np.uint64)) + packed.astype(np.uint64))
     keys = np.where(kinds >= CROWD, spread, anchor).view(np.int64)
     raw = np.ascontiguousarray(wins.view(np.uint8).reshape(-1, 8)[:, :WIN_BYTES]).tobytes()
     offsets = np.append(first, len(at)).astype(np.int32) * WIN_BYTES

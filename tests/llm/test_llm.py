@@ -137,6 +137,30 @@ def test_language(spark, docs, none, sf):
     assert {r.lang_pred for r in language.identify(docs, language.fit(none)).collect()} == {"und"}
 
 
+def test_network_equals_a_naive_convolution():
+    net = language.Network.new(["de", "en", "fr"], 3)
+    net.bias += 0.05
+    text = "The quick brown fox; l'été, ça va? " * 23
+    data = text.encode().lower()
+    total, z_sum = 0, np.zeros(3)
+    for at in range(0, len(data), 256):
+        part = data[at : at + 256]
+        v = net.vectors[np.frombuffer(part.ljust(256), np.uint8)]
+        best = np.full(48, -np.inf)
+        for w, width in enumerate((2, 3, 4)):
+            for i in range(253):
+                for f in range(16):
+                    n = w * 16 + f
+                    best[n] = max(best[n], sum(float(v[i + k] @ net.weights[8 * k : 8 * k + 8, n]) for k in range(width)))
+        z = np.maximum(best + net.bias, 0) @ net.out + net.out_bias
+        z_sum += len(part) * (z - z.max() - np.log(np.exp(z - z.max()).sum()))
+        total += len(part)
+    p = np.exp(z_sum / total)
+    p /= p.sum()
+    lang, score = net.predict([text])[0]
+    assert lang == ["de", "en", "fr"][int(p.argmax())] and abs(score - p.max()) < 1e-4
+
+
 def test_urls(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://A.Example.NET/en/x?y"), (4, "http://net"), (5, "http://b.net/q"), (6, "https://x.example.com/de/1#f"), (7, "ftp://u.org/fr/"), (None, "http://plain.io/a"), (7, "ftp://u.org/fr/")]
     pages = spark.createDataFrame([(u, i, "z", "q") for i, u in rows], "url string, page_id long, host string, hit string")
@@ -201,9 +225,8 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.decontaminate(none, items).isEmpty()
     more = items.union(spark.createDataFrame([("d", f"{PASSAGE[60:120]} end"), ("e", " ".join(f"w{i}" for i in range(90, 120)))], "item_id string, text string"))
     plain = lambda d: sorted(map(repr, d.collect()))
-    assert plain(decontaminate.contamination(docs, more)) == plain(decontaminate.contamination(docs, more, broadcast_chars=70))
-    found = decontaminate.windows([("b", PASSAGE)])
-    assert decontaminate.scan(f"{PASSAGE} z", decontaminate.automata(found, 200)) == decontaminate.scan(f"{PASSAGE} z", decontaminate.automata(found))
+    assert plain(decontaminate.contamination(docs, more)) == plain(decontaminate.contamination(docs, more, pass_chars=70))
+    assert decontaminate.Finder([(None, PASSAGE), ("b", PASSAGE)]).scan(f"y {PASSAGE} z") == (42, [(1, 41)], ["b", None])
 
 
 def test_pipeline(spark, docs, none, sf):
@@ -266,13 +289,53 @@ def test_substring_tells_rows_of_one_id_apart(spark, monkeypatch, crowded):
 
 
 def test_decontamination_deals_windows_over_passes(spark, docs):
-    item = f"{LONG[:8000]} {PASSAGE}"
-    items = spark.createDataFrame([("long", item), ("b", PASSAGE)], "item_id string, text string")
+    item = f"{LONG[:80_000]} {PASSAGE}"
+    items = spark.createDataFrame([("long", item), ("b", PASSAGE), (None, PASSAGE)], "item_id string, text string")
     plain = lambda d: sorted(map(repr, d.collect()))
-    want = plain(decontaminate.contamination(docs, items))
-    assert decontaminate.window_chars(items.select(F.col("item_id").alias("item"), F.col("text").alias("t"))) >= sum(map(len, decontaminate.windows([("long", item), ("b", PASSAGE)])))
-    assert plain(decontaminate.contamination(docs, items, pass_chars=20_000)) == want
-    whole = decontaminate.windows([("long", item)])
-    parts = [decontaminate.windows([("long", item)], part=i, parts=6) for i in range(6)]
-    assert sum(map(len, parts)) == len(whole) and set().union(*parts) == set(whole)
-    assert max(sum(map(len, p)) for p in parts) < 1.5 * sum(map(len, whole)) / 6
+    want = decontaminate.contamination(docs, items)
+    assert plain(decontaminate.contamination(docs, items, pass_windows=3_000)) == plain(want)
+    got = {(r.doc_id, r.n_words): r for r in want.collect()}
+    assert got[6, 43].items == ["b", "long", None] and got[8, 30_000].n_hit >= 10_000
+    parts = decontaminate.parts_of(items, "item_id", "text").collect()
+    folded_item = folded(item)
+    assert max(r.n for r in parts) <= decontaminate.PART_WINDOWS and sum(r.n for r in parts if r.item == "long") >= len({tuple(folded_item[i : i + 13]) for i in range(len(folded_item) - 12)})
+    assert {w for r in parts if r.item == "long" for x in [r.t.split()] for w in zip(*(x[i:] for i in range(13)))} == set(zip(*(folded_item[i:] for i in range(13))))
+
+
+@pytest.mark.parametrize("near", [40, 3000])
+def test_covering_tables_find_every_link(spark, near):
+    r = np.random.default_rng(5)
+    base = [int(x) for x in r.integers(0, 2**63, 300)]
+    prints = set(base)
+    for x in base[:3]:  # crowds: all within three bits of one, so that buckets have to be split
+        for _ in range(near // 3):
+            for b in r.choice(64, int(r.integers(1, 4)), replace=False):
+                x ^= 1 << int(b)
+            prints.add(x)
+            x = base[int(r.integers(0, 3))]
+    signed = np.array(sorted(prints), np.uint64).view(np.int64)
+    want = set()
+    for i, x in enumerate(signed):
+        far = np.bitwise_count((signed[i + 1 :] ^ x).view(np.uint64))
+        want |= {(min(int(x), int(y)), max(int(x), int(y))) for y in signed[i + 1 :][far <= 2]}
+    rows = spark.createDataFrame([(int(x),) for x in signed], "fp long")
+    got = [(e.a, e.b) for e in simhash.links(rows).collect()]
+    assert set(got) == want and len(got) == len(want) and len(want) > near // 4
+    assert max(bin(m).count("1") for m in simhash.refined(simhash.refined(simhash.masks(), 2), 2)) >= 59
+
+
+def test_a_language_stage_without_labels_drops_only_texts_without_a_letter(spark, docs):
+    import corpus_pipeline as C
+
+    left = C.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert sorted(map(repr, left.select("doc_id", "text").collect())) == sorted(map(repr, docs.filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "text").collect()))
+
+
+def test_removal_by_broadcast_or_shuffle(spark, docs):
+    from feedspark.llm.common import filter_rows
+
+    keys = docs.filter("doc_id < 6 or doc_id is null").select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    for how in ("left_anti", "left_semi"):
+        few, many = (filter_rows(docs, keys, how, most=most) for most in (100, 0))
+        assert few.columns == many.columns == docs.columns
+        assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
