@@ -92,7 +92,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
                 yield pa.RecordBatch.from_pydict({"p": pa.array(names, pa.string()), "n": pa.array(np.bincount(codes, minlength=len(names)).astype(np.int64))})
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path)
+        own = encoder(tokenizer_path, 0)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             n = [len(x) // 4 for at in range(0, len(texts), 20_000) for x in own.direct(texts[at : at + 20_000])]

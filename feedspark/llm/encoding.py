@@ -41,7 +41,7 @@ class Encoder:
     Arrow finds the distinct units of the texts at hand, each of which is looked up or encoded
     once, and puts their ids together. When the cache is full, what these texts use stays."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,14 +76,18 @@ class Encoder:
         return [head + bytes(raw[a:b]) for head, a, b in zip(heads, first, at[1:], strict=True)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+#: Units that an encoder remembers, about 250 bytes each.
+REMEMBERED = 1_000_000
+_ENCODERS: dict[str, Encoder | None] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, limit: int = REMEMBERED) -> Encoder:
+    """One encoder for each worker process and file; its cache is cut to the limit of the last caller."""
+    own = _ENCODERS.setdefault(path, None) or Encoder(path, limit)
+    _ENCODERS[path], own.limit = own, limit
+    if len(own.known) > limit:
+        own.known = {}
+    return own
 
 
 def slices(texts: pa.StringArray, size: int = 8_000_000) -> Iterator[pa.StringArray]:
@@ -99,7 +103,7 @@ def slices(texts: pa.StringArray, size: int = 8_000_000) -> Iterator[pa.StringAr
         first = last
 
 
-def encoded(texts: pa.StringArray, path: str, size: int = 8_000_000) -> Iterator[bytes]:
-    own = encoder(path)
+def encoded(texts: pa.StringArray, path: str, size: int = 8_000_000, limit: int = REMEMBERED) -> Iterator[bytes]:
+    own = encoder(path, limit)
     for held in slices(texts, size):
         yield from own.encode(held)

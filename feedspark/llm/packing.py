@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedspark.llm.common import in_batches, materialize, table, text_of
-from feedspark.llm.encoding import encoded
+from feedspark.llm.encoding import REMEMBERED, encoded
 
 WINDOW = 2048
 #: Columns of one least-squares problem at most; further rounds take up what one leaves.
@@ -103,7 +103,7 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> tuple[list[tuple[in
     return slots, {r: int(used[r]) for r in histogram}, sequences
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     Whole sequences and combinations are full. The rest forms one stream that is cut every
@@ -130,7 +130,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=["part", "doc_id", "ids", "n", "whole_before", "r", "rank"])
 
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer_path), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer_path, limit=remembered), strict=True):
                 ids += tail
                 n = len(ids) // 4
                 r = n % window

@@ -70,25 +70,36 @@ def _signed(xs: list[int]) -> Column:
 
 
 def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """All pairs (a, b), a < b, of distinct fingerprints (fp) that differ in ``radius`` bits or fewer.
+    """Pairs (a, b), a < b, of distinct fingerprints (fp) within ``radius`` bits; their components are those of all such pairs.
 
     Pairs are compared inside the buckets of the covering tables, and a pair belongs to the
-    first table in which it meets. A bucket of more than ``bucket`` fingerprints is split: its
-    members agree in the bits that its mask keeps, so a covering of the free bits deals them to
-    further tables, again without loss. Every step leaves fewer bits free; when these number
-    five, a bucket has 32 members at most. So no group is compared that is larger than
-    ``bucket`` (32 at least), and a fingerprint has a bounded number of links."""
+    first table in which it meets. A pair is left out where a smaller member of the bucket is
+    within the radius of both: it joins them already, so that a crowd gives a star and not all
+    its pairs. A bucket of more than ``bucket`` fingerprints is split: its members agree in the
+    bits that its mask keeps, so a covering of the free bits deals them to further tables,
+    again without loss. Every step leaves fewer bits free; when these number five, a bucket has
+    32 members at most. So no group is compared that is larger than ``bucket`` (32 at least)."""
     bucket = max(bucket, 32)
     over, tables = masks(radius), 2 ** (radius + 1) - 1
     place = F.posexplode(F.transform(_signed(over), lambda m: F.col("fp").bitwiseAND(m))).alias("t", "k")
     rows, found = distinct.select("fp", place), None
+
+    def close(x: Column, y: Column) -> Column:
+        return F.bit_count(x.bitwiseXOR(y)) <= radius
+
     while True:
         sizes = materialize(rows.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-        met = rows.join(sizes.filter(F.col("n") <= bucket).drop("n"), ["t", "k"])
-        x = F.col("a").bitwiseXOR(F.col("b"))
+        met = rows.join(sizes.filter(F.col("n") <= bucket).drop("n"), ["t", "k"]).groupBy("t", "k").agg(F.array_sort(F.collect_list("fp")).alias("g"))
         earlier = F.slice(_signed(over), (F.col("t") - F.col("t") % tables + 1).cast("int"), (F.col("t") % tables).cast("int"))
-        first = F.forall(earlier, lambda m: x.bitwiseAND(m) != 0)
-        pairs = met.withColumnRenamed("fp", "a").join(met.withColumnRenamed("fp", "b"), ["t", "k"]).filter((F.col("a") < F.col("b")) & (F.bit_count(x) <= radius) & first).select("a", "b")
+        with_table = met.select("g", earlier.alias("e"))
+
+        def of(b: Column, j: Column) -> Column:
+            smaller = F.slice("g", F.lit(1), j)
+            here = F.filter(smaller, lambda a: close(a, b) & F.forall("e", lambda m: a.bitwiseXOR(b).bitwiseAND(m) != 0))
+            needed = F.filter(here, lambda a: ~F.exists(smaller, lambda x: (x < a) & close(x, a) & close(x, b)))
+            return F.transform(needed, lambda a: F.struct(a.alias("a"), b.alias("b")))
+
+        pairs = with_table.select(F.explode(F.flatten(F.transform("g", of))).alias("p")).select("p.a", "p.b")
         found = pairs if found is None else found.unionByName(pairs)
         large = sizes.filter(F.col("n") > bucket).drop("n")
         if large.isEmpty():

@@ -302,6 +302,20 @@ def test_decontamination_deals_windows_over_passes(spark, docs):
     assert {w for r in parts if r.item == "long" for x in [r.t.split()] for w in zip(*(x[i:] for i in range(13)))} == set(zip(*(folded_item[i:] for i in range(13))))
 
 
+def _roots(pairs):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {x: find(x) for x in list(root)}
+
+
 @pytest.mark.parametrize("near", [40, 3000])
 def test_covering_tables_find_every_link(spark, near):
     r = np.random.default_rng(5)
@@ -320,7 +334,8 @@ def test_covering_tables_find_every_link(spark, near):
         want |= {(min(int(x), int(y)), max(int(x), int(y))) for y in signed[i + 1 :][far <= 2]}
     rows = spark.createDataFrame([(int(x),) for x in signed], "fp long")
     got = [(e.a, e.b) for e in simhash.links(rows).collect()]
-    assert set(got) == want and len(got) == len(want) and len(want) > near // 4
+    assert set(got) <= want and len(got) == len(set(got)) <= 20 * len(signed) and len(want) > near // 4
+    assert _roots(got) == _roots(want)
     assert max(bin(m).count("1") for m in simhash.refined(simhash.refined(simhash.masks(), 2), 2)) >= 59
 
 
