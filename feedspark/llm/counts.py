@@ -13,23 +13,30 @@ from pyspark.sql import functions as F
 from feedspark.llm.common import in_batches, materialize, table, text_of
 from feedspark.llm.encoding import encoder, slices, unit_lists
 
-#: Pre-tokens that make up at least 1 / HEAD_SHARE of all occurrences are the head, which is
-#: broadcast. There can be HEAD_SHARE of them at most, each of at most MAX_HEAD_CHARS characters;
-#: in texts, where frequencies fall off, there are far fewer.
-HEAD_SHARE, MAX_HEAD_CHARS = 1 << 22, 32
+#: The head, which is broadcast, holds a pre-token of L bytes if it makes up at least max(1, L / HEAD_BYTES) / HEAD_SHARE
+#: of all occurrences. So there are HEAD_SHARE of them at most, of HEAD_SHARE * HEAD_BYTES bytes together: about 170 MB in
+#: a worker in the worst case; in texts, where frequencies fall off, there are far fewer.
+HEAD_SHARE, HEAD_BYTES = 1 << 20, 32
+#: Units whose pre-tokens a worker remembers, and bytes of texts that are split at once.
+REMEMBERED, SLICE = 150_000, 4_000_000
 
 
 class PreTokens:
     """Splits units into pre-tokens; remembers about ``limit`` units.
 
-    A unit with characters beyond U+024F, or with a special string, is one pre-token whole:
-    the library then splits it itself, so that no difference between Unicode tables matters."""
+    A unit with characters beyond U+024F is split by the library itself, so that no difference
+    between Unicode tables matters; one with a special string is one pre-token whole."""
 
-    def __init__(self, pattern: str, limit: int = 300_000):
+    def __init__(self, pattern: str, path: str, limit: int = REMEMBERED):
         self.split, self.limit, self.known = regex.compile(pattern).findall, limit, {}
+        self.own = encoder(path, 0).tokenizer.pre_tokenizer.pre_tokenize_str
 
     def _of(self, unit: str) -> tuple[str, ...]:
-        return (unit,) if "<|" in unit or max(unit, default="a") > "\u024f" else tuple(self.split(unit))
+        if "<|" in unit:
+            return (unit,)
+        if max(unit, default="a") > "\u024f":
+            return tuple(unit[a:b] for _, (a, b) in self.own(unit))
+        return tuple(self.split(unit))
 
     def of(self, distinct: list[str]) -> list[tuple[str, ...]]:
         got = list(map(self.known.get, distinct))
@@ -64,9 +71,9 @@ class PreTokens:
 _PRE: dict[str, PreTokens] = {}
 
 
-def _pre(pattern: str) -> PreTokens:
+def _pre(pattern: str, path: str) -> PreTokens:
     if pattern not in _PRE:
-        _PRE[pattern] = PreTokens(pattern)
+        _PRE[pattern] = PreTokens(pattern, path)
     return _PRE[pattern]
 
 
@@ -79,15 +86,16 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
        the others leave the task as (row, pre-token, frequency), are joined to the pieces of
        the distinct pre-tokens, each counted once, and are summed by row.
 
-    No ids are kept. Null text is empty: no tokens. Identifiers may be null or repeat: rows
+    No ids are kept. Null text is empty: no tokens. A very long text is in memory whole, its
+    pre-tokens leave the task counted. Rows that repeat are counted alike. Identifiers may be null or repeat: rows
     are told apart by position. Empty table: no rows. Other columns are not read."""
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("_r"), F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))
 
     def vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = _pre(pattern)
+        pre = _pre(pattern, tokenizer_path)
         for batch in batches:
-            for held in slices(batch.column(0), 16_000_000):
+            for held in slices(batch.column(0), SLICE):
                 names, _, codes = pre.occurrences(held)
                 yield pa.RecordBatch.from_pydict({"p": pa.array(names, pa.string()), "n": pa.array(np.bincount(codes, minlength=len(names)).astype(np.int64))})
 
@@ -101,14 +109,15 @@ def token_counts(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str
     counted = in_batches(rows.select("t"), vocabulary, "p string, n long").groupBy("p").agg(F.sum("n").alias("n"))
     distinct = materialize(in_batches(counted, pieces, "p string, n long, n_pieces long"))
     total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = distinct.filter((F.char_length("p") <= MAX_HEAD_CHARS) & (F.col("n") * head_share >= total))
+    weight = F.greatest(F.lit(1.0), F.octet_length("p") / F.lit(float(HEAD_BYTES)))
+    frequent = distinct.filter(F.col("n") * F.lit(float(head_share)) >= weight * F.lit(float(total)))
     head = spark.sparkContext.broadcast(dict(map(tuple, frequent.select("p", "n_pieces").toLocalIterator())))
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre, known = _pre(pattern), head.value
+        pre, known = _pre(pattern, tokenizer_path), head.value
         for batch in batches:
             row, done = batch.column(0).to_numpy(), 0
-            for held in slices(batch.column(1), 4_000_000):
+            for held in slices(batch.column(1), SLICE):
                 names, doc, codes = pre.occurrences(held)
                 size = np.fromiter((known.get(x, -1) for x in names), np.int64, len(names))
                 in_head = size[codes] >= 0
