@@ -27,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import order_id, partitions, shared_dir, text_of
+from feedspark.llm.common import in_batches, order_id, partitions, shared_dir, text_of, tie_of
 from feedspark.llm.encoding import encoded
 
 MAGIC = b"FSSTAB01"
 FOOTER = struct.Struct("<QQQQQQBI8s")
 BLOCK_BYTES = 256 * 1024
+#: Text of one shard, about.
+SHARD_BYTES = 256 << 20
 BITS_PER_KEY, PROBES = 10, 7
 MANIFEST = "shard int, file string, first_key long, last_key long, n_docs long, n_ids long"
 
@@ -181,24 +183,25 @@ def _filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def write_token_shards(docs: DataFrame, tokenizer_path: str, end_id: int | None, out: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 50_257, shards: int | None = None) -> DataFrame:
+def write_token_shards(docs: DataFrame, tokenizer_path: str, end_id: int | None, out: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 50_257, shards: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write the ids of every text to shards below ``out``; return their manifest (a row for each shard).
 
-    Documents are dealt to shards by ranges of their identifier and sorted inside, so that
-    shards in order hold all documents in order. A task writes to a name of its own and
-    renames the file at the end; a repeated task replaces it by the same bytes.
+    Documents are dealt to shards by ranges of identifier and text hash, so that an identifier
+    that many rows have (null, say) is no shard of its own, and are sorted inside: shards in
+    order hold all documents in order. There are as many as shuffle partitions, and more where
+    a shard would hold over ``shard_bytes`` of text. A task writes to a name of its own; the
+    manifest, which Spark commits, names the file of the attempt that succeeded.
 
     Null text: only the end id. Null identifier: sorts last, as the largest key. Repeated
-    identifiers: every row is an entry, ordered by text. Empty table: no shard. Other
-    columns are not read. A text's length is bounded by memory for one text only."""
+    identifiers: every row is an entry, ordered by the text's hash. Empty table: no shard.
+    Other columns are not read. A text's length is bounded by memory for one text only."""
     spark = docs.sparkSession
     width = 2 if max(vocabulary, (end_id or 0) + 1) <= 65_536 else 4
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
         store, base = _filesystem(out)
-        name = f"shard-{ctx.partitionId():06d}.sst"
-        mine = f"{base}/.{name}.{ctx.taskAttemptId()}"
+        name = f"shard-{ctx.partitionId():06d}-{ctx.taskAttemptId()}.sst"
         keys: list[int] = []
         writer = sink = None
         tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
@@ -207,7 +210,7 @@ def write_token_shards(docs: DataFrame, tokenizer_path: str, end_id: int | None,
                 continue
             if writer is None:
                 store.create_dir(base, recursive=True)
-                sink = store.open_output_stream(mine)
+                sink = store.open_output_stream(f"{base}/{name}")
                 writer = ShardWriter(sink, width)
             ids = batch.column(0).to_pylist()
             for doc_id, got in zip(ids, encoded(batch.column(1), tokenizer_path), strict=True):
@@ -216,11 +219,13 @@ def write_token_shards(docs: DataFrame, tokenizer_path: str, end_id: int | None,
         if writer is not None:
             writer.close()
             sink.close()
-            store.move(mine, f"{base}/{name}")
             yield pa.RecordBatch.from_pydict({"shard": pa.array([ctx.partitionId()], pa.int32()), "file": [name], "first_key": [keys[0]], "last_key": [keys[-1]], "n_docs": [len(writer.keys)], "n_ids": [writer.n_ids]})
 
-    rows = docs.select(order_id(id_col).alias("k"), text_of(text_col).alias("t"))
-    done = rows.repartitionByRange(shards or partitions(spark), "k").sortWithinPartitions("k", "t").mapInArrow(write, MANIFEST)
+    rows = docs.select(order_id(id_col).alias("k"), text_of(text_col).alias("t"), tie_of(text_col).alias("h"))
+    if shards is None:
+        size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+        shards = max(partitions(spark), -(-size // shard_bytes))
+    done = in_batches(rows.repartitionByRange(shards, "k", "h").sortWithinPartitions("k", "h", "t"), write, MANIFEST)
     done.write.parquet(f"{out}/manifest")
     return spark.read.schema(done.schema).parquet(f"{out}/manifest")
 
