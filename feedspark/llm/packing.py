@@ -22,8 +22,8 @@ from feedspark.llm.encoding import REMEMBERED, encoded
 WINDOW = 2048
 #: Columns of one least-squares problem at most; further rounds take up what one leaves.
 COLUMNS, ROUNDS, SWEEPS = 4000, 6, 30
-#: Counts by task and length are broadcast up to this many rows (of four numbers); more of them are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: A task's first ranks, a number for each length, are broadcast up to this many tasks (16 kB each); those of more are joined by a shuffle.
+BROADCAST_TASKS = 4_096
 
 
 def nnls(columns: list[dict[int, int]], target: np.ndarray, sweeps: int = SWEEPS) -> np.ndarray:
@@ -111,10 +111,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
 
     Ranks: a task numbers its remainders of each length; counts by (task, length) and running
     sums over tasks make the numbers global. The plan (a bounded number of slots) is broadcast.
-    Ids are written once and joined to these sums by task and length: without a shuffle of ids
-    while the counts are at most BROADCAST_ROWS.
+    Ids are written once and joined to their task's sums, an array by length: without a shuffle
+    of ids while there are at most BROADCAST_TASKS tasks.
 
-    Null text: only the end id. Identifiers may be null or repeat: rows are told apart by
+    Null text: only the end id. A very long text is encoded whole and cut. Identifiers may be null or repeat: rows are told apart by
     position. Empty table: no rows. Other columns are not read. ``window``: a power of two."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("t"))
@@ -162,10 +162,12 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW
     ranks_before = counts.select("part", "r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank_base"))
     all_before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole_base = counts.groupBy("part").agg(F.sum("w").alias("w")).select("part", F.coalesce(F.sum("w").over(all_before), F.lit(0)).alias("whole_base"))
-    bases = ranks_before.join(whole_base, "part")
-    if counts.count() <= BROADCAST_ROWS:
+    known = F.map_from_entries(F.collect_list(F.struct("r", "rank_base"))).alias("m")
+    dense = F.transform(F.sequence(F.lit(0), F.lit(window - 1)), lambda r: F.coalesce(F.element_at("m", r), F.lit(0)))
+    bases = materialize(ranks_before.groupBy("part").agg(known).join(whole_base, "part").select("part", "whole_base", dense.alias("rank_bases")))
+    if bases.count() <= BROADCAST_TASKS:
         bases = F.broadcast(bases)
-    joined = ids.join(bases, ["part", "r"]).select("doc_id", "n", "r", "ids", (F.col("rank") + F.col("rank_base")).alias("rank"), (F.col("whole_before") + F.col("whole_base")).alias("whole"))
+    joined = ids.join(bases, "part").select("doc_id", "n", "r", "ids", (F.col("rank") + F.get("rank_bases", F.col("r"))).alias("rank"), (F.col("whole_before") + F.col("whole_base")).alias("whole"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, first_left, bases = shared.value

@@ -60,6 +60,7 @@ def test_token_shards(spark, docs, none, tok):
     sstable.write_token_shards(docs, BPE, 2, out, shards=3)
     got = sstable.read_token_shards(spark, out).orderBy("start").collect()
     want = sorted(((2**63 - 1 if i is None else i), t or "") for i, t in TEXTS)
+    want.sort(key=lambda x: (x[0], np.uint64(xxhash.xxh64_intdigest(x[1].encode(), 42)).astype(np.int64)))
     at = 0
     for r, (i, t) in zip(got, want, strict=True):
         ids = ids_of(tok, t, 2)
@@ -67,6 +68,13 @@ def test_token_shards(spark, docs, none, tok):
         at += len(ids)
     found = sstable.lookup(spark, out, spark.createDataFrame([(5,), (8,), (99,), (-4,)], "doc_id long")).collect()
     assert sorted(r.doc_id for r in found) == [-4, 5, 5, 5, 8]
+    many = shared_dir(spark)
+    sstable.write_token_shards(docs, BPE, 2, many, shard_bytes=40_000)
+    assert sstable.read_token_shards(spark, many).orderBy("start").collect() == got
+    one_id = spark.createDataFrame([(None, f"text {i}") for i in range(4000)], "doc_id long, text string")
+    spread = shared_dir(spark)
+    sizes = [r.n_docs for r in sstable.write_token_shards(one_id, BPE, 2, spread, shards=8).collect()]
+    assert len(sizes) >= 6 and max(sizes) < 1500
     empty = shared_dir(spark)
     sstable.write_token_shards(none, BPE, 2, empty)
     assert sstable.read_token_shards(spark, empty).isEmpty()
@@ -182,7 +190,7 @@ def test_packing(docs, none, tok, monkeypatch):
     long = sorted((r for r in got if r.doc_id == 8), key=lambda r: r.start)
     assert b"".join(bytes(r.ids) for r in long) == ids_of(tok, LONG, 1).tobytes()
     assert packing.pack(none, BPE, 1).isEmpty()
-    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(packing, "BROADCAST_TASKS", 0)
     assert sorted(packing.pack(docs, BPE, 1).collect(), key=lambda r: (r.sequence_id, r.offset)) == got
 
 
@@ -209,9 +217,12 @@ def test_licenses(docs, none):
 
 def test_counts(docs, none, tok):
     want = sorted((str(i), len((t or "").encode()), len(ids_of(tok, t, 0)) - 1) for i, t in TEXTS)
+    more = [("日本語 テスト です" * 40), "=" * 3000, "ไทย ภาษา", "a\u00a0b é\u3000ü"]
     for share in (1, 50, counts.HEAD_SHARE):
         got = counts.token_counts(docs, BPE, P.PATTERN, head_share=share).collect()
         assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in got) == want
+    rows = docs.sparkSession.createDataFrame([(i, t) for i, t in enumerate(more)], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in counts.token_counts(rows, BPE, P.PATTERN).collect()} == {i: len(ids_of(tok, t, 0)) - 1 for i, t in enumerate(more)}
     assert counts.token_counts(none, BPE, P.PATTERN).isEmpty()
 
 
