@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +14,9 @@ from feedspark.llm.common import materialize, sampled, table
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: Different labelled URLs that the trees are fitted on, about this many at most, chosen by a hash of the url.
 TRAIN_ROWS = 8_000
-FEATURES = ("n_url", "n_host", "n_path", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "suffix_rate", "suffix_share", "site_rate")
+FEATURES = ("n_url", "n_host", "n_path", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "n_suffix", "suffix_rate", "suffix_share")
+#: Weight of the prior in a suffix's rate; share of the hosts (1 / HELD_OUT) that ``held_out_accuracy`` leaves out of the fit.
+SMOOTHING, HELD_OUT = 5, 4
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -44,53 +46,99 @@ def entropy(text: Column) -> Column:
     return sum((F.when(k > 0, -(k / n) * F.log2(k / n)).otherwise(0.0) for k in terms), F.lit(0.0))
 
 
+def with_rules(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """page_id, u (the url, empty for null), host, path, hit (rule and verdict, or null), suffix, site (the host's last two labels)."""
+    host, path = host_path(F.col(url_col))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("u"), host.alias("host"), path.alias("path"))
+    return rows.withColumns({"hit": rule_of(F.col("host"), F.col("path"), rules), "suffix": F.substring_index("host", ".", -1), "site": F.substring_index("host", ".", -2)})
+
+
+def with_features(rows: DataFrame) -> DataFrame:
+    """Adds FEATURES to the result of ``with_rules``: lexical ones, and statistics of the host's suffix.
+
+    suffix_rate is the smoothed share of blocked among the suffix's labelled urls *of other
+    sites*, suffix_share the share of all urls that other sites of the suffix have: what a site
+    itself counts is not among its features, so that no url meets its own label there, nor its
+    site's name under another number. Both are counted over all urls and written once, so that Spark knows their size when it plans the joins and can split a
+    frequent site's rows."""
+    blocked, labelled = F.count_if(F.col("hit.verdict") == "block"), F.count("hit")
+    sites = materialize(rows.groupBy("suffix", "site").agg(blocked.alias("b"), labelled.alias("l"), F.count(F.lit(1)).alias("n")))
+    suffixes = materialize(sites.groupBy("suffix").agg(F.sum("b").alias("sb"), F.sum("l").alias("sl"), F.sum("n").alias("sn")))
+    total = suffixes.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("sb", "sl", "sn")]).first()
+    prior = total.sb / total.sl if total.sl else 0.5
+    rate = (F.col("sb") - F.col("b") + F.lit(SMOOTHING * prior)) / (F.col("sl") - F.col("l") + SMOOTHING)
+    known = sites.join(suffixes, "suffix").select("site", rate.alias("suffix_rate"), ((F.col("sn") - F.col("n")) / F.lit(float(max(1, total.sn)))).alias("suffix_share"))
+    u = F.col("u")
+    count = lambda c, sign: (F.length(c) - F.length(F.replace(c, F.lit(sign), F.lit("")))).cast("double")
+    lexical = {
+        "n_url": F.length(u).cast("double"), "n_host": F.length("host").cast("double"), "n_path": F.length("path").cast("double"), "n_suffix": F.length("suffix").cast("double"),
+        "depth": count(F.col("path"), "/"), "labels": count(F.col("host"), "."), "hyphens": count(F.col("host"), "-"),
+        "digit_ratio": F.length(F.regexp_replace(u, "[^0-9]", "")) / F.greatest(F.length(u), F.lit(1)),
+        "entropy": entropy(F.lower(u)), "parameters": F.when(F.contains(u, F.lit("?")), count(u, "&") + 1).otherwise(0.0),
+    }
+    return rows.join(known, "site").withColumns(lexical)
+
+
+def fit(full: DataFrame, train_rows: int = TRAIN_ROWS) -> GBTClassificationModel | None:
+    """Trees on about ``train_rows`` different labelled urls; none if these are all of one verdict."""
+    own = full.filter(F.col("hit").isNotNull())
+    seen = own.agg(F.approx_count_distinct(F.xxhash64("u")).alias("urls"), F.min("hit.verdict").alias("x"), F.max("hit.verdict").alias("y")).first()
+    if seen.x == seen.y:
+        return None
+    sample = own.filter(sampled(F.col("u"), F.lit(min(1.0, train_rows / max(1, seen.urls))))).dropDuplicates(["u"]).withColumn("label", (F.col("hit.verdict") == "block").cast("double"))
+    sample = _assembled(sample).select("features", "label")
+    if len(sample.select("label").distinct().take(2)) < 2:
+        return None
+    return GBTClassifier(maxIter=10, maxDepth=3, maxBins=32, stepSize=0.3, seed=7, featuresCol="features", labelCol="label").fit(sample)
+
+
+def _assembled(full: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(full)
+
+
+def _scored(full: DataFrame, model: GBTClassificationModel) -> DataFrame:
+    return model.transform(_assembled(full)).withColumn("p", vector_to_array("probability")[1])
+
+
 def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", train_rows: int = TRAIN_ROWS) -> DataFrame:
     """One row for each row of ``pages``: page_id, host, path, rule, verdict, score.
 
     The rules label the urls that they fit; gradient-boosted trees learn these labels from
-    lexical features and judge the others. Host suffix and site statistics (share of blocked
-    among the labelled, smoothed) are counted over all labelled urls and written once, so that
-    Spark knows their size when it plans the joins and can split a frequent host's rows; the
-    trees are fitted on about ``train_rows`` different ones. score: the trees' probability of 'block'; null where they
-    were not asked (a rule fits) or not fitted.
+    lexical features and suffix statistics (``with_features``) and judge the others. The trees
+    are fitted on about ``train_rows`` different ones. score: the trees' probability of
+    'block'; null where they were not asked (a rule fits) or not fitted.
 
     If the labelled urls are all of one verdict, that is the verdict of the others too; if
-    there are none, they are allowed. Null urls: empty host and path. Ids may be null or
-    repeat. Empty table: no rows. Other columns are not read."""
-    host, path = host_path(F.col(url_col))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("u"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("site", F.substring_index("host", ".", -2))
-    blocked = F.sum((F.col("hit.verdict") == "block").cast("int"))
-    total = rows.agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("labelled"), blocked.alias("blocked"), F.approx_count_distinct(F.when(F.col("hit").isNotNull(), F.xxhash64("u"))).alias("urls")).first()
-    n, labelled, n_blocked = total.n, total.labelled, total.blocked or 0
+    there are none, they are allowed. Null urls: empty host and path. Very long urls count
+    whole. Ids may be null or repeat; repeated urls are judged alike. Empty table: no rows.
+    Other columns are not read."""
+    rows = with_rules(pages, rules, id_col, url_col)
+    full = with_features(rows)
+    model = fit(full, train_rows)
 
     def judged(df: DataFrame, other: Column, score: Column) -> DataFrame:
         return df.select("page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce("hit.verdict", other).alias("verdict"), F.when(F.col("hit").isNull(), score).alias("score"))
 
-    if n_blocked in (0, labelled):
-        return judged(rows, F.lit("block" if n_blocked else "allow"), F.lit(None).cast("double"))
-    prior = n_blocked / labelled
-
-    def statistics(key: str) -> DataFrame:
-        rate = (F.coalesce(blocked, F.lit(0)) + 5 * prior) / (F.count("hit") + 5)
-        return rows.groupBy(key).agg(rate.alias(f"{key}_rate"), (F.count(F.lit(1)) / F.lit(float(n))).alias(f"{key}_share"))
-
-    u = F.col("u")
-    count = lambda c, sign: (F.length(c) - F.length(F.replace(c, F.lit(sign), F.lit("")))).cast("double")
-    features = {
-        "n_url": F.length(u).cast("double"), "n_host": F.length("host").cast("double"), "n_path": F.length("path").cast("double"),
-        "depth": count(F.col("path"), "/"), "labels": count(F.col("host"), "."), "hyphens": count(F.col("host"), "-"),
-        "digit_ratio": F.length(F.regexp_replace(u, "[^0-9]", "")) / F.greatest(F.length(u), F.lit(1)),
-        "entropy": entropy(F.lower(u)), "parameters": F.when(F.contains(u, F.lit("?")), count(u, "&") + 1).otherwise(0.0),
-    }
-    full = rows.join(materialize(statistics("suffix")), "suffix").join(materialize(statistics("site")), "site").withColumns(features)
-    share = F.lit(min(1.0, train_rows / total.urls))
-    sample = full.filter(F.col("hit").isNotNull() & sampled(F.col("u"), share)).dropDuplicates(["u"]).withColumn("label", (F.col("hit.verdict") == "block").cast("double"))
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = GBTClassifier(maxIter=10, maxDepth=3, maxBins=32, stepSize=0.3, seed=7, featuresCol="features", labelCol="label").fit(ready.transform(sample).select("features", "label"))
-    scored = model.transform(ready.transform(full))
-    p = vector_to_array("probability")[1]
-    return judged(scored, F.when(p >= 0.5, "block").otherwise("allow"), p)
+    if model is None:
+        only = rows.agg(F.max("hit.verdict")).first()[0] or "allow"
+        return judged(rows, F.lit(only), F.lit(None).cast("double"))
+    return judged(_scored(full, model), F.when(F.col("p") >= 0.5, "block").otherwise("allow"), F.col("p"))
+
+
+def held_out_accuracy(pages: DataFrame, rules=RULES, url_col: str = "url", train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """One row: n labelled urls of hosts that the fit did not see, the share judged as their rule, the share of their commoner verdict.
+
+    Whole hosts are left out, by a hash of the host: their labels count in no statistic either."""
+    rows = with_rules(pages.withColumn("_id", F.lit(0)), rules, "_id", url_col)
+    out = F.pmod(F.xxhash64("host"), F.lit(HELD_OUT)) == 0
+    truth = rows.withColumn("truth", F.col("hit.verdict"))
+    full = with_features(truth.withColumn("hit", F.when(~out, F.col("hit"))))
+    model = fit(full, train_rows)
+    asked = full.filter(out & F.col("truth").isNotNull())
+    got = asked.withColumn("p", F.lit(None).cast("double")) if model is None else _scored(asked, model)
+    right = F.when(F.col("p") >= 0.5, "block").otherwise("allow") == F.col("truth")
+    blocked = F.avg((F.col("truth") == "block").cast("double"))
+    return got.agg(F.count(F.lit(1)).alias("n"), F.avg(right.cast("double")).alias("accuracy"), F.greatest(blocked, 1 - blocked).alias("commoner"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,6 +179,45 @@ def test_urls(spark):
     assert urls.judge_urls(pages.filter("1 = 0")).isEmpty()
 
 
+def test_url_features_equal_brute_force(spark):
+    import math
+
+    made = [f"http://{h}/{p}" for h in ("a.x-1.com", "b.x-1.com", "y.com", "z.net", "q.z.net", "w.org", "v.org") for p in ("de/1", "en/a?x=1&y=22", "fr/", "", "en/a?x=1&y=22")]
+    rows = [(i, u) for i, u in enumerate([*made, None, "no scheme", "http://" + "n" * 5000 + ".com/a"])]
+    rules = (("block", "x-1.com/de/"), ("allow", "y.com/"), ("block", "net/"))
+    table = urls.with_rules(spark.createDataFrame(rows, "page_id long, url string"), rules)
+    got = {r.page_id: r for r in urls.with_features(table).collect()}
+    assert len(got) == len(rows)
+    of = {i: (r.suffix, r.site, r.hit.verdict if r.hit else None) for i, r in got.items()}
+    labels = [v for _, _, v in of.values() if v]
+    prior = labels.count("block") / len(labels)
+    for i, u in rows:
+        u, r = u or "", got[i]
+        host, _, path = u.partition("://")[2].partition("/")
+        path = f"/{path}".partition("?")[0] if "/" in u.partition("://")[2] else ""
+        assert (r.host, r.path, r.n_url, r.n_host, r.n_path, r.depth, r.labels) == (host, path, len(u), len(host), len(path), path.count("/"), host.count("."))
+        assert r.hyphens == host.count("-") and r.n_suffix == len(host.rpartition(".")[2]) and r.parameters == (u.count("&") + 1 if "?" in u else 0)
+        assert abs(r.digit_ratio - sum(map(str.isdigit, u)) / max(1, len(u))) < 1e-12
+        counts = [u.lower().count(c) for c in "abcdefghijklmnopqrstuvwxyz0123456789-./_=&?:"]
+        assert abs(r.entropy - sum(-k / len(u) * math.log2(k / len(u)) for k in counts if k)) < 1e-9
+        others = [v for s, site, v in of.values() if s == r.suffix and site != r.site]
+        want = (others.count("block") + 5 * prior) / (sum(map(bool, others)) + 5)
+        assert abs(r.suffix_rate - want) < 1e-12 and abs(r.suffix_share - len(others) / len(rows)) < 1e-12
+
+
+def test_url_trees_take_all_features_and_no_label(spark):
+    rows = [(i, f"http://h{i % 40}.{'shop-sale' if i % 2 else 'plain'}{i % 40}.com/{'a/b/c' if i % 2 else 'x'}?q={i}") for i in range(400)]
+    rules = tuple(("block" if i % 2 else "allow", f"{'shop-sale' if i % 2 else 'plain'}{i}.com/") for i in range(0, 30))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = urls.judge_urls(pages, rules).collect()
+    asked = [r for r in got if r.rule is None]
+    assert len(asked) > 50 and all((r.verdict == "block") == ("shop-sale" in r.host) for r in asked)
+    report = urls.held_out_accuracy(pages, rules).first()
+    assert report.n > 20 and report.accuracy > 0.95
+    model = urls.fit(urls.with_features(urls.with_rules(pages, rules)))
+    assert model.numFeatures == len(urls.FEATURES) and not {"hit", "rule", "verdict", "site"} & set(urls.FEATURES)
+
+
 def test_packing(docs, none, tok, monkeypatch):
     got = sorted(packing.pack(docs, BPE, 1).collect(), key=lambda r: (r.sequence_id, r.offset))
     assert sum(r.length for r in got) == sum(len(ids_of(tok, t, 1)) for _, t in TEXTS)
