@@ -8,82 +8,91 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedspark.llm.common import materialize, table, text_of, word_array
+from feedspark.llm.notices import BASE, COMMON, TEMPLATES
 
-#: The base phrases and their labels.
-BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: Label, notice as commonly written, phrases that must stand in the match.
-TEMPLATES = (
-    ("apache-2.0", "licensed under the apache license version 2 0", ("apache license version 2 0",)),
-    ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ("general public license version 3",)),
-    ("gpl-2.0", "this work is licensed under the gnu general public license version 2", ("general public license version 2",)),
-    ("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
-    ("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
-    ("mit", "released under the mit license", ("mit license",)),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ("source and binary forms",)),
-    ("bsd", "released under the bsd license", ("bsd license",)),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee", ("and or distribute this software",)),
-    ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
-    ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
-    ("cc-by", "licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software",)),
-)
 #: Least IDF-weighted share of a template's words that stand at their places.
 COVERAGE = 0.6
+ENTRY = "word string, entry int, kind string, label string, q int, must boolean, n_must int, n_words_must int, n_all int, share double, idf double"
+
+
+def entries_of(base: dict[str, str], templates: tuple) -> list[tuple[str, str, list[str], set[int]]]:
+    """(kind, label, words, places of the mandatory phrase) of each base phrase and template."""
+    out = [("base", label, phrase.split(), set(range(len(phrase.split())))) for phrase, label in base.items()]
+    for label, notice, mandatory in templates:
+        words, key = notice.split(), mandatory.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
+        out.append(("template", label, words, set(range(at, at + len(key)))))
+    return out
+
 
 def license_scan(docs: DataFrame, base: dict[str, str] | None = None, templates: tuple = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, matches, score.
+    """One row for each row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, best, score.
 
-    1. One pass keeps, of each text, the words of the licence vocabulary with their positions.
+    The index lists every word of the base phrases and templates (licence notices, and the
+    clauses of licence bodies, each a template) with its positions; the commonest English
+    words are left out of it and match anything.
+
+    1. One pass keeps, of each text, the indexed words with their positions.
     2. Document frequencies of these words, over all documents, give their IDF.
-    3. The word of the highest IDF in a template's mandatory phrase is its key. An occurrence
-       at word p whose template position is q proposes the start p - q. As a match has the
-       whole phrase in place, its key is there: no match is lost.
-    4. Only at proposed starts, the template's other words are intersected with the text's by
+    3. Of each file, only templates all of whose mandatory words it has are looked at. Their
+       key is chosen by file: the mandatory word of the highest IDF, less the logarithm of its
+       occurrences in this file. Postings of the key propose starts: an occurrence at word p
+       whose place in the phrase is q proposes p - q. As a match has the whole phrase in place,
+       its key is there: no match is lost. Starts at which the other mandatory words do not
+       stand at their places are dropped.
+    4. At the others, the template's words are intersected with the file's by
        relative position: coverage is the IDF-weighted share of the template's words that
-       stand at their places. A match has all words of the mandatory phrase in place and
-       coverage of COVERAGE or more.
+       stand at their places. A match has the whole mandatory phrase in place and coverage of
+       COVERAGE or more.
     Base phrases are found in the same way, with all their words in place.
 
-    The vocabulary and templates are fixed, small tables and are broadcast. Only documents
-    with licence words take part in steps 2 to 4. score: the best coverage, 1 where a base
-    phrase stands. Null text: no words. Ids may be null or repeat: rows are told apart by
+    The index is a fixed, small table and is broadcast. Only files with licence words take part
+    in steps 2 to 4. score: the best coverage, 1 where a base phrase stands; best: the match of
+    the best coverage, of equal ones the last by label and start. Null and empty texts: no
+    words. Very long texts count whole. Ids may be null or repeat: rows are told apart by
     position. Empty table: no rows. Other columns are not read."""
     spark = docs.sparkSession
-    base = BASE if base is None else base
-    entries = [("base", phrase, label, phrase.split(), set(range(len(phrase.split())))) for phrase, label in base.items()]
-    for label, notice, mandatory in templates:
-        words = notice.split()
-        for phrase in mandatory:
-            key = phrase.split()
-            at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-            entries.append(("template", f"{label}: {notice}", label, words, set(range(at, at + len(key)))))
+    entries = entries_of(BASE if base is None else base, templates)
     if not entries:
         raise ValueError("no phrases and no templates")
-    vocabulary = sorted({w for e in entries for w in e[3]})
+    vocabulary = sorted({w for _, _, ws, _ in entries for w in ws if w not in COMMON})
     w = F.col("w")
     words = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_array(text_of(text_col)).alias("w"))
     placed = F.filter(F.transform(w, lambda x, i: F.when(x.isin(vocabulary), F.struct(x.alias("word"), i.alias("at")))), lambda x: x.isNotNull())
     scanned = materialize(words.select(F.monotonically_increasing_id().alias("_r"), "doc_id", F.size("w").cast("long").alias("n_words"), placed.alias("occ")))
-    occurrences = scanned.filter(F.size("occ") > 0).select("_r", F.explode("occ").alias("o")).select("_r", "o.word", "o.at")
+    with_words = scanned.filter(F.size("occ") > 0)
+    own_words = F.array_distinct(F.transform("occ", lambda o: o["word"]))
+    in_file = with_words.select("_r", F.explode(own_words).alias("word"))
 
-    n_docs, frequency = scanned.count(), {x.word: x.n for x in occurrences.groupBy("word").agg(F.count_distinct("_r").alias("n")).collect()}
+    n_docs, frequency = scanned.count(), {x.word: x.n for x in in_file.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     idf = {x: math.log((n_docs + 1) / (frequency.get(x, 0) + 1)) + 1e-3 for x in vocabulary}
     rows = []
-    for n, (kind, _, label, ws, must) in enumerate(entries):
-        key = min(must, key=lambda i: (-idf[ws[i]], i))
-        weight = sum(idf[x] for x in ws)
-        rows += [(x, n, kind, label, i, i == key, i in must, len(must), len(ws), idf[x] / weight) for i, x in enumerate(ws)]
-    postings = spark.createDataFrame(rows, "word string, entry int, kind string, label string, q int, key boolean, must boolean, n_must int, n_all int, share double")
-
-    keys = F.broadcast(postings.filter("key").select("word", "entry", "q"))
-    proposed = materialize(occurrences.join(keys, "word").select("_r", "entry", (F.col("at") - F.col("q")).alias("start")))
-    wanted = proposed.join(F.broadcast(postings.drop("key")), "entry").withColumn("at", F.col("start") + F.col("q"))
-    near = scanned.join(proposed.select("_r").distinct(), "_r", "left_semi").select("_r", F.explode("occ").alias("o")).select("_r", "o.word", "o.at")
-    aligned = wanted.join(near, ["_r", "word", "at"]).groupBy("_r", "entry", "kind", "label", "n_must", "n_all", "start").agg(
-        F.count(F.lit(1)).alias("n_found"), F.sum(F.col("must").cast("int")).alias("found_must"), F.sum("share").alias("coverage"))
-    places = aligned.filter(F.when(F.col("kind") == "base", F.col("n_found") == F.col("n_all")).otherwise((F.col("found_must") == F.col("n_must")) & (F.col("coverage") >= COVERAGE)))
+    for n, (kind, label, ws, must) in enumerate(entries):
+        held = [i for i, x in enumerate(ws) if x in idf]
+        weight, needed = sum(idf[ws[i]] for i in held), must & set(held)
+        rows += [(ws[i], n, kind, label, i, i in must, len(needed), len({ws[j] for j in needed}), len(held), idf[ws[i]] / weight, idf[ws[i]]) for i in held]
+    postings = spark.createDataFrame(rows, ENTRY)
+
+    mandatory = sorted({r[0] for r in rows if r[5]})
+    keyed = F.transform(F.filter(own_words, lambda x: x.isin(mandatory)), lambda x: F.struct(x.alias("word"), F.size(F.filter("occ", lambda o: o["word"] == x)).alias("n")))
+    phrase = F.broadcast(postings.filter("must").groupBy("word", "entry", "n_words_must", "idf").agg(F.min("q").alias("q")))
+    asked = with_words.select("_r", F.explode(keyed).alias("k")).select("_r", "k.word", "k.n").join(phrase, "word").withColumn("weight", F.col("idf") - F.ln("n"))
+    best_key = F.max_by(F.struct("word", "q"), F.struct("weight", "word")).alias("key")
+    keys = materialize(asked.groupBy("_r", "entry", "n_words_must").agg(F.count(F.lit(1)).alias("found"), best_key).filter("found = n_words_must").select("_r", "entry", "key.word", "key.q"))
+    at_words = F.explode(F.filter("occ", lambda o: o["word"].isin(mandatory))).alias("o")
+    occurrences = materialize(with_words.join(keys.select("_r").distinct(), "_r", "left_semi").select("_r", at_words).select("_r", "o.word", "o.at"))
+    proposed = occurrences.join(keys, ["_r", "word"]).select("_r", "entry", (F.col("at") - F.col("q")).alias("start"))
+    wanted = proposed.join(F.broadcast(postings.filter("must").select("entry", "word", "q", "n_must")), "entry").withColumn("at", F.col("start") + F.col("q"))
+    stands = wanted.join(occurrences, ["_r", "word", "at"]).groupBy("_r", "entry", "start", "n_must").agg(F.count(F.lit(1)).alias("n")).filter("n = n_must")
+    verified = materialize(stands.select("_r", "entry", "start"))
+    template = F.broadcast(postings.groupBy("entry", "kind", "label", "n_all").agg(F.map_from_entries(F.collect_list(F.struct("q", F.struct("word", "share").alias("v")))).alias("places")))
+    with_places = verified.join(with_words.select("_r", "occ"), "_r").join(template, "entry")
+    aligned = F.filter(F.transform("occ", lambda o: F.when(F.element_at("places", o["at"] - F.col("start"))["word"] == o["word"], F.element_at("places", o["at"] - F.col("start")))), lambda v: v.isNotNull())
+    found = with_places.select("_r", "kind", "label", "n_all", "start", aligned.alias("a"))
+    coverage = F.aggregate("a", F.lit(0.0), lambda s, v: s + v["share"])
+    measured = found.select("_r", "kind", "label", "start", (F.size("a") == F.col("n_all")).alias("whole"), coverage.alias("coverage"))
     is_base = F.col("kind") == "base"
+    places = measured.filter(F.when(is_base, F.col("whole")).otherwise(F.col("coverage") >= COVERAGE))
     matches = places.groupBy("_r").agg(
         F.count(F.when(is_base, 1)).alias("n_base"),
         F.min(F.when(is_base, F.col("start"))).cast("long").alias("first_word"),

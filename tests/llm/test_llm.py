@@ -254,6 +254,52 @@ def test_licenses(docs, none):
     assert licenses.license_scan(none).isEmpty()
 
 
+def brute_licenses(words_of):
+    """(label, start, coverage) of all matches in each text, by trying every start of every template."""
+    import math
+
+    from feedspark.llm.notices import COMMON
+
+    entries = licenses.entries_of(licenses.BASE, licenses.TEMPLATES)
+    vocabulary = {x for _, _, ws, _ in entries for x in ws if x not in COMMON}
+    n = {x: sum(x in set(w) for w in words_of) for x in vocabulary}
+    idf = {x: math.log((len(words_of) + 1) / (n[x] + 1)) + 1e-3 for x in vocabulary}
+    out = []
+    for w in words_of:
+        found = []
+        for kind, label, ws, must in entries:
+            weight = sum(idf.get(x, 0) for x in ws)
+            for start in range(-len(ws), len(w)):
+                there = [0 <= start + q < len(w) and w[start + q] == x for q, x in enumerate(ws)]
+                if not all(there[q] or ws[q] in COMMON for q in must):
+                    continue
+                share = sum(idf.get(x, 0) for x, t in zip(ws, there, strict=True) if t) / weight
+                if share >= (1 - 1e-9 if kind == "base" else licenses.COVERAGE):
+                    found.append((label, start, share))
+        out.append(found)
+    return out
+
+
+def test_license_templates_equal_brute_force(spark):
+    bodies = [notice for _, notice, _ in licenses.TEMPLATES]
+    r = np.random.default_rng(2)
+    texts = [None, "", "license " * 300, "mit " * 50 + "license", "the sublicense and or sell copies"]
+    for i, b in enumerate(bodies):
+        words_ = b.split()
+        for gone in (0, 1, len(words_) // 3):
+            own = list(words_)
+            for at in r.choice(len(own), gone, replace=False):
+                own[at] = "xx"
+            texts.append(f"some words before {' '.join(own)} and, after: {bodies[(i * 7 + 3) % len(bodies)]}")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_licenses([folded(t) for t in texts])
+    for x in licenses.license_scan(rows).collect():
+        own = want[x.doc_id]
+        assert x.labels == ",".join(sorted({m[0] for m in own})), (x.doc_id, x.labels, own)
+        assert abs(x.score - max((m[2] for m in own), default=0)) < 1e-9
+    assert sum(map(bool, want)) > 90 and {m[0] for own in want for m in own} == {t[0] for t in licenses.TEMPLATES} | set(licenses.BASE.values())
+
+
 def test_counts(docs, none, tok):
     want = sorted((str(i), len((t or "").encode()), len(ids_of(tok, t, 0)) - 1) for i, t in TEXTS)
     more = [("日本語 テスト です" * 40), "=" * 3000, "ไทย ภาษา", "a\u00a0b é\u3000ü"]
