@@ -1,261 +1,232 @@
 """Substring dedup: repeated passages of at least WINDOW words are removed but for their first occurrence.
 
-Positions are compared by (doc_id, start of the window in words). Every window of WINDOW
-words belongs to one anchor, its smallest GRAM-word hash; consecutive windows of one anchor
-form a segment. Equal windows have equal anchors, so it is enough to compare the segments
-of one anchor, and a text of n words gives about n / 8 segments.
-
-1. Each task hashes its texts' words, cuts them to segments, and settles what it can see
-   itself: a segment that stands in an earlier document of the task is repeated whole.
-2. The others are dealt by anchor. In each partition the passages (runs of windows) that
-   recur are confirmed by count, compiled to an Aho-Corasick automaton for a bounded chunk
-   of anchors, and all segments of these anchors are streamed through it, in order of their
-   position: it locates every occurrence, and all but the first are marked. The automaton's
-   letters are windows (an anchor and 64 bits of hash), so a passage of k words costs
-   k - WINDOW + 1 nodes, not one node for each word of each window.
-3. Anchors with many different segments in one task (a line that stands in a large share of
-   all documents, in ever new surroundings) would make one partition large. Their windows are
-   dealt one by one instead, with partial aggregation: min(position) by window, written once
-   and joined back, so that Spark knows its size and can split a frequent window's rows.
-4. The marked intervals are joined to the texts, and the covered words are removed."""
+Positions are compared by (doc_id, start of the window in words). Every window of WINDOW words
+belongs to one anchor, its smallest GRAM-word hash; consecutive windows of one anchor form a
+segment. Equal windows have equal anchors, so a passage that recurs shows as an anchor of
+several segments, and it is enough to compare the segments of one anchor.
+
+1. Each task cuts its texts to segments and writes their anchors and places only. Anchors are
+   counted over all documents; a segment whose anchor stands nowhere else cannot recur.
+2. The words of the other segments are taken from the texts. Of segments with the same words
+   in one slice of a task, the first goes on; the others are repeated whole.
+3. Segments are dealt by anchor. In each partition, windows that stand in several places are
+   confirmed by their words and compiled to Aho-Corasick automata, one for each bounded chunk
+   of anchors; the segments of these anchors are streamed through it in the order of their
+   places, and each match but a window's first is a repeated window.
+4. An anchor of more than CROWDED segments (a line that stands in a large share of all
+   documents, in ever new surroundings) would make one partition large. Its windows are dealt
+   one by one instead, by 128 bits of hash of their words, with partial aggregation: the first
+   place of each window, written once and joined back, so that Spark can split a frequent one.
+5. The marked intervals are joined to the texts, and the covered words are removed."""
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import materialize, order_id, partitions, table, text_of, tie_of
-from feedspark.llm.hashing import HASHES, P, Q, mix, rolled, sliding_min
+from feedspark.llm.common import in_batches, materialize, order_id, partitions, table, text_of, tie_of
+from feedspark.llm.hashing import HASHES, rolled, sliding_min
 
 WINDOW, GRAM = 20, 6
 #: A segment has this many windows at most: its first and last window then cover all its words.
 RUN = 20
-#: From this many different segments of one anchor in a slice of a task, its windows are dealt one by one.
-CROWDED = 8
-WIN_BYTES = 8
-#: What a row is: dealt by anchor; the same, with a window that recurs inside; the same, of a
-#: crowded anchor; windows dealt one by one; repeated whole.
-PLAIN, LOOPED, MARKED, CROWD, REPEATED = 0, 1, 2, 3, 4
+#: From more segments of one anchor in all documents, its windows are dealt one by one.
+CROWDED = 1_000
+#: Bytes of text that are looked at together, and segments whose windows one automaton holds (and one anchor's more).
+SLICE, CHUNK = 4_000_000, 4_000
+#: What a row of ``CONTENTS`` is: a segment's words, to be dealt by anchor; hashes of a segment's windows; windows that are repeated whole.
+PLAIN, CROWD, REPEATED = 0, 1, 2
+ANCHORS = "anchor long, did long, tie long, at long, weight int"
+CONTENTS = "kind byte, anchor long, did long, tie long, start long, n long, content binary"
+SPANS = "did long, tie long, start long, n long"
+
+
+def _slices(batches: Iterable[pa.RecordBatch], text: int, size: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows of each batch by about ``size`` bytes of text, with the texts."""
+    for batch in batches:
+        held, total, first = [], 0, 0
+        for i, x in enumerate(batch.column(text)):
+            held.append(x.as_py().encode())
+            total += len(held[-1])
+            if total > size:
+                yield batch.slice(first, i + 1 - first), held
+                held, total, first = [], 0, i + 1
+        if held:
+            yield batch.slice(first), held
 
 
-def _segments(texts: list[bytes], did: np.ndarray, tie: np.ndarray, window: int) -> pa.RecordBatch | None:
+def segments(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, ...]:
+    """Of all segments: number of the text, first window's start, windows, anchor, whether a window recurs inside."""
     words = [t.split() for t in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     n = int(sizes.sum())
+    none = np.zeros(0, np.int64)
     if n < window:
-        return None
+        return none, none, none, none, none.astype(bool)
     h = np.fromiter(map(HASHES.__getitem__, chain.from_iterable(words)), np.uint64, n)
     del words
     doc = np.repeat(np.arange(len(sizes)), sizes)
     word = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    anchors = sliding_min(rolled(h, GRAM), window - GRAM + 1)
-    wins = rolled(h, window)
+    anchors, wins = sliding_min(rolled(h, GRAM), window - GRAM + 1), rolled(h, window)
     at = np.flatnonzero(doc[: len(wins)] == doc[window - 1 :])
-    if not len(at):
-        return None
     anchors, wins, doc, word = anchors[at], wins[at], doc[at], word[at]
-    starts = np.concatenate(([True], (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])))
+    starts = np.ones(len(at), bool)
+    starts[1:] = (anchors[1:] != anchors[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(starts)
     inside = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-    first = np.flatnonzero(starts | (inside % RUN == 0))
-    last = np.append(first[1:], len(at)) - 1
-    count = last - first + 1
-    anchor, content = anchors[first], mix(wins[first] * P + wins[last] * Q + count.astype(np.uint64))
-    row, start = doc[first], word[first]
-    rank = np.empty(len(did), np.int64)
-    rank[np.lexsort((tie, did))] = np.arange(len(did))
-    order = np.lexsort((start, rank[row], content, anchor))
-    a, c = anchor[order], content[order]
-    # Rows of one document that repeat (same identifier and text) are the same document: not earlier.
-    new = np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])))
-    lead = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    same = (did[row[order]] == did[row[lead]]) & (tie[row[order]] == tie[row[lead]]) & (start[order] == start[lead])
-    kind = np.where(new | same, PLAIN, REPEATED)
-    group = np.cumsum(np.concatenate(([True], a[1:] != a[:-1]))) - 1
-    different = np.bincount(group, weights=new)
-    crowded = (different >= CROWDED)[group] & (kind == PLAIN)
-    head = np.zeros(len(order), bool)
-    plain = np.flatnonzero(kind == PLAIN)
-    head[plain[np.unique(group[plain], return_index=True)[1]]] = True
-    kind = np.where(crowded, np.where(head, MARKED, CROWD), kind)
-    kinds = np.empty(len(order), np.int64)
-    kinds[order] = kind
-    of = np.repeat(np.arange(len(first)), count)
+    starts |= inside % RUN == 0
+    first = np.flatnonzero(starts)
+    count = np.diff(np.append(first, len(at)))
+    of, looped = np.repeat(np.arange(len(first)), count), np.zeros(len(first), bool)
     for lag in range(1, RUN):
         i = np.flatnonzero(wins[:-lag] == wins[lag:])
-        i = of[i[of[i] == of[i + lag]]]
-        kinds[i[kinds[i] == PLAIN]] = LOOPED
-    packed, ids, ties = (start << 8) | count, did[row], tie[row]
-    spread = mix(mix(ids.astype(np.uint64) * P + ties.astype(np.uint64)) + packed.astype(np.uint64))
-    keys = np.where(kinds >= CROWD, spread, anchor).view(np.int64)
-    raw = np.ascontiguousarray(wins.view(np.uint8).reshape(-1, 8)[:, :WIN_BYTES]).tobytes()
-    offsets = np.append(first, len(at)).astype(np.int32) * WIN_BYTES
-    binary = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
-    if (kinds == REPEATED).any():
-        import pyarrow.compute as pc
-
-        binary = pc.if_else(pa.array(kinds == REPEATED), pa.scalar(b"", pa.binary()), binary)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(anchor.view(np.int64)), pa.array(kinds.astype(np.int8)), pa.array(ids), pa.array(ties), pa.array(packed), binary], names=["k", "anchor", "kind", "did", "tie", "at", "wins"])
-
-
-SEGMENT = "k long, anchor long, kind byte, did long, tie long, at long, wins binary"
-FOUND = "kind byte, anchor long, did long, tie long, at long, wins binary"
-
-
-def _cut(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        did, tie = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        held, size, first = [], 0, 0
-        for i, x in enumerate(batch.column(2)):
-            held.append(x.as_py().encode())
-            size += len(held[-1])
-            if size > 8_000_000:
-                got = _segments(held, did[first : i + 1], tie[first : i + 1], window)
-                held, size, first = [], 0, i + 1
-                if got:
-                    yield got
-        if held and (got := _segments(held, did[first:], tie[first:], window)):
-            yield got
-
-
-def _letters(n: int) -> str:
-    return chr(n + 1 if n + 1 < 0xD800 else n + 0x801)
-
-
-def _located(groups: list[list[tuple[int, int, int, bytes]]]) -> Iterator[tuple[int, int, int]]:
-    """(did, tie, packed position) of the repeated runs of windows; rows of a group: one anchor's, in order."""
-    texts, counts, letters = [], [], 0
-    for rows in groups:
-        codes: dict[bytes, int] = {}
-        for _, _, _, wins in rows:
-            own = []
-            for j in range(0, len(wins), WIN_BYTES):
-                w = wins[j : j + WIN_BYTES]
-                c = codes.get(w)
-                if c is None:
-                    c = codes[w] = letters
-                    letters += 1
-                    counts.append(0)
-                counts[c] += 1
-                own.append(c)
-            texts.append(own)
-    automaton = ahocorasick.Automaton()
-    for own in texts:  # confirmed passages: runs of windows that occur more than once
-        run: list[str] = []
-        for c in [*own, -1]:
-            if c >= 0 and counts[c] > 1:
-                run.append(_letters(c))
-            elif run:
-                automaton.add_word("".join(run), len(run))
-                run = []
+        looped[of[i[of[i] == of[i + lag]]]] = True
+    return doc[first], word[first], count, anchors[first].view(np.int64), looped
+
+
+def _anchors(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    for rows, texts in _slices(batches, 2):
+        doc, start, count, anchor, looped = segments(texts, window)
+        did, tie = rows.column(0).to_numpy()[doc], rows.column(1).to_numpy()[doc]
+        made = [anchor, did, tie, start << 8 | count, (1 + looped).astype(np.int32)]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, made)), names=["anchor", "did", "tie", "at", "weight"])
+
+
+def _contents(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Rows (did, tie, t, places [at, anchor, crowded]) to rows of CONTENTS."""
+    digest = xxhash.xxh3_128_digest
+    for rows, texts in _slices(batches, 2):
+        did, tie = rows.column(0).to_pylist(), rows.column(1).to_pylist()
+        out: list[list] = [[] for _ in range(7)]
+
+        def put(*row, out=out) -> None:
+            for column, x in zip(out, row, strict=True):
+                column.append(x)
+
+        seen: dict[bytes, tuple[int, int, int]] = {}
+        for i in sorted(range(len(texts)), key=lambda i: (did[i], tie[i])):
+            words, since, until = texts[i].split(), 0, 0
+            for at, anchor, crowded in sorted({(p["at"], p["anchor"], p["crowded"]) for p in rows.column(3)[i].as_py()}):
+                start, n = at >> 8, at & 255
+                content = b" ".join(words[start : start + n + window - 1])
+                here = (did[i], tie[i], start)
+                if seen.setdefault(content, here) != here:
+                    if start != until and until > since:
+                        put(REPEATED, 0, did[i], tie[i], since, until - since, None)
+                    since, until = since if start == until > since else start, start + n
+                elif crowded:
+                    hashes = b"".join([digest(b" ".join(words[j : j + window])) for j in range(start, start + n)])
+                    put(CROWD, anchor, did[i], tie[i], start, n, hashes)
+                else:
+                    put(PLAIN, anchor, did[i], tie[i], start, n, content)
+            if until > since:
+                put(REPEATED, 0, did[i], tie[i], since, until - since, None)
+        kinds = (pa.int8(), *[pa.int64()] * 5, pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["kind", "anchor", "did", "tie", "start", "n", "content"])
+
+
+def located(groups: list[list[tuple[int, int, int, bytes]]], window: int = WINDOW) -> Iterator[tuple[int, int, int, int]]:
+    """(did, tie, start, n): runs of n windows that match an earlier place; rows of a group: (did, tie, start, words), one anchor's, in order.
+
+    A word is spelled by two letters, of different alphabets, so that no node has many children
+    and matches begin at words."""
+    number: dict[bytes, int] = {}
+    texts = [[[number.setdefault(w, len(number)) for w in row[3].split(b" ")] for row in rows] for rows in groups]
+    base = math.isqrt(len(number)) + 1
+    spelled = [chr(1 + n // base) + chr(1 + base + n % base) for n in range(len(number))]
+    coded = [["".join([spelled[c] for c in own]) for own in rows] for rows in texts]
+    automaton, size = ahocorasick.Automaton(ahocorasick.STORE_INTS), 2 * window
+    for rows in coded:  # confirmed passages: windows whose words stand in several places of the anchor
+        counts = Counter(text[i : i + size] for text in rows for i in range(0, len(text) - size + 1, 2))
+        for passage, n in counts.items():
+            if n > 1:
+                automaton.add_word(passage, len(automaton))
     if not len(automaton):
         return
     automaton.make_automaton()
-    seen: dict[int, tuple[int, int, int]] = {}
-    for (did, tie, at, _), own in zip(chain.from_iterable(groups), texts, strict=True):
-        covered = [False] * len(own)
-        for end, size in automaton.iter("".join(map(_letters, own))):
-            covered[end - size + 1 : end + 1] = [True] * size
-        start, run = at >> 8, 0
-        for i, c in enumerate([*own, -1]):
-            here = (did, tie, start + i)
-            if i < len(own) and covered[i] and seen.setdefault(c, here) != here:
-                run += 1
-            elif run:
-                yield did, tie, start + i - run << 8 | run
-                run = 0
-
-
-def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (k, did, tie, at). Holds one chunk of anchors, and one anchor's rows beyond it."""
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["kind", "anchor", "did", "tie", "at", "wins"])
-
-    groups: list[list] = []
-    held, open_key, open_rows, open_marked = 0, None, [], False
-
-    looped = False
-
-    def close() -> list[tuple]:
-        nonlocal open_rows, held
-        passed: list[tuple] = []
-        if open_marked:
-            passed = [(CROWD, open_key, d, t, a, w) for d, t, a, w in open_rows]
-        elif len(open_rows) > 1 or looped:
-            groups.append(open_rows)
-            held += len(open_rows)
-        open_rows = []
-        return passed
-
+    first: dict[int, tuple[int, int, int]] = {}
+    for (did, tie, start, _), text in zip(chain.from_iterable(groups), chain.from_iterable(coded), strict=True):
+        since = until = 0
+        for end, passage in automaton.iter(text):
+            at = start + (end + 1) // 2 - window
+            here = (did, tie, at)
+            if first.setdefault(passage, here) != here:
+                if at != until:
+                    if until > since:
+                        yield did, tie, since, until - since
+                    since = at
+                until = at + 1
+        if until > since:
+            yield did, tie, since, until - since
+
+
+def _resolve(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Rows (anchor, did, tie, start, content) come sorted. Holds one chunk of anchors, each of CROWDED segments at most."""
+
+    def out(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+        columns = list(zip(*found, strict=True)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["did", "tie", "start", "n"])
+
+    groups: list[list[tuple[int, int, int, bytes]]] = []
+    held, key = 0, None
     for batch in batches:
-        key, anchor, kind, did, tie, at = (batch.column(i).to_numpy() for i in range(6))
-        wins = batch.column(6)
-        done: list[tuple] = []
-        for i in np.flatnonzero(kind == REPEATED).tolist():
-            done.append((REPEATED, 0, int(did[i]), int(tie[i]), int(at[i]), None))
-        for i in np.flatnonzero(kind == CROWD).tolist():
-            done.append((CROWD, int(anchor[i]), int(did[i]), int(tie[i]), int(at[i]), wins[i].as_py()))
-        own = np.flatnonzero(kind < CROWD)
-        if len(own):
-            k = key[own]
-            new = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            ends = np.append(new[1:], len(own))
-            # Anchors with one plain row, not at the batch's edges, are done: nothing else has them.
-            worth = (ends - new > 1) | (kind[own[new]] != PLAIN)
-            worth[0] = worth[-1] = True
-            for a, b in zip(new[worth].tolist(), ends[worth].tolist(), strict=True):
-                if int(k[a]) != open_key:
-                    done += close()
-                    open_key, open_marked, looped = int(k[a]), False, False
-                rows = own[a:b]
-                open_marked = open_marked or bool((kind[rows] == MARKED).any())
-                looped = looped or bool((kind[rows] == LOOPED).any())
-                open_rows += [(int(did[i]), int(tie[i]), int(at[i]), wins[i].as_py()) for i in rows.tolist()]
-        if held > 20_000:
-            done += [(REPEATED, 0, d, t, a, None) for d, t, a in _located(groups)]
-            groups, held = [], 0
-        yield out(done)
-    done = close()
-    done += [(REPEATED, 0, d, t, a, None) for d, t, a in _located(groups)]
-    yield out(done)
+        found: list[tuple[int, int, int, int]] = []
+        for anchor, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if anchor != key:
+                key = anchor
+                if held >= CHUNK:
+                    found += located(groups, window)
+                    groups, held = [], 0
+                groups.append([])
+            groups[-1].append(tuple(row))
+            held += 1
+        yield out(found)
+    yield out(list(located(groups, window)))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(did, tie, start, length): runs of words that are covered by windows with an earlier occurrence.
+    """(did, tie, start, n): runs of n windows, from word ``start``, that also start earlier.
 
     did: the identifier (null: the largest number), tie: the text's hash."""
     if window - GRAM + 1 < 1:
         raise ValueError(f"a window needs {GRAM} words or more")
-    n = partitions(docs.sparkSession)
+    spark = docs.sparkSession
     rows = docs.select(order_id(id_col).alias("did"), tie_of(text_col).alias("tie"), text_of(text_col).alias("t"))
-    segments = rows.mapInArrow(lambda b: _cut(b, window), SEGMENT)
-    found = materialize(segments.repartition(n, "k").sortWithinPartitions("k", "did", "tie", "at").mapInArrow(_resolve, FOUND))
-    start, count = F.shiftright("at", 8), F.col("at").bitwiseAND(F.lit(0xFF))
-    whole = found.filter(F.col("kind") == REPEATED).select("did", "tie", start.alias("start"), (count + (window - 1)).alias("length"))
-    each = F.transform(F.sequence(F.lit(0), (F.length("wins") / WIN_BYTES - 1).cast("int")), lambda i: F.substring("wins", (i * WIN_BYTES + 1).cast("int"), F.lit(WIN_BYTES)))
-    crowd = found.filter(F.col("kind") == CROWD).select("anchor", "did", "tie", start.alias("first"), F.posexplode(each).alias("i", "win")).select("anchor", "win", "did", "tie", (F.col("first") + F.col("i")).alias("start"))
-    lead = materialize(crowd.groupBy("anchor", "win").agg(F.min(F.struct("did", "tie", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    single = crowd.join(lead, ["anchor", "win"]).filter(F.struct("did", "tie", "start") != F.col("lead")).select("did", "tie", "start", F.lit(window).cast("long").alias("length"))
-    return whole.unionByName(single)
+    anchors = materialize(in_batches(rows, lambda b: _anchors(b, window), ANCHORS))
+    frequent = anchors.groupBy("anchor").agg(F.sum("weight").alias("n")).filter("n > 1")
+    recurring = materialize(anchors.drop("weight").join(frequent, "anchor").select("did", "tie", F.struct("at", "anchor", (F.col("n") > CROWDED).alias("crowded")).alias("p")))
+    places = recurring.groupBy("did", "tie").agg(F.collect_list("p").alias("places"))
+    contents = materialize(in_batches(rows.join(places, ["did", "tie"]), lambda b: _contents(b, window), CONTENTS))
+
+    plain = contents.filter(F.col("kind") == PLAIN).select("anchor", "did", "tie", "start", "content")
+    dealt = plain.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor", "did", "tie", "start")
+    matched = in_batches(dealt, lambda b: _resolve(b, window), SPANS)
+    whole = contents.filter(F.col("kind") == REPEATED).select("did", "tie", "start", "n")
+    each = F.transform(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda i: F.substring("content", (i * 16 + 1).cast("int"), F.lit(16)))
+    crowd = contents.filter(F.col("kind") == CROWD).select("did", "tie", "start", F.posexplode(each).alias("i", "win")).select("win", "did", "tie", (F.col("start") + F.col("i")).alias("start"))
+    lead = materialize(crowd.groupBy("win").agg(F.min(F.struct("did", "tie", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    single = crowd.join(lead, "win").filter(F.struct("did", "tie", "start") != F.col("lead")).select("did", "tie", "start", F.lit(1).cast("long").alias("n"))
+    return materialize(whole.unionByName(matched).unionByName(single))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, n_removed, kept (words joined by spaces), passages [(start, length)].
 
     Windows are judged on the input. Null text has no words; shorter texts than a window are
-    kept. Null ids come last in the order; rows of one id are ordered by their text's hash,
+    kept. Very long texts are cut to segments whole, one text in memory at a time with its
+    slice. Null ids come last in the order; rows of one id are ordered by their text's hash,
     rows that repeat id and text both count as one document and get the same result. Empty
     table: no rows. Other columns are not read."""
-    spans = repeated_passages(docs, id_col, text_col, window).groupBy("did", "tie").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    spans = repeated_passages(docs, id_col, text_col, window).groupBy("did", "tie").agg(F.collect_list(F.struct("start", (F.col("n") + (window - 1)).alias("length"))).alias("spans"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), order_id(id_col).alias("did"), tie_of(text_col).alias("tie"), text_of(text_col).alias("t"))
     joined = rows.join(spans, ["did", "tie"], "left").select("doc_id", "t", "spans")
 
@@ -280,7 +251,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 names=["doc_id", "n_words", "n_removed", "kept", "passages"],
             )
 
-    return joined.mapInArrow(strip, "doc_id long, n_words long, n_removed long, kept string, passages array<struct<start:long,length:long>>")
+    return in_batches(joined, strip, "doc_id long, n_words long, n_removed long, kept string, passages array<struct<start:long,length:long>>")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
