@@ -21,7 +21,6 @@ several segments, and it is enough to compare the segments of one anchor.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -34,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedspark.llm.common import in_batches, materialize, order_id, partitions, table, text_of, tie_of
+from feedspark.llm.decontaminate import merged
 from feedspark.llm.hashing import HASHES, rolled, sliding_min
 
 WINDOW, GRAM = 20, 6
@@ -42,8 +42,8 @@ RUN = 20
 #: From more segments of one anchor in all documents, its windows are dealt one by one.
 CROWDED = 1_000
 #: Bytes of text that are looked at together, and segments whose windows one automaton holds (and one anchor's more).
-SLICE, CHUNK = 4_000_000, 4_000
-#: What a row of ``CONTENTS`` is: a segment's words, to be dealt by anchor; hashes of a segment's windows; windows that are repeated whole.
+SLICE, CHUNK = 4_000_000, 100
+#: What a row of ``CONTENTS`` is: a segment's words, to be dealt by anchor; the hash of a crowded anchor's window; windows that are repeated whole.
 PLAIN, CROWD, REPEATED = 0, 1, 2
 ANCHORS = "anchor long, did long, tie long, at long, weight int"
 CONTENTS = "kind byte, anchor long, did long, tie long, start long, n long, content binary"
@@ -113,22 +113,25 @@ def _contents(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                 column.append(x)
 
         seen: dict[bytes, tuple[int, int, int]] = {}
+        wins: dict[bytes, tuple[int, int, int]] = {}
         for i in sorted(range(len(texts)), key=lambda i: (did[i], tie[i])):
-            words, since, until = texts[i].split(), 0, 0
+            words, repeated = texts[i].split(), []
             for at, anchor, crowded in sorted({(p["at"], p["anchor"], p["crowded"]) for p in rows.column(3)[i].as_py()}):
                 start, n = at >> 8, at & 255
                 content = b" ".join(words[start : start + n + window - 1])
                 here = (did[i], tie[i], start)
                 if seen.setdefault(content, here) != here:
-                    if start != until and until > since:
-                        put(REPEATED, 0, did[i], tie[i], since, until - since, None)
-                    since, until = since if start == until > since else start, start + n
-                elif crowded:
-                    hashes = b"".join([digest(b" ".join(words[j : j + window])) for j in range(start, start + n)])
-                    put(CROWD, anchor, did[i], tie[i], start, n, hashes)
-                else:
+                    repeated.append((start, start + n))
+                elif not crowded:
                     put(PLAIN, anchor, did[i], tie[i], start, n, content)
-            if until > since:
+                else:
+                    for j in range(start, start + n):
+                        win, own = digest(b" ".join(words[j : j + window])), (did[i], tie[i], j)
+                        if wins.setdefault(win, own) != own:
+                            repeated.append((j, j + 1))
+                        else:
+                            put(CROWD, anchor, did[i], tie[i], j, 1, win)
+            for since, until in merged(repeated):
                 put(REPEATED, 0, did[i], tie[i], since, until - since, None)
         kinds = (pa.int8(), *[pa.int64()] * 5, pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["kind", "anchor", "did", "tie", "start", "n", "content"])
@@ -137,16 +140,14 @@ def _contents(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 def located(groups: list[list[tuple[int, int, int, bytes]]], window: int = WINDOW) -> Iterator[tuple[int, int, int, int]]:
     """(did, tie, start, n): runs of n windows that match an earlier place; rows of a group: (did, tie, start, words), one anchor's, in order.
 
-    A word is spelled by two letters, of different alphabets, so that no node has many children
-    and matches begin at words."""
+    The automaton's letters are the words, numbered as they come. They are few (CHUNK segments
+    and one anchor's more), so that no node has many children."""
     number: dict[bytes, int] = {}
-    texts = [[[number.setdefault(w, len(number)) for w in row[3].split(b" ")] for row in rows] for rows in groups]
-    base = math.isqrt(len(number)) + 1
-    spelled = [chr(1 + n // base) + chr(1 + base + n % base) for n in range(len(number))]
-    coded = [["".join([spelled[c] for c in own]) for own in rows] for rows in texts]
-    automaton, size = ahocorasick.Automaton(ahocorasick.STORE_INTS), 2 * window
+    texts = [[[number.setdefault(w, 1 + len(number)) for w in row[3].split(b" ")] for row in rows] for rows in groups]
+    coded = [["".join(map(chr, own)) for own in rows] for rows in texts]
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     for rows in coded:  # confirmed passages: windows whose words stand in several places of the anchor
-        counts = Counter(text[i : i + size] for text in rows for i in range(0, len(text) - size + 1, 2))
+        counts = Counter(text[i : i + window] for text in rows for i in range(len(text) - window + 1))
         for passage, n in counts.items():
             if n > 1:
                 automaton.add_word(passage, len(automaton))
@@ -157,7 +158,7 @@ def located(groups: list[list[tuple[int, int, int, bytes]]], window: int = WINDO
     for (did, tie, start, _), text in zip(chain.from_iterable(groups), chain.from_iterable(coded), strict=True):
         since = until = 0
         for end, passage in automaton.iter(text):
-            at = start + (end + 1) // 2 - window
+            at = start + end + 1 - window
             here = (did, tie, at)
             if first.setdefault(passage, here) != here:
                 if at != until:
@@ -211,8 +212,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     dealt = plain.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor", "did", "tie", "start")
     matched = in_batches(dealt, lambda b: _resolve(b, window), SPANS)
     whole = contents.filter(F.col("kind") == REPEATED).select("did", "tie", "start", "n")
-    each = F.transform(F.sequence(F.lit(0), F.col("n").cast("int") - 1), lambda i: F.substring("content", (i * 16 + 1).cast("int"), F.lit(16)))
-    crowd = contents.filter(F.col("kind") == CROWD).select("did", "tie", "start", F.posexplode(each).alias("i", "win")).select("win", "did", "tie", (F.col("start") + F.col("i")).alias("start"))
+    crowd = contents.filter(F.col("kind") == CROWD).select(F.col("content").alias("win"), "did", "tie", "start")
     lead = materialize(crowd.groupBy("win").agg(F.min(F.struct("did", "tie", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     single = crowd.join(lead, "win").filter(F.struct("did", "tie", "start") != F.col("lead")).select("did", "tie", "start", F.lit(1).cast("long").alias("n"))
     return materialize(whole.unionByName(matched).unionByName(single))
