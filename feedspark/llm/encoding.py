@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 #: Code points that some engine takes for white space. Cuts are made only at spaces beside none of these.
 WHITE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
 CUT = re.compile(f"(?<![{WHITE}]) (?![{WHITE}])")
+#: Bytes of texts that are encoded together.
+SLICE = 4_000_000
 BESIDE = f" [{WHITE}]|[{WHITE}] "
 
 
@@ -51,8 +53,18 @@ class Encoder:
         self.limit = limit
         self.known: dict[str, bytes] = {}
 
-    def direct(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def direct(self, texts: list[str], many: int = 5_000, size: int = 1_000_000) -> list[bytes]:
+        """In calls of ``many`` texts or about ``size`` characters, as the library's results take more memory than the ids."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, total = at, 0
+            while end < min(len(texts), at + many) and total < size:
+                total += len(texts[end])
+                end += 1
+            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts[at:end], add_special_tokens=False)]
+            at = end
+        return out
 
     def _ids(self, distinct: list[str]) -> list[bytes]:
         got = list(map(self.known.get, distinct))
@@ -90,7 +102,7 @@ def encoder(path: str, limit: int = REMEMBERED) -> Encoder:
     return own
 
 
-def slices(texts: pa.StringArray, size: int = 8_000_000) -> Iterator[pa.StringArray]:
+def slices(texts: pa.StringArray, size: int = SLICE) -> Iterator[pa.StringArray]:
     """Consecutive texts of about ``size`` bytes together, one at least."""
     if not len(texts):
         return
@@ -103,7 +115,8 @@ def slices(texts: pa.StringArray, size: int = 8_000_000) -> Iterator[pa.StringAr
         first = last
 
 
-def encoded(texts: pa.StringArray, path: str, size: int = 8_000_000, limit: int = REMEMBERED) -> Iterator[bytes]:
+def encoded(texts: pa.StringArray, path: str, size: int = SLICE, limit: int = REMEMBERED) -> Iterator[bytes]:
     own = encoder(path, limit)
     for held in slices(texts, size):
         yield from own.encode(held)
+    pa.default_memory_pool().release_unused()
