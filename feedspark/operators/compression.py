@@ -6,10 +6,12 @@ import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedspark.operators.carry import inside, with_carry, with_previous
+
 
 @dataclass(frozen=True)
 class CompressionPolicy:
@@ -41,63 +43,82 @@ class CompressionPolicy:
         if any(a != b for a, b in zip(last[:n], row[:n], strict=True)):
             return True
         for a, b, t in zip(last[n:], row[n:], self.tolerant.values(), strict=True):
-            if (a is None) != (b is None) or a is not None and (abs(b - a) > t if t > 0 else a != b):
+            if isinstance(a, str) or isinstance(b, str) or a is None or b is None:
+                if a != b:
+                    return True
+            elif abs(b - a) > t if t > 0 else a != b:
                 return True
         return False
 
 
-def _plain(values: pd.Series) -> list:
-    return [None if x is None or x is pd.NaT or x != x else x for x in values.tolist()]
+def plain(values: pa.Array) -> list:
+    """Exact Python values; NaN as a text, so that it equals itself and nothing else."""
+    return ["NaN" if x != x else x for x in values.to_pylist()]
 
 
-def compress(df: DataFrame, policy: CompressionPolicy, time: str, order: list[str], bucket: list[str] | None = None, durable: str | None = None) -> DataFrame:
+def compress(df: DataFrame, policy: CompressionPolicy, time: str, order: list[str], bucket: list[str] | None = None, durable: str | None = None, cut: bool = False) -> DataFrame:
     """Rows to emit: the first of a key and bucket (a day, say), a changed one, one after the heartbeat.
 
     ``time``: seconds. ``order``: a total order inside a key. Rows whose ``durable`` column is
-    false are dropped and do not become the row to compare with. One shuffle by key and
+    not true are dropped and do not become the row to compare with. One shuffle by key and
     bucket; a streaming fold holds the last emitted row of one key only, so a key may have
-    any number of rows. Null keys are a key; null equals null."""
-    group = [*policy.key, *(bucket or [])]
-    fields = [*policy.exact, *policy.tolerant]
-
-    def fold(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    any number of rows. Null keys are a key; null equals null, NaN equals NaN. Only key,
+    time and tracked columns come to Python; the rows that stay are filtered in Arrow, as
+    they are. ``cut``, for few keys with many rows: a gap of the heartbeat or more emits
+    whatever came before, so runs between such gaps are folded apart."""
+    group, fields = [*policy.key, *(bucket or [])], [*policy.exact, *policy.tolerant]
+    rows = df.filter(F.coalesce(F.col(durable), F.lit(False))) if durable else df
+    if cut and policy.heartbeat is not None:
+        w = Window.partitionBy(*group).orderBy(*order)
+        new = F.coalesce(F.col(time) - F.lag(time).over(w) >= policy.heartbeat, F.lit(True))
+        rows, group = rows.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(w)).drop("_new"), [*group, "_run"]
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, last, since = object(), None, 0.0
-        for pdf in batches:
-            keys = list(zip(*(_plain(pdf[c]) for c in group), strict=True))
-            rows = list(zip(*(_plain(pdf[c]) for c in fields), strict=True))
+        for batch in batches:
+            keys = zip(*(plain(batch.column(c)) for c in group), strict=True)
+            tracked = zip(*(plain(batch.column(c)) for c in fields), strict=True)
             keep = []
-            for k, row, now, ok in zip(keys, rows, pdf[time].tolist(), pdf[durable].tolist() if durable else [True] * len(pdf), strict=True):
+            for k, row, now in zip(keys, tracked, batch.column(time).to_pylist(), strict=True):
                 if k != key:
                     key, last = k, None
-                emit = bool(ok) and (last is None or policy.changed(last, row) or policy.heartbeat is not None and now - since >= policy.heartbeat)
+                emit = last is None or policy.changed(last, row) or policy.heartbeat is not None and now - since >= policy.heartbeat
                 if emit:
                     last, since = row, now
                 keep.append(emit)
-            yield pdf[keep]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(fold, df.schema)
+    return rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(fold, rows.schema).select(*df.columns)
 
 
-def thin(df: DataFrame, key: list[str], time: str, order: list[str], interval: float, forced: Column) -> DataFrame:
+def thin(df: DataFrame, key: list[str], time: str, order: list[str], interval: float, forced: Column, bucket: str) -> DataFrame:
     """Rows kept: the first of a key, one at least ``interval`` after the last kept, and forced ones.
 
     A forced row and a row at least ``interval`` after its predecessor are kept whatever came
-    before; they cut a key's rows into independent runs, over which the fold is dealt."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    gap = F.col(time) - F.lag(time).over(w)
-    runs = df.withColumn("_cut", (F.coalesce(forced, F.lit(False)) | gap.isNull() | (gap >= interval)).cast("int")).withColumn("_run", F.sum("_cut").over(w))
-
-    def fold(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    before; they cut a key's rows into independent runs, over which the fold is dealt. Rows are
+    ordered inside (key, bucket) only: ``bucket`` rises with the order (a day, say), and hands
+    on its last time and its last cut."""
+    before = with_previous(df, key, bucket, order, F.col(time), "_before")
+    gap = F.col(time) - F.col("_before.v")
+    marked = before.withColumn("_cut", F.coalesce(forced, F.lit(False)) | gap.isNull() | (gap >= interval)).drop("_before")
+    w = inside(key, bucket, order)
+    numbered = marked.withColumn("_no", F.when(F.col("_cut"), F.sum(F.col("_cut").cast("int")).over(w)))
+    last_cut = F.max(F.when(F.col("_cut"), F.struct(F.col(bucket).alias("b"), F.col("_no").alias("n"))))
+    carried = with_carry(numbered, key, bucket, {"_carried": last_cut})
+    own = F.last(F.when(F.col("_cut"), F.struct(F.col(bucket).alias("b"), F.col("_no").alias("n"))), ignorenulls=True).over(w)
+    runs = carried.withColumn("_run", F.coalesce(own, "_carried")).drop("_no", "_carried")
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0.0
-        for pdf in batches:
+        for batch in batches:
             keep = []
-            for cut, now in zip(pdf["_cut"].tolist(), pdf[time].tolist(), strict=True):
-                emit = bool(cut) or now - at >= interval
+            for cut, now in zip(batch.column("_cut").to_pylist(), batch.column(time).to_pylist(), strict=True):
+                emit = cut or now - at >= interval
                 at = now if emit else at
                 keep.append(emit)
-            yield pdf[keep]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return runs.repartition(*key, "_run").sortWithinPartitions(*key, "_run", *order).mapInPandas(fold, runs.schema).drop("_cut", "_run")
+    return runs.repartition(*key, "_run").sortWithinPartitions(*key, "_run", *order).mapInArrow(fold, runs.schema).select(*df.columns)
 
 
 def null_guard(df: DataFrame, poll: list[str], signal: Column, guard: int, stream: list[str] | None = None) -> DataFrame:

@@ -41,10 +41,11 @@ def gap_summary(polls: DataFrame, stream: list[str], factor: float = 1.5) -> Dat
     return polls.groupBy(*stream, "cadence").agg(F.count(F.lit(1)).alias("n_polls"), F.count(F.when(long, 1)).alias("n_gaps"), F.max("gap").alias("max_gap"))
 
 
-def first_gaps(polls: DataFrame, feed: list[str], order: list[str], n: int = 20, factor: float = 1.5) -> DataFrame:
-    """The first n gaps of each feed in time order."""
-    w = Window.partitionBy(*feed).orderBy(*order)
-    return polls.filter(F.col("gap") > factor * F.col("cadence")).withColumn("gap_no", F.row_number().over(w)).filter(F.col("gap_no") <= n)
+def first_gaps(polls: DataFrame, feed: list[str], order: list[str], bucket: str, n: int = 20, factor: float = 1.5) -> DataFrame:
+    """The first n gaps of each feed in time order, from the first n of each of its buckets (which rise with the order)."""
+    here = F.row_number().over(Window.partitionBy(*feed, bucket).orderBy(*order))
+    few = polls.filter(F.col("gap") > factor * F.col("cadence")).withColumn("_no", here).filter(F.col("_no") <= n).drop("_no")
+    return few.withColumn("gap_no", F.row_number().over(Window.partitionBy(*feed).orderBy(*order))).filter(F.col("gap_no") <= n)
 
 
 def expected_polls(cadence: Column, seconds: float = 86_400.0) -> Column:

@@ -11,6 +11,13 @@ RUN_ID = "^[0-9a-f]{32}$"
 #: The counts that a feed of a complete day needs at least once, and those that must be zero.
 AT_LEAST_ONE = ("successful_http_polls", "successful_parse_polls", "raw_snapshots", "parquet_files")
 ZERO = ("pending_spool_segments",)
+#: Extension columns that are probed in each feed.
+_VEHICLE = ("bkk_vehicle_model", "bkk_deviated", "bkk_vehicle_type", "bkk_door_open", "bkk_stop_distance")
+EXTENSION_FIELDS = {
+    "vehiclepositions": _VEHICLE,
+    "tripupdates": (*_VEHICLE, *(f"bkk_scheduled_{event}_{part}" for event in ("arrival", "departure") for part in ("delay", "time", "uncertainty", "scheduled_time"))),
+    "alerts": ("bkk_start_text_json", "bkk_end_text_json", "bkk_modified_time", "bkk_route_details_json"),
+}
 
 
 def source_timestamp_updates(seen: DataFrame, grid: DataFrame, poll: str, trip: list[str], timestamp: str) -> DataFrame:
@@ -90,6 +97,12 @@ def population(rows: DataFrame, fields: list[str], by: list[str] | None = None)
     return rows.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNotNull() & (F.col(c).cast("string") != "[]")).alias(f"n_{c}") for c in fields])
 
 
+def extension_probe(rows: DataFrame, feed: str, by: list[str] | None = None) -> DataFrame:
+    """``population`` of the feed's extension columns; a column that the table lacks is never filled."""
+    fields = [c for c in EXTENSION_FIELDS[feed]]
+    return population(rows.withColumns({c: F.lit(None).cast("string") for c in fields if c not in rows.columns}), fields, by)
+
+
 def entity_time_range(polls: DataFrame, entities: str, time: Column | None = None) -> DataFrame:
     """Adds the earliest and latest time of each poll's entities; ``time`` maps an entity ``e`` to seconds; zero and null do not count."""
     times = F.filter(F.transform(entities, time), lambda t: t.isNotNull() & (t > 0))

@@ -33,6 +33,5 @@ def canonical_json(value: Column, keep_nulls: bool = True) -> Column:
 def content_digest(df: DataFrame, poll: list[str], entity: str) -> DataFrame:
     """SHA-256 over the poll's entities, each with its length in 8 bytes, in sorted order: independent of their order in the poll."""
     raw = F.col(entity).cast("binary")
-    framed = F.concat(F.unhex(F.lpad(F.hex(F.octet_length(raw)), 16, "0")), raw)
-    joined = F.aggregate(F.transform(F.array_sort(F.collect_list(F.struct(raw.alias("raw"), framed.alias("framed")))), lambda x: x["framed"]), F.lit(b"").cast("binary"), lambda a, b: F.concat(a, b))
-    return df.groupBy(*poll).agg(F.sha2(joined, 256).alias("digest"), F.count(F.lit(1)).alias("n_entities"))
+    framed = F.transform(F.array_sort(F.collect_list(raw)), lambda x: F.concat(F.lpad(F.hex(F.octet_length(x)), 16, "0"), F.hex(x)))
+    return df.groupBy(*poll).agg(F.sha2(F.unhex(F.array_join(framed, "")), 256).alias("digest"), F.count(F.lit(1)).alias("n_entities"))

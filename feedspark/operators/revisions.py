@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedspark.operators.carry import with_previous
+
 QUANTILES = (0.5, 0.75, 0.9, 0.95, 0.99)
 THRESHOLDS = (0, 1, 2, 5, 10, 15, 20, 30, 60)
 
@@ -47,9 +49,15 @@ def most_common(histogram: DataFrame, n: int = 20) -> DataFrame:
     return histogram.orderBy(F.desc("n"), "revision").limit(n)
 
 
-def sampling_intervals(df: DataFrame, key: list[str], order: list[str], seconds: str, target: float, factor: float = 1.5) -> DataFrame:
-    """Median of the non-negative intervals of each key, and whether it is at most factor * target; without any: infinite."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    gaps = df.withColumn("_gap", F.col(seconds) - F.lag(seconds).over(w))
-    got = gaps.groupBy(*key).agg(F.median(F.when(F.col("_gap") >= 0, F.col("_gap"))).alias("median_interval"))
+def sampling_intervals(df: DataFrame, key: list[str], order: list[str], seconds: str, target: float, bucket: str, factor: float = 1.5) -> DataFrame:
+    """Median of the non-negative intervals of each key, and whether it is at most factor * target; without any: infinite.
+
+    Rows are ordered inside (key, bucket); the median comes from counts of distinct intervals."""
+    gaps = with_previous(df, key, bucket, order, F.col(seconds), "_before").select(*key, (F.col(seconds) - F.col("_before.v")).alias("_gap"))
+    counts = gaps.groupBy(*key, F.when(F.col("_gap") >= 0, F.col("_gap")).alias("_gap")).agg(F.count("_gap").alias("_n"))
+    w = Window.partitionBy(*key).orderBy("_gap")
+    at = counts.withColumns({"_upto": F.sum("_n").over(w), "_total": F.sum("_n").over(Window.partitionBy(*key))})
+    place = lambda rank: F.min(F.when((F.col("_n") > 0) & (F.col("_upto") > rank), F.col("_gap")))
+    low, high = place(F.floor((F.col("_total") - 1) / 2)), place(F.floor(F.col("_total") / 2))
+    got = at.groupBy(*key).agg(((low + high) / 2).alias("median_interval"))
     return got.withColumn("median_interval", F.coalesce("median_interval", F.lit(float("inf")))).withColumn("comparable", F.col("median_interval") <= factor * target)

@@ -2,51 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedspark.operators.carry import with_carry
+from feedspark.operators.coverage import flag_list
+from feedspark.operators.health import unchanged_since
+
 UNMATCHED = "external_or_unmatched_valid_realtime"
 
 
+def checks(history: DataFrame, checked: str, order: list[str]) -> DataFrame:
+    """One row for each time of a check, the earliest appended, with its day (_day); rows without a time are left out."""
+    first = Window.partitionBy(checked).orderBy(*order)
+    return history.filter(F.col(checked).isNotNull()).withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n").withColumn("_day", F.to_date(checked))
+
+
 def validity(history: DataFrame, checked: str, order: list[str]) -> DataFrame:
     """Adds valid_from and valid_to (exclusive, null for the last); of equal times the earliest appended counts.
 
-    The history is small (a row for each check of the dataset), so one ordering of it is cheap."""
-    first = Window.partitionBy(checked).orderBy(*order)
-    rows = history.filter(F.col(checked).isNotNull()).withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return rows.withColumns({"valid_from": F.col(checked), "valid_to": F.lead(checked).over(Window.orderBy(checked))})
+    Checks are ordered inside their day; only days, a row each, are ordered along the history."""
+    rows = checks(history, checked, order)
+    days = rows.groupBy("_day").agg(F.min(checked).alias("_first"))
+    following = days.select("_day", F.lead("_first").over(Window.orderBy("_day")).alias("_following"))
+    own = F.lead(checked).over(Window.partitionBy("_day").orderBy(checked))
+    return rows.join(following, "_day").withColumns({"valid_from": F.col(checked), "valid_to": F.coalesce(own, "_following")}).drop("_day", "_following")
 
 
 def as_of(observations: DataFrame, history: DataFrame, time: str, checked: str, order: list[str], version: list[str]) -> DataFrame:
     """Each observation with the version valid at its time (null before the first).
 
-    Intervals are laid out by day, so that the join is an equi join on the day with the range
-    as a condition: no nested loop, and no side has to be broadcast."""
-    last = observations.agg(F.to_date(F.max(time)).alias("_last"))
-    spans = validity(history, checked, order).select("valid_from", "valid_to", *version).crossJoin(F.broadcast(last))
-    until = F.least(F.coalesce(F.to_date("valid_to"), F.col("_last")), F.col("_last"))
-    days = spans.filter(F.to_date("valid_from") <= until).withColumn("_day", F.explode(F.sequence(F.to_date("valid_from"), until))).drop("_last")
-    on = (F.col("_obs") == F.col("_day")) & (F.col(time) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(time) < F.col("valid_to")))
-    exact = observations.withColumn("_obs", F.to_date(time)).join(days, on, "left")
-    return exact.drop("_obs", "_day", "valid_from", "valid_to")
+    Observations and checks are put in one order inside each day; a day hands on its last
+    version. So the work is the rows of a day, not observations times versions, and no side is
+    broadcast."""
+    v = F.struct(*[F.col(c) for c in version])
+    known = checks(history, checked, order).select("_day", F.col(checked).cast("timestamp").alias("_t"), v.alias("_v"))
+    seen = observations.select(F.to_date(time).alias("_day"), F.col(time).cast("timestamp").alias("_t"), F.struct(*[F.col(c) for c in observations.columns]).alias("_o"))
+    both = seen.unionByName(known, allowMissingColumns=True)
+    w = Window.partitionBy("_day").orderBy("_t", F.col("_o").isNotNull())
+    carried = with_carry(both, [], "_day", {"_carried": F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t")))})
+    got = carried.withColumn("_v", F.coalesce(F.last("_v", ignorenulls=True).over(w), "_carried")).filter("_o is not null")
+    return got.select("_o.*", *[F.when(F.col("_t").isNotNull(), F.col(f"_v.{c}")).alias(c) for c in version])
 
 
 def day_end(days: DataFrame, history: DataFrame, day: str, checked: str, order: list[str], version: list[str]) -> DataFrame:
-    """The version checked last before the end of each day."""
-    spans = validity(history, checked, order).select("valid_from", "valid_to", *version)
-    end = F.date_add(F.col(day), 1).cast("timestamp")
-    return days.join(F.broadcast(spans), (F.col("valid_from") < end) & (F.col("valid_to").isNull() | (F.col("valid_to") >= end)), "left").drop("valid_from", "valid_to")
+    """The version checked last before the end of each day, from the last check of each day of the history."""
+    daily = checks(history, checked, order).groupBy(F.col("_day").alias("_d")).agg(F.max_by(F.struct(*version), checked).alias("_v"))
+    grid = daily.unionByName(days.select(F.to_date(day).alias("_d")).distinct(), allowMissingColumns=True).groupBy("_d").agg(F.max("_v").alias("_v"))
+    upto = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    last = grid.select("_d", F.last("_v", ignorenulls=True).over(upto).alias("_v"))
+    return days.join(last, F.to_date(F.col(day)) == F.col("_d"), "left").select(*[days[c] for c in days.columns], *[F.col(f"_v.{c}").alias(c) for c in version])
+
+
+def timeline(history: DataFrame, checked: str, order: list[str], version: list[str], start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Consecutive intervals of equal version, merged; clipped to [start, end) where given.
+
+    The begin of a run is carried from day to day, see ``unchanged_since``."""
+    spans = validity(history, checked, order).withColumns({"_day": F.to_date("valid_from"), "_v": F.struct(*version)})
+    runs = unchanged_since(spans, [], ["valid_from"], "_v", "valid_from", "_began", "_day")
+    got = runs.groupBy("_began", *version).agg(F.min("valid_from").alias("valid_from"), F.max_by("valid_to", "valid_from").alias("valid_to"), F.count(F.lit(1)).alias("n_checks")).drop("_began")
+    if start is not None:
+        got = got.withColumn("valid_from", F.greatest("valid_from", start)).filter(F.col("valid_to").isNull() | (F.col("valid_to") > start))
+    if end is not None:
+        got = got.withColumn("valid_to", F.least(F.coalesce("valid_to", end), end)).filter(F.col("valid_from") < end)
+    return got
 
 
-def timeline(history: DataFrame, checked: str, order: list[str], version: list[str]) -> DataFrame:
-    """Consecutive intervals of equal version, merged."""
-    spans = validity(history, checked, order)
-    w = Window.orderBy("valid_from")
-    differs = F.lit(False)
-    for v in version:
-        differs = differs | ~F.col(v).eqNullSafe(F.lag(v).over(w))
-    runs = spans.withColumn("_new", differs.cast("int")).withColumn("_run", F.sum("_new").over(w))
-    return runs.groupBy("_run", *version).agg(F.min("valid_from").alias("valid_from"), F.max_by("valid_to", "valid_from").alias("valid_to"), F.count(F.lit(1)).alias("n_checks")).drop("_run")
+def version_usage(snapshots: DataFrame, version: list[str], confidence: str) -> DataFrame:
+    """For each version: snapshots, its confidence ('mixed' if there are several), and snapshots by confidence."""
+    counts = snapshots.groupBy(*version, F.coalesce(F.col(confidence), F.lit("unknown")).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    by = F.array_sort(F.collect_list(F.struct(F.col("_c").alias("confidence"), F.col("_n").alias("snapshots"))))
+    got = counts.groupBy(*version).agg(F.sum("_n").alias("snapshots"), by.alias("by_confidence"))
+    return got.withColumn("confidence", F.when(F.size("by_confidence") > 1, "mixed").otherwise(F.get("by_confidence", F.lit(0))["confidence"]))
 
 
 def static_matches(observed: DataFrame, trips: DataFrame, routes: DataFrame, stop_times: DataFrame, trip: str, route: str, stop: list[str], mode: str) -> DataFrame:
@@ -62,10 +89,24 @@ def static_matches(observed: DataFrame, trips: DataFrame, routes: DataFrame, sto
     return got.withColumns(flags).withColumn("mode", F.when(F.col("trip_matched"), F.coalesce("_mode", F.lit("static_route_type_unknown"))).otherwise(UNMATCHED)).drop("_mode", "_route")
 
 
-def match_rates(matches: DataFrame, warning_rate: float = 0.9) -> DataFrame:
-    """By mode and overall ('all'): updates, trip matches, exact matches, rate, warning below the rate."""
-    sums = [F.sum("n").alias("updates"), F.sum(F.when(F.col("trip_matched"), F.col("n")).otherwise(0)).alias("trip_matches"), F.sum(F.when(F.col("exact"), F.col("n")).otherwise(0)).alias("exact_matches")]
-    by_mode = matches.groupBy("mode").agg(*sums)
-    overall = by_mode.agg(*[F.sum(c).alias(c) for c in ("updates", "trip_matches", "exact_matches")]).select(F.lit("all").alias("mode"), "*")
-    rate = F.col("exact_matches") / F.col("updates")
-    return by_mode.unionByName(overall).withColumn("exact_rate", rate).withColumn("warning", F.when(rate < warning_rate, F.format_string("%s: %d of %d updates match", "mode", "exact_matches", "updates")))
+def match_rates(matches: DataFrame, warning_rate: float = 0.9, resolved: Column | None = None) -> DataFrame:
+    """By mode and overall ('all'): updates, trip and exact matches, their rates, warnings.
+
+    Where ``resolved`` is false no version was known at the time: such updates count in the
+    overall total (and as ``unresolved`` there) only. A mode warns on its exact rate, but for
+    unmatched external services, which are valid observations; overall, the trip rate and the
+    exact rate warn apart, and so do unresolved updates."""
+    known = F.lit(True) if resolved is None else F.coalesce(resolved, F.lit(False))
+    rows = matches.withColumn("_known", known)
+    of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("long")
+    sums = [of(F.lit(True)).alias("updates"), of(F.col("_known") & F.col("trip_matched")).alias("trip_matches"), of(F.col("_known") & F.col("exact")).alias("exact_matches"), of(~F.col("_known")).alias("unresolved")]
+    by_mode = rows.groupBy(F.when(F.col("_known"), F.col("mode")).alias("mode")).agg(*sums)
+    overall = by_mode.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("updates", "trip_matches", "exact_matches", "unresolved")]).select(F.lit("all").alias("mode"), "*")
+    share = lambda c: F.when(F.col("updates") > 0, F.col(c) / F.col("updates"))
+    got = by_mode.filter("mode is not null").unionByName(overall).withColumns({"trip_rate": share("trip_matches"), "exact_rate": share("exact_matches")})
+    whole = F.col("mode") == "all"
+    return got.withColumn("warnings", flag_list([
+        ("unresolved_updates", whole & (F.col("unresolved") > 0)),
+        ("low_trip_rate", whole & (F.col("trip_rate") < warning_rate)),
+        ("low_exact_rate", (F.col("mode") != UNMATCHED) & (F.col("exact_rate") < warning_rate)),
+    ]))

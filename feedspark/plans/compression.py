@@ -22,11 +22,11 @@ def compress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compress_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     policy = CompressionPolicy(("event_type",), (), {"value": 30.0}, 6 * HOURS)
-    return compress(_rows(spark, sf_dir), policy, "sec", ["ts", "event_id"], ["day"]).select("event_id", "event_type", "value")
+    return compress(_rows(spark, sf_dir), policy, "sec", ["ts", "event_id"], ["day"], cut=True).select("event_id", "event_type", "value")
 
 
 def thin_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return thin(_rows(spark, sf_dir), ["event_type"], "sec", ["ts", "event_id"], 2.0 * HOURS, F.col("k") % 10 == 0).select("event_id", "event_type")
+    return thin(_rows(spark, sf_dir), ["event_type"], "sec", ["ts", "event_id"], 2.0 * HOURS, F.col("k") % 10 == 0, "day").select("event_id", "event_type")
 
 
 def silent_signals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def observation_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gap_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.first_gaps(_timed(spark, sf_dir), ["event_type"], ["ts", "event_id"]).select("event_type", "gap_no", "event_id", "gap")
+    return op.first_gaps(_timed(spark, sf_dir), ["event_type"], ["ts", "event_id"], "day").select("event_type", "gap_no", "event_id", "gap")
 
 
 def daily_feed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,13 +53,13 @@ def quality_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consecutive_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = health.consecutive_failures(_polls(spark, sf_dir), ["event_type"], ["ts", "event_id"], F.col("success") & F.col("parse_ok"))
+    got = health.consecutive_failures(_polls(spark, sf_dir), ["event_type"], ["ts", "event_id"], F.col("success") & F.col("parse_ok"), "day")
     return got.select("event_id", "failures")
 
 
 def _content(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _polls(spark, sf_dir).withColumn("content", F.floor(F.col("value") / 20))
-    return health.unchanged_since(p, ["event_type"], ["ts", "event_id"], "content", "us", "since_us")
+    return health.unchanged_since(p, ["event_type"], ["ts", "event_id"], "content", "us", "since_us", "day")
 
 
 def unchanged_since(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ def revision_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sampling_comparability(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir).withColumn("sec", F.col("us") / 1e6)
-    return op.sampling_intervals(e, ["event_type"], ["ts", "event_id"], "sec", 1000.0)
+    return op.sampling_intervals(e, ["event_type"], ["ts", "event_id"], "sec", 1000.0, "day")
 
 
 _HIST = """WITH d AS (SELECT event_type, CAST(round(value * 100) AS BIGINT) - lag(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS delta FROM events WHERE value IS NOT NULL),

@@ -127,6 +127,8 @@ _F = """WITH d AS (SELECT doc_id AS path, CAST(n_chars AS BIGINT) AS size, sha25
 o AS (SELECT CASE WHEN path % 11 = 0 THEN -1 - path ELSE path END AS path, CASE WHEN path % 7 = 0 THEN size + 1 ELSE size END AS size, CASE WHEN path % 13 = 0 THEN NULL WHEN path % 17 = 0 THEN reverse(sha) ELSE sha END AS sha FROM d WHERE path % 10 <> 0)
 """
 SQL = {
+    "content_digest": """WITH e AS (SELECT conv_id, encode(coalesce(text, '')) AS b FROM conversations)
+SELECT conv_id, sha256(unhex(string_agg(lpad(printf('%X', octet_length(b)), 16, '0') || hex(b), '' ORDER BY b))) AS digest, count(*) AS n_entities FROM e GROUP BY conv_id""",
     "flatten_orders": """SELECT o_orderkey, o_custkey, CAST(CASE WHEN l_orderkey IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_quantity) - 1 END AS INTEGER) AS pos, l_linenumber, l_suppkey, l_partkey, l_quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     "flatten_selectors": """WITH s AS (SELECT o_custkey, o_orderkey, o_orderstatus, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS pos FROM orders WHERE o_totalprice > 400000),
 j AS (SELECT o_custkey, '[' || string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}', ',' ORDER BY pos) || ']' AS selectors_json FROM s GROUP BY o_custkey)

@@ -38,7 +38,15 @@ def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def static_match_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.match_rates(_matches(spark, sf_dir))
+    """Suppliers whose key 50 divides have no version: unresolved."""
+    got = op.match_rates(_matches(spark, sf_dir), resolved=F.col("l_suppkey") % 50 != 0)
+    return got.withColumn("warnings", F.array_join("warnings", ","))
+
+
+def version_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a snapshot, its source the version, its language the confidence."""
+    got = op.version_usage(table(spark, sf_dir, "documents"), ["source"], "lang")
+    return got.select("source", "snapshots", "confidence", F.array_join(F.transform("by_confidence", lambda x: F.concat_ws(":", x["confidence"], x["snapshots"])), ",").alias("by_confidence"))
 
 
 def unmatched_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,10 +67,14 @@ SQL = {
     "version_timeline": _H + """, n AS (SELECT *, lead(checked_at) OVER (ORDER BY checked_at) AS nxt, CASE WHEN version = lag(version) OVER (ORDER BY checked_at) THEN 0 ELSE 1 END AS new FROM h),
 r AS (SELECT *, sum(new) OVER (ORDER BY checked_at) AS run FROM n)
 SELECT version, epoch_us(min(checked_at)) AS from_us, CASE WHEN count(*) = count(nxt) THEN epoch_us(max(nxt)) END AS to_us, count(*) AS n_checks FROM r GROUP BY run, version""",
-    "static_match_rates": _M + """, b AS (SELECT mode, sum(n) AS updates, sum(CASE WHEN trip_matched THEN n ELSE 0 END) AS trip_matches, sum(CASE WHEN exact THEN n ELSE 0 END) AS exact_matches FROM m GROUP BY mode),
-a AS (SELECT * FROM b UNION ALL SELECT 'all', sum(updates), sum(trip_matches), sum(exact_matches) FROM b)
-SELECT mode, CAST(updates AS BIGINT) AS updates, CAST(trip_matches AS BIGINT) AS trip_matches, CAST(exact_matches AS BIGINT) AS exact_matches, exact_matches / updates AS exact_rate,
-CASE WHEN exact_matches / updates < 0.9 THEN format('{}: {} of {} updates match', mode, exact_matches, updates) END AS warning FROM a""",
+    "static_match_rates": _M + """, k AS (SELECT *, l_suppkey % 50 <> 0 AS known FROM m),
+b AS (SELECT CASE WHEN known THEN mode END AS mode, sum(n) AS updates, sum(CASE WHEN known AND trip_matched THEN n ELSE 0 END) AS trip_matches, sum(CASE WHEN known AND exact THEN n ELSE 0 END) AS exact_matches, sum(CASE WHEN known THEN 0 ELSE n END) AS unresolved FROM k GROUP BY 1),
+a AS (SELECT * FROM b WHERE mode IS NOT NULL UNION ALL SELECT 'all', sum(updates), sum(trip_matches), sum(exact_matches), sum(unresolved) FROM b)
+SELECT mode, CAST(updates AS BIGINT) AS updates, CAST(trip_matches AS BIGINT) AS trip_matches, CAST(exact_matches AS BIGINT) AS exact_matches, CAST(unresolved AS BIGINT) AS unresolved, trip_matches / updates AS trip_rate, exact_matches / updates AS exact_rate,
+concat_ws(',', CASE WHEN mode = 'all' AND unresolved > 0 THEN 'unresolved_updates' END, CASE WHEN mode = 'all' AND trip_matches / updates < 0.9 THEN 'low_trip_rate' END,
+ CASE WHEN mode <> 'external_or_unmatched_valid_realtime' AND exact_matches / updates < 0.9 THEN 'low_exact_rate' END) AS warnings FROM a""",
+    "version_usage": """WITH c AS (SELECT source, coalesce(lang, 'unknown') AS c, count(*) AS n FROM documents GROUP BY ALL)
+SELECT source, CAST(sum(n) AS BIGINT) AS snapshots, CASE WHEN count(*) > 1 THEN 'mixed' ELSE min(c) END AS confidence, string_agg(c || ':' || n, ',' ORDER BY c) AS by_confidence FROM c GROUP BY source""",
     "unmatched_routes": _M + "SELECT coalesce(CAST(l_suppkey AS VARCHAR), '(missing_route_id)') AS route, CAST(sum(n) AS BIGINT) AS n FROM m WHERE NOT trip_matched GROUP BY ALL",
 }
-QUERIES = {f.__name__: f for f in (asof_version, day_end_version, version_timeline, static_match_rates, unmatched_routes)}
+QUERIES = {f.__name__: f for f in (asof_version, day_end_version, version_timeline, static_match_rates, version_usage, unmatched_routes)}

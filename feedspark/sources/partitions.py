@@ -10,17 +10,22 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from feedspark.functions.scalars import aware_timestamp
 from feedspark.operators.compression import CompressionPolicy, compress
 from feedspark.sources import gtfs_rt, rawlog
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Written below spark.checkpoint.dir (a temporary folder only where that is unset) and read again."""
+    """Written below spark.checkpoint.dir (a temporary folder only where that is unset, on one machine) and read again."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{(base or 'file://' + tempfile.mkdtemp(prefix='spark-', dir='/tmp')).rstrip('/')}/feedspark-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -127,3 +132,70 @@ def read_objects(spark: SparkSession, path: str, schema: str) -> DataFrame:
     got = spark.read.schema(f"{schema}, _corrupt string").option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
     name = F.col("_metadata.file_path")
     return got.withColumns({"path": name, "file_stem": F.regexp_extract(name, r"([^/]+)\.[^./]+$", 1)})
+
+
+def align(df: DataFrame, schema: str | T.StructType) -> DataFrame:
+    """The table's columns in its order: missing ones as typed nulls, others cast, a value that does not fit null; extra ones left out."""
+    kinds = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    return df.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in kinds.fields])
+
+
+def read_history(spark: SparkSession, path: str, schema: str = "checked_at string, sha256 string, size long, version_path string, changed boolean, source string, feed_version string") -> DataFrame:
+    """Observations of a dataset's versions, one JSON object a line, with checked_at as a timestamp; lines without a valid one are left out."""
+    rows = spark.read.schema(schema).json(path)
+    return rows.withColumn("checked_at", aware_timestamp(F.col("checked_at"))).filter(F.col("checked_at").isNotNull())
+
+
+def write_documents(documents: DataFrame, path: str) -> None:
+    """One JSON document a line, as made by ``manifest.as_json``."""
+    documents.select("document").write.mode("overwrite").text(path)
+
+
+def write_each_poll_once(stream: DataFrame, path: str, checkpoint: str, partition: str = "date"):
+    """Starts a Parquet sink of a stream: each micro-batch is a folder of its own, which a repeated batch replaces.
+
+    A batch that is run again after a failure writes the same folder, so that each poll is
+    there once; ``read_each_poll_once`` reads them. Returns the writer, to be given a trigger and started."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").option("compression", "zstd").partitionBy(partition).parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+
+
+def read_each_poll_once(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", "false").option("basePath", path).parquet(f"{path}/batch=*")
+
+
+#: Members that an archive of reference tables must have.
+REQUIRED_MEMBERS = ("agency.txt", "routes.txt", "trips.txt", "stops.txt", "stop_times.txt")
+
+
+def validate_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """For each archive: path, file_count, missing (required members), corrupt (a member or the archive), feed_version (first row of feed_info)."""
+
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [archive_state(x.as_py()) for x in batch.column(1)]
+            columns = list(zip(*found, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.list_(pa.string()), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns, kinds)], names=["path", "file_count", "missing", "corrupt", "feed_version"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(look, "path string, file_count long, missing array<string>, corrupt string, feed_version string")
+
+
+def archive_state(data: bytes) -> tuple[int, list[str], str | None, str | None]:
+    """Members, required ones that are missing, the first damaged one, the feed's version."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(data)) as z:
+            members = {n.rsplit("/", 1)[-1]: n for n in reversed(z.namelist()) if not n.endswith("/")}
+            missing = sorted(set(REQUIRED_MEMBERS) - members.keys())
+            damaged = z.testzip()
+            version = None
+            if "feed_info.txt" in members and damaged is None:
+                with io.TextIOWrapper(z.open(members["feed_info.txt"]), "utf-8-sig", newline="") as text:
+                    version = next(csv.DictReader(text), {}).get("feed_version")
+            return len(members), missing, damaged, version or None
+    except (zipfile.BadZipFile, OSError, ValueError) as problem:
+        return 0, list(REQUIRED_MEMBERS), type(problem).__name__, None

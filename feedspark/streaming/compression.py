@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql import types as T
 
-from feedspark.operators.compression import CompressionPolicy, _plain
+from feedspark.operators.compression import CompressionPolicy
+from feedspark.streaming.texts import as_texts, from_texts, number
 
 
 def compress_stream(df: DataFrame, policy: CompressionPolicy, time: str, order: list[str], bucket: str, event_time: str | None = None) -> DataFrame:
@@ -17,36 +18,44 @@ def compress_stream(df: DataFrame, policy: CompressionPolicy, time: str, order:
 
     The state starts anew when ``bucket`` (a day, as text or number) changes. With a heartbeat
     and a watermark on ``event_time`` it is dropped once the heartbeat has passed: the next row
-    would be emitted anyway."""
+    would be emitted anyway. Number columns are texts on their way, so that whole numbers
+    beyond 2**53, NaN and nulls stay as they are."""
     fields = [*policy.exact, *policy.tolerant]
-    kinds = {f.name: f.dataType for f in df.schema.fields}
+    rows, own = as_texts(df)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
     state_schema = T.StructType([T.StructField("bucket", T.StringType()), T.StructField("since", T.DoubleType()), *[T.StructField(f, kinds[f]) for f in fields]])
 
+    def values(pdf: pd.DataFrame, c: str) -> list:
+        return [None if x is None or x is pd.NaT else x for x in pdf[c].tolist()]
+
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(batches)).sort_values(order, kind="stable")
-        own, since, last = None, 0.0, None
+        pdf = pd.concat(list(batches))
+        by = list(zip(*([number(x, own.get(c)) for x in values(pdf, c)] for c in order), strict=True))
+        pdf = pdf.iloc[sorted(range(len(pdf)), key=by.__getitem__)]
+        day_of, since, last = None, 0.0, None
         if state.exists:
-            own, since, *values = state.get
-            last = tuple(values)
+            day_of, since, *held = state.get
+            last = tuple(held)
+        parsed = lambda row: tuple(number(x, own.get(c)) for x, c in zip(row, fields, strict=True))
         keep = []
-        rows = zip(*(_plain(pdf[f]) for f in fields), strict=True)
-        for day, now, row in zip(pdf[bucket].astype(str), pdf[time].tolist(), rows, strict=True):
-            if day != own:
-                own, last = day, None
-            emit = last is None or policy.changed(last, row) or policy.heartbeat is not None and now - since >= policy.heartbeat
+        for day, at, row in zip(pdf[bucket].astype(str), values(pdf, time), zip(*(values(pdf, f) for f in fields), strict=True), strict=True):
+            now = number(at, own.get(time))
+            if day != day_of:
+                day_of, last = day, None
+            emit = last is None or policy.changed(parsed(last), parsed(row)) or policy.heartbeat is not None and now - since >= policy.heartbeat
             if emit:
                 since, last = now, row
             keep.append(emit)
-        state.update((own, float(since), *last))
+        state.update((day_of, float(since), *last))
         if event_time and policy.heartbeat is not None:
             state.setTimeoutTimestamp(max(int((since + policy.heartbeat) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pdf[keep]
 
     timeout = GroupStateTimeout.EventTimeTimeout if event_time and policy.heartbeat is not None else GroupStateTimeout.NoTimeout
-    return df.groupBy(*policy.key).applyInPandasWithState(fold, df.schema, state_schema, "append", timeout)
+    return from_texts(rows.groupBy(*policy.key).applyInPandasWithState(fold, rows.schema, state_schema, "append", timeout), own)
 
 
 def once_per_poll(df: DataFrame, poll: list[str], event_time: str, delay: str = "1 day") -> DataFrame:

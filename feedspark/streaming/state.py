@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from feedspark.streaming.texts import as_texts, from_texts
+
 PRESENCE = "feed string, shard int, time double, kind string, sequence long, entered array<string>, withdrawn array<string>, members long"
 
 
@@ -48,6 +50,7 @@ def unchanged_since_stream(polls: DataFrame) -> DataFrame:
     """Adds content_since and header_since to each poll; the freshness rules then apply to the row alone.
 
     ``polls``: feed string, time double, header long, content string. Null equals null."""
+    polls, own = as_texts(polls, ("time",))
     schema = f"{', '.join(f'{n} {k}' for n, k in polls.dtypes)}, content_since double, header_since double"
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -60,7 +63,8 @@ def unchanged_since_stream(polls: DataFrame) -> DataFrame:
             since_h = now if since_h is None or h != header else since_h
             content, header = c, h
             got.append((since_c, since_h))
-        state.update((content, None if header is None else int(header), since_c, since_h))
+        state.update((content, header, since_c, since_h))
         yield pdf.assign(content_since=[g[0] for g in got], header_since=[g[1] for g in got])
 
-    return polls.groupBy("feed").applyInPandasWithState(step, schema, "content string, header long, since_c double, since_h double", "append", GroupStateTimeout.NoTimeout)
+    got = polls.groupBy("feed").applyInPandasWithState(step, schema, "content string, header string, since_c double, since_h double", "append", GroupStateTimeout.NoTimeout)
+    return from_texts(got, own)

@@ -63,7 +63,7 @@ def test_policy_is_checked():
 
 def test_thin_keeps_by_last_kept(spark):
     df = spark.createDataFrame([(i, "a", "d", float(t), "", None) for i, t in enumerate([0, 5, 9, 12, 13, 21, 40])], ROWS)
-    got = thin(df, ["k"], "t", ["t", "id"], 10.0, F.col("t") == 13)
+    got = thin(df.withColumn("b", F.floor(F.col("t") / 15)), ["k"], "t", ["t", "id"], 10.0, F.col("t") == 13, "b")
     assert sorted(r.t for r in got.collect()) == [0, 12, 13, 40]
 
 
