@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import NULL_ID, in_batches, materialize, order_id, table, text_of
+from feedspark.llm.common import BROADCAST_KEYS, NULL_ID, in_batches, materialize, order_id, table, text_of
 
 RADIUS, SHINGLE, SEED = 2, 3, 42
 #: Buckets of more fingerprints are split by further masks before any pair is compared.
@@ -113,21 +113,23 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, by alternating large-star and small-star steps.
 
-    Neighbourhoods are reduced by partial aggregates and joins, never collected; each round
-    is written to shared storage, which cuts the lineage."""
+    Neighbourhoods are reduced by partial aggregates and joins, never collected; the minima are
+    broadcast while there are BROADCAST_KEYS edges or fewer. Each round is written to shared
+    storage, which cuts the lineage."""
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
-    before = None
+    before, size = None, edges.count()
     while True:
+        near = F.broadcast if size <= BROADCAST_KEYS else lambda df: df
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = both.join(near(low), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
+        small = large.join(near(low), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
         edges = materialize(small)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+        before, size = now, now[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
