@@ -18,7 +18,7 @@ from feedspark.llm.encoding import encoder, slices, unit_lists
 #: a worker in the worst case; in texts, where frequencies fall off, there are far fewer.
 HEAD_SHARE, HEAD_BYTES = 1 << 20, 32
 #: Units whose pre-tokens a worker remembers, and bytes of texts that are split at once.
-REMEMBERED, SLICE = 150_000, 4_000_000
+REMEMBERED, SLICE = 400_000, 10_000_000
 
 
 class PreTokens:
