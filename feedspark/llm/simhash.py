@@ -115,9 +115,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Neighbourhoods are reduced by partial aggregates and joins, never collected; the minima are
     broadcast while there are BROADCAST_KEYS edges or fewer. Each round is written to shared
-    storage, which cuts the lineage."""
+    storage, which cuts the lineage. The rounds end when every node has one edge, to a node that has none to a smaller one."""
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
-    before, size = None, edges.count()
+    size = edges.count()
     while True:
         near = F.broadcast if size <= BROADCAST_KEYS else lambda df: df
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -126,10 +126,11 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(near(low), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
         edges = materialize(small)
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
+        size = edges.count()
+        near = F.broadcast if size <= BROADCAST_KEYS else lambda df: df
+        chained = edges.join(near(edges.select(F.col("v").alias("u"))), "u", "left_semi")
+        if chained.isEmpty() and edges.select("u").distinct().count() == size:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before, size = now, now[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
