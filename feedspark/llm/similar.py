@@ -1,19 +1,11 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-SimHash over five-word shingles gives every text a fingerprint, and the covering tables of
-``simhash`` propose every pair within their radius. At similarity 0.8 fingerprints of 64 bits
-differ in about 10, though; covering masks for such a radius number thousands and keep too few
-bits to tell texts apart. So bands of MinHash values over the same shingles propose further
-pairs, and every proposed pair is checked exactly:
-
-1. Texts with equal shingle sets become one node, with a key in each covering table and BANDS
-   keys of ROWS minima each.
-2. Nodes that share a key are proposed: all pairs of up to SMALL nodes; in larger groups each
-   node with the smallest one, so that pairs grow with the nodes.
-3. The nodes' sets are joined to the pairs and intersected; pairs below ``least`` are dropped.
-4. The others are linked to components. In a large group that holds several components, one
-   node of each is drawn and compared with leaders drawn among them, until a round links nothing
-   new. So pairs are compared where they can still join something."""
+SimHash over the shingles gives every set a fingerprint, and its covering tables link all
+fingerprints within their radius; so near copies of few changes meet at once. At similarity 0.8
+fingerprints of 64 bits differ in about 10, though; covering masks for such a radius number
+thousands and keep too few bits to tell texts apart. So the remaining pairs come from the
+inverted lists of ``overlaps``, which lose none, and every pair of either kind is checked
+exactly."""
 
 from __future__ import annotations
 
@@ -21,41 +13,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import BROADCAST_KEYS, NULL_ID, filter_rows, in_batches, materialize, order_id, text_of
-from feedspark.llm.hashing import HASHES, ODD, P, Q, mix, rolled
-from feedspark.llm.simhash import components, masks
+from feedspark.llm.common import in_batches, materialize, text_of
+from feedspark.llm.overlaps import BLOCK, SMALL, node_of, shingles, similar_sets
+from feedspark.llm.simhash import RADIUS, links
 
-SHINGLE, LEAST, RADIUS = 5, 0.8, 2
-#: A pair at similarity s shares a key with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9999 at 0.8.
-BANDS, ROWS = 24, 5
-#: All pairs of a group are compared up to this many nodes; in a larger group a node meets this many drawn leaders a round.
-SMALL, LEADERS = 8, 6
-_SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * P).reshape(2, -1, 1)
-_SALT, _ODD = _SEEDS[0], _SEEDS[1] | ODD
-
-
-def shingles(text: str, width: int = SHINGLE) -> np.ndarray:
-    """Hashes of the different runs of ``width`` words, in order; a shorter text is one run."""
-    w = text.encode().lower().split()
-    h = np.fromiter(map(HASHES.__getitem__, w), np.uint64, len(w))
-    return np.unique(rolled(h, min(width, len(w)))) if w else h
-
-
-def band_keys(s: np.ndarray) -> np.ndarray:
-    """BANDS keys of a set; none of an empty one."""
-    if not len(s):
-        return np.zeros(0, np.int64)
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(s), 1024):
-        low = np.minimum(low, ((s[at : at + 1024] ^ _SALT) * _ODD).min(axis=1))
-    out = np.arange(BANDS, dtype=np.uint64) * Q
-    for column in low.reshape(BANDS, ROWS).T:
-        out = mix(out * P + column)
-    return out.view(np.int64)
+SHINGLE, LEAST = 5, (80, 100)
 
 
 def set_fingerprint(s: np.ndarray) -> int:
@@ -66,113 +31,32 @@ def set_fingerprint(s: np.ndarray) -> int:
     return int(np.packbits(total * 2 > len(s), bitorder="little").view("<i8")[0])
 
 
-def table_keys(s: np.ndarray, over: np.ndarray) -> np.ndarray:
-    """A key of each covering table: the fingerprint's bits that its mask keeps, and the table; none of an empty set."""
-    if not len(s):
-        return np.zeros(0, np.int64)
-    kept = np.uint64(set_fingerprint(s) % 2**64) & over
-    return mix(kept * P + np.arange(1, len(over) + 1, dtype=np.uint64)).view(np.int64)
-
-
-def similarity(x: np.ndarray, y: np.ndarray) -> float:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / max(1, len(x) + len(y) - both)
-
-
-def _node(s: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64))
-
-
-def _ordered(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def fingerprint_links(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """Pairs of nodes (a, b), a < b, that fingerprints within ``radius`` bits propose: nodes of one fingerprint as a star, fingerprints by covering tables."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for s in (shingles(x.as_py(), shingle) for x in batch.column(0)) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array(map(set_fingerprint, sets), pa.int64())], names=["node", "fp"])
 
-def proposals(keyed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of nodes to be compared: of small groups all, of large ones those with the smallest node (x)."""
-    few = keyed.join(sizes.filter(F.col("n") <= SMALL).select("k"), "k")
-    within = few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "k").filter("a < b").select("a", "b")
-    met = keyed.join(sizes.filter(F.col("n") > SMALL), "k").filter("node != x").select(F.col("x").alias("a"), F.col("node").alias("b"))
-    return within.unionByName(met).distinct()
+    prints = materialize(in_batches(docs.select(text_of(text_col).alias("t")), run, "node long, fp long").distinct())
+    first = materialize(prints.groupBy("fp").agg(F.min("node").alias("first")))
+    star = prints.join(first, "fp").filter("node != first").select("first", "node")
+    end = lambda c: first.select(F.col("fp").alias(c), F.col("first").alias(f"n{c}"))
+    between = links(first.select("fp"), radius).join(end("a"), "a").join(end("b"), "b").select("na", "nb")
+    return star.unionByName(between.toDF("first", "node")).select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"))
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, text_key, component_id, kept.
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, radius: int = RADIUS, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, text_key, n_shingles, component_id, kept.
 
     component_id is the smallest id that can be reached over pairs of similarity ``least`` or
-    more; ``kept`` marks the component's first document (smallest id, then text_key); rows that
-    repeat both are marked alike. Words are cut at ASCII white space, A-Z lower-cased.
+    more, all such pairs; ``kept`` marks the component's first document (smallest id, then
+    text_key); rows that repeat both are marked alike. Words are cut at ASCII white space, A-Z
+    lower-cased.
 
     Null text and texts without words are alike, and like nothing else. Very long texts count
-    whole; one text's set is in memory at a time, and a pair's two sets. Null ids sort last, a
-    component of only null ids has a null component_id. Empty table: no rows. Other columns
-    are not read."""
-
-    def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made: tuple[list, list] = ([], [])
-            for x in batch.column(2):
-                s = shingles(x.as_py(), shingle)
-                made[0].append(_node(s))
-                made[1].append(np.concatenate((table_keys(s, over), band_keys(s))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, made, (pa.int64(), pa.list_(pa.int64())))], names=["doc_id", "text_key", "node", "keys"])
-
-    def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(x.as_py(), shingle) for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "s"])
-
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = ([np.frombuffer(v.as_py(), np.uint64) for v in batch.column(i)] for i in (2, 3))
-            good = pa.array([similarity(p, q) >= least for p, q in zip(x, y, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["ra", "rb"])
-
-    over = np.array(masks(radius), np.uint64)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("t"))
-    prints = materialize(in_batches(rows, sketch, "doc_id long, text_key long, node long, keys array<long>"))
-    own = F.min(F.struct(order_id("doc_id").alias("o"), F.col("text_key").alias("k")))
-    nodes = materialize(prints.groupBy("node").agg(own.alias("w"), F.first("keys").alias("keys")))
-    keyed = nodes.select("node", F.explode("keys").alias("k"))
-
-    sizes = materialize(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("x")).filter("n > 1"))
-    met = keyed.join(sizes.select("k"), "k", "left_semi").select("node").distinct()
-    wanted = nodes.join(met, "node", "left_semi").select(F.nullif(F.col("w.o"), F.lit(NULL_ID)).alias("doc_id"), F.col("w.k").alias("text_key"))
-    sets = materialize(in_batches(filter_rows(rows, wanted, "left_semi", "doc_id", "t").select("t"), members, "node long, s binary").dropDuplicates(["node"]))
-
-    def linked(pairs: DataFrame, some: DataFrame) -> DataFrame:
-        """(a, b), a < b: the roots ra and rb of the pairs whose sets, taken from ``some``, are similar."""
-        a, b = some.select(F.col("node").alias("a"), F.col("s").alias("x")), some.select(F.col("node").alias("b"), F.col("s").alias("y"))
-        near = F.least(F.length("x"), F.length("y")) >= F.greatest(F.length("x"), F.length("y")) * F.lit(least)
-        got = in_batches(pairs.join(a, "a").join(b, "b").filter(near).select("ra", "rb", "x", "y"), check, "ra long, rb long")
-        return got.select(*_ordered("ra", "rb")).distinct()
-
-    roots = components(linked(proposals(keyed, sizes).select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb")), sets))
-    large, turn = sizes.filter(F.col("n") > SMALL).select("k"), 0
-    crowded = None if large.isEmpty() else materialize(keyed.join(large, "k"))
-    while crowded is not None:
-        turn += 1
-        known = F.broadcast(roots) if roots.count() <= BROADCAST_KEYS else roots
-        here = crowded.join(known, "node", "left").select("node", "k", F.coalesce("root", "node").alias("root"))
-        one = here.groupBy("k", "root").agg(F.min_by("node", F.xxhash64("node", "k", F.lit(turn))).alias("node"))
-        drawn = [F.min_by(F.struct("node", "root"), F.xxhash64("root", "k", F.lit(i))) for i in (0, *range((turn - 1) * LEADERS + 1, turn * LEADERS))]
-        lead = one.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*drawn)).alias("x")).filter("n > 1").drop("n")
-        across = one.join(lead, "k").select(F.col("node").alias("m"), F.col("root").alias("rm"), F.explode("x").alias("x")).filter("rm != x.root")
-        ends = across.select("m", "rm", F.col("x.node").alias("n"), F.col("x.root").alias("rn"))
-        mine, other = F.struct(F.col("m").alias("a"), F.col("rm").alias("ra")), F.struct(F.col("n").alias("a"), F.col("rn").alias("ra"))
-        first, second = F.least(mine, other), F.greatest(mine, other)
-        pairs = materialize(ends.select(first["a"].alias("a"), second["a"].alias("b"), first["ra"].alias("ra"), second["ra"].alias("rb")).distinct())
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        some = sets.join(F.broadcast(ends) if pairs.count() <= BROADCAST_KEYS // 2 else ends.distinct(), "node", "left_semi")
-        met = materialize(linked(pairs, some))
-        if met.isEmpty():
-            break
-        more = components(met)
-        step = more.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        moved = roots.join(step, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-        alone = more.join(roots.select("node"), "node", "left_anti")
-        roots = materialize(moved.unionByName(alone.select("node", "root")))
-    named = nodes.join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").select("node", "w", F.coalesce("root", "node").alias("root"))
-    least_of = named.groupBy("root").agg(F.min("w").alias("c"))
-    got = prints.drop("keys").join(named.join(least_of, "root").select("node", "c"), "node")
-    kept = (order_id("doc_id") == F.col("c.o")) & (F.col("text_key") == F.col("c.k"))
-    return got.select("doc_id", "text_key", F.nullif(F.col("c.o"), F.lit(NULL_ID)).alias("component_id"), kept.alias("kept"))
+    whole. Null ids sort last, a component of only null ids has a null component_id. Empty
+    table: no rows. Other columns are not read."""
+    also = fingerprint_links(docs, text_col, shingle, radius)
+    return similar_sets(docs, id_col, text_col, shingle, least, small, block, also, empty_alike=True)
