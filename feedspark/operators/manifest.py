@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedspark.operators.carry import with_previous
 from feedspark.operators.coverage import data_poll_success, expected_polls, flag_list
+from feedspark.operators.selection import order_statistics
+from feedspark.storage import staged
 
 #: The least valid cadence, seconds of a day, the factor beyond which an interval is a gap.
 LEAST, DAY, FACTOR = 5.0, 86_400.0, 1.5
@@ -120,7 +123,9 @@ def window_coverage(journal: DataFrame, feed: str, since: float, until: float, d
     """Each feed's coverage of [since, until) seconds: counts, cadences, expected polls and ratio, gaps, edges, processing time.
 
     With several cadences nothing is expected. ``bucket``: a date column, to prune partitions.
-    p95 is the value at index int((n - 1) * 0.95)."""
+    p95 is the value at index int((n - 1) * 0.95). Intervals are measured inside a day, which
+    hands on its last poll, and p95 is selected by counts: no task holds a feed's window. The
+    times are written to shared storage, as several passes read them."""
     rows = journal_columns(journal)
     if bucket:
         day = lambda t: F.to_date(F.timestamp_seconds(F.lit(t)))
@@ -128,7 +133,6 @@ def window_coverage(journal: DataFrame, feed: str, since: float, until: float, d
     fine = ~_yes("corrupt")
     inside = fine & (F.col("received") >= since) & (F.col("received") < until)
     ok, parsed, data = inside & _yes("success"), inside & _yes("success") & _yes("parse_ok"), inside & _data()
-    spans = lambda c: F.array_sort(F.collect_list(c))
     got = rows.groupBy(feed).agg(
         F.count_if(inside).alias("journalled_polls"), F.count_if(data).alias("successful_data_polls"), F.count_if(inside & ~_yes("success")).alias("http_failures"), F.count_if(ok & ~_yes("parse_ok")).alias("parse_failures"),
         F.count_if(parsed & ~_data()).alias("processing_failures"), F.coalesce(F.sum(F.when(inside, F.col("missed_deadlines_before_request"))), F.lit(0)).alias("missed_deadlines"), F.count_if(inside & _yes("raw_archived")).alias("raw_snapshots"),
@@ -136,14 +140,22 @@ def window_coverage(journal: DataFrame, feed: str, since: float, until: float, d
         F.count_if(inside & ~_data() & _yes("raw_archived") & F.coalesce("raw_ok", F.lit(True))).alias("failed_processing_polls_with_raw_evidence"),
         F.count_if(inside & _flagged(False)).alias("freshness_incident_polls"), F.count_if(inside & _flagged(True)).alias("freshness_warning_polls"), F.count_if(~fine).alias("corrupt_lines"),
         F.array_sort(F.collect_set(F.when(inside, F.col("poll_interval_seconds")))).alias("cadences"), F.array_sort(F.collect_set(F.when(inside, F.col("run_id")))).alias("run_ids"),
-        spans(F.when(data, F.col("received"))).alias("_times"), spans(F.when(inside, F.col("processing_latency_ms"))).alias("_ms"),
+        F.min(F.when(data, F.col("received"))).alias("_first"), F.max(F.when(data, F.col("received"))).alias("_last"), F.max(F.when(inside, F.col("processing_latency_ms"))).alias("processing_max"),
     )
     one = F.size("cadences") <= 1
     cadence = F.when(F.size("cadences") == 1, F.get("cadences", F.lit(0))).otherwise(defaults.cast("double"))
-    got = got.withColumns({"_cadence": cadence, "expected_polls": F.when(one, (until - since) / cadence)})
-    gaps = gap_columns(F.col("_times"), F.col("_cadence"), F.lit(float(since)), F.lit(float(until)))
-    p95 = F.get("_ms", F.floor((F.size("_ms") - 1) * 0.95).cast("int"))
-    return got.withColumns({"data_ratio": F.col("successful_data_polls") / F.col("expected_polls"), **gaps, "processing_p95": F.when(F.size("_ms") > 0, p95), "processing_max": F.array_max("_ms")}).drop("_times", "_ms", "_cadence", "gap_samples")
+    got = staged(got.withColumns({"_cadence": cadence, "expected_polls": F.when(one, (until - since) / cadence)}))
+    times = staged(rows.filter(inside).select(F.col(feed).alias("_feed"), data.alias("data"), "received", F.to_date(F.timestamp_seconds("received")).alias("_day"), "processing_latency_ms"))
+    steps = with_previous(times.filter("data"), ["_feed"], "_day", ["received"], F.col("received"), "_before").select("_feed", (F.col("received") - F.col("_before.v")).alias("_step"))
+    known = got.select(F.col(feed).alias("_f"), "_cadence")
+    gaps = steps.join(known, F.col("_feed").eqNullSafe(F.col("_f"))).groupBy("_feed").agg(F.count_if(F.col("_step") > F.col("_cadence") * FACTOR).alias("n_gaps"), F.max("_step").alias("max_gap"))
+    p95 = order_statistics(times, ["_feed"], "processing_latency_ms", lambda n: F.floor((n - 1) * 0.95), "processing_p95", staged).select(F.col("_feed").alias("_f"), "processing_p95")
+    out = got.join(gaps, F.col(feed).eqNullSafe(F.col("_feed")), "left").drop("_feed").join(p95, F.col(feed).eqNullSafe(F.col("_f")), "left").drop("_f")
+    whole = F.lit(float(until) - float(since))
+    return out.withColumns({
+        "data_ratio": F.col("successful_data_polls") / F.col("expected_polls"), "n_gaps": F.coalesce("n_gaps", F.lit(0)),
+        "start_without_success": F.coalesce(F.col("_first") - since, whole), "end_without_success": F.coalesce(F.lit(until) - F.col("_last"), whole),
+    }).drop("_first", "_last", "_cadence")
 
 
 def observed_days(days: DataFrame, feed: str, date: str, derived: DataFrame) -> DataFrame:

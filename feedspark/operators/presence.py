@@ -5,15 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedspark.operators.carry import inside, joined
 
-def poll_grid(polls: DataFrame, poll: str, gap: Column, stream: list[str] | None = None) -> DataFrame:
+
+def poll_grid(polls: DataFrame, poll: str, gap: Column, stream: list[str] | None = None, day: Column | None = None) -> DataFrame:
     """Numbers the polls of a stream and its segments: ``gap`` (over _before and the poll) opens a new one.
 
-    Nothing is concluded over a gap; a segment begins with a baseline."""
-    w = Window.partitionBy(*(stream or [])).orderBy(poll)
-    out = polls.withColumn("_before", F.lag(poll).over(w)).withColumn("poll_no", F.row_number().over(w))
+    Nothing is concluded over a gap; a segment begins with a baseline. Polls are ordered inside
+    a ``day`` of the stream (default: the date of ``poll``), which hands on its last poll, its number
+    of polls and its segments; only days, a row each, are ordered along the stream."""
+    own = stream or []
+    names = [*own, "_day"]
+    rows = polls.withColumn("_day", F.to_date(poll) if day is None else day)
+    w = inside(own, "_day", [poll])
+    days = rows.groupBy(*names).agg(F.max(poll).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*own).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.select(*names, F.last("_last", ignorenulls=True).over(before).alias("_carried"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_done"))
+    out = joined(rows, carried, own, "_day").withColumn("_before", F.coalesce(F.lag(poll).over(w), "_carried"))
     opens = F.col("_before").isNull() | F.coalesce(gap, F.lit(False))
-    return out.withColumn("segment", F.sum(opens.cast("int")).over(w)).withColumn("baseline", opens).drop("_before")
+    out = out.withColumns({"poll_no": (F.row_number().over(w) + F.col("_done")).cast("int"), "baseline": opens}).drop("_before", "_carried", "_done")
+    opened = out.groupBy(*names).agg(F.sum(F.col("baseline").cast("int")).alias("_opened"))
+    earlier = opened.select(*names, F.coalesce(F.sum("_opened").over(before), F.lit(0)).alias("_earlier"))
+    out = joined(out, earlier, own, "_day")
+    return out.withColumn("segment", F.sum(F.col("baseline").cast("int")).over(w) + F.col("_earlier")).drop("_earlier", "_day")
 
 
 def membership_changes(members: DataFrame, grid: DataFrame, poll: str, member: list[str], stream: list[str] | None = None) -> DataFrame:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,18 +15,8 @@ from pyspark.sql import types as T
 
 from feedspark.functions.scalars import aware_timestamp
 from feedspark.operators.compression import CompressionPolicy, compress
-from feedspark.sources import gtfs_rt, rawlog
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Written below spark.checkpoint.dir (a temporary folder only where that is unset, on one machine) and read again."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base and spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{(base or 'file://' + tempfile.mkdtemp(prefix='spark-', dir='/tmp')).rstrip('/')}/feedspark-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from feedspark.sources import gtfs_rt, ledger, rawlog
+from feedspark.storage import staged
 
 
 def _iso(ts: str):
@@ -83,7 +71,7 @@ def compact(spark: SparkSession, path: str, date: str = "date", order: tuple[str
         new = staged(rows.repartitionByRange(parts, date, *order).sortWithinPartitions(date, *order))
         after = new.groupBy(date).agg(F.count(F.lit(1)).alias("_now"))
         if not before.join(after, date, "full_outer").filter(~F.col("rows").eqNullSafe(F.col("_now"))).isEmpty():
-            raise OSError("compacted row count does not match")
+            raise OSError("the rewritten partitions would hold other numbers of rows")
         rawlog.write_partitioned(new, path, date)
         return chosen.join(after.withColumnRenamed("_now", "rows"), date)
     return chosen.withColumn("rows", F.lit(None).cast("long"))
@@ -151,20 +139,22 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.select("document").write.mode("overwrite").text(path)
 
 
-def write_each_poll_once(stream: DataFrame, path: str, checkpoint: str, partition: str = "date"):
-    """Starts a Parquet sink of a stream: each micro-batch is a folder of its own, which a repeated batch replaces.
+def write_each_poll_once(stream: DataFrame, path: str, checkpoint: str, partition: str = "date", key: list[str] | None = None):
+    """Starts a sink of a stream in which each row is there once: ``ledger.append_once`` for each micro-batch.
 
-    A batch that is run again after a failure writes the same folder, so that each poll is
-    there once; ``read_each_poll_once`` reads them. Returns the writer, to be given a trigger and started."""
+    ``key`` names a row, the poll and its place in the poll for example (default: all columns). A
+    batch that failed half-way is not seen by readers; one that is run again, or a stream that starts
+    anew after its checkpoint was lost, adds only what is missing. Returns the writer, to be
+    given a trigger and started."""
 
-    def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").option("compression", "zstd").partitionBy(partition).parquet(f"{path}/batch={number}")
+    def put(batch: DataFrame, _: int) -> None:
+        ledger.append_once(batch, path, key, partition)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
 
 
 def read_each_poll_once(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("recursiveFileLookup", "false").option("basePath", path).parquet(f"{path}/batch=*")
+    return ledger.read(spark, path, schema)
 
 
 #: Members that an archive of reference tables must have.

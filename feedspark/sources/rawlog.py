@@ -1,59 +1,156 @@
-"""Append-only raw logs of snapshots: frames of an 8-byte time, a 4-byte length and a gzip payload."""
+"""Append-only raw logs of snapshots: frames of an 8-byte time, a 4-byte length and a gzip payload.
+
+A log of up to RANGE bytes is a row of Spark's own file reader. A longer one is never in memory
+whole: its frames' heads are followed once, which gives ranges of whole frames of about RANGE
+bytes, and each range is read by a task, frame by frame. Ranges are read through pyarrow's file
+systems (local, HDFS, S3, GCS, Azure by their URIs)."""
 
 from __future__ import annotations
 
 import gzip
+import hashlib
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HEAD = struct.Struct(">dI")
 MAX_PAYLOAD = 256 * 1024 * 1024
+#: Bytes of a range, and the size up to which a file is read whole.
+RANGE = 64 * 1024 * 1024
+#: Tasks that read ranges, at most; each reads several if there are more.
+MOST_TASKS = 20_000
 FRAMES = "path string, record_index long, ts double, payload binary, error string, end_offset long"
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
-def frames(data: bytes, most: int = MAX_PAYLOAD) -> Iterator[tuple[int, float | None, bytes | None, str | None, int]]:
-    """(index, time, payload, error, offset after it). A torn or oversized frame ends the log; a damaged payload is an error row."""
-    at = index = 0
-    while at < len(data):
-        if at + HEAD.size > len(data):
-            yield index, None, None, "truncated", at
+def opened(path: str) -> pa.NativeFile:
+    """Random access to a file by the path that Spark's file reader names."""
+    if path.startswith(("file:", "/")):
+        return pafs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, name = pafs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
+
+
+def heads(read: Callable[[int, int], bytes], length: int, at: int = 0, index: int = 0, most: int = MAX_PAYLOAD) -> Iterator[tuple[int, float | None, int, int | None, str | None]]:
+    """(index, time, begin, end of the frame, error) from a frame's begin on. A torn or oversized frame has no end and is the last."""
+    while at < length:
+        head = read(at, HEAD.size)
+        if len(head) < HEAD.size:
+            yield index, None, at, None, "truncated"
             return
-        ts, size = HEAD.unpack_from(data, at)
+        ts, size = HEAD.unpack(head)
         end = at + HEAD.size + size
-        if size > most or end > len(data):
-            yield index, ts, None, "truncated" if size <= most else "oversized", at
+        if size > most or end > length:
+            yield index, ts, at, None, "truncated" if size <= most else "oversized"
             return
-        try:
-            payload, error = gzip.decompress(data[at + HEAD.size : end]), None
-        except (OSError, EOFError, zlib.error):
-            payload, error = None, "gzip"
-        yield index, ts, payload, error, end
+        yield index, ts, at, end, None
         at, index = end, index + 1
 
 
-def read_frames(spark: SparkSession, path: str, glob: str = "*.log") -> DataFrame:
-    """Every frame, with feed and date from the path ``feed/date=YYYY-MM-DD/``; error rows included. One file a task."""
+def frames_of(read: Callable[[int, int], bytes], length: int, at: int = 0, index: int = 0, stop: int | None = None, most: int = MAX_PAYLOAD) -> Iterator[tuple[int, float | None, bytes | None, str | None, int]]:
+    """(index, time, payload, error, offset after it) of the frames that begin before ``stop``; a damaged payload is an error row. One frame is in memory."""
+    for index, ts, begin, end, error in heads(read, length, at, index, most):
+        if stop is not None and begin >= stop:
+            return
+        payload = None
+        if end is not None:
+            try:
+                payload = gzip.decompress(read(begin + HEAD.size, end - begin - HEAD.size))
+            except (OSError, EOFError, zlib.error):
+                error = "gzip"
+        yield index, ts, payload, error, begin if end is None else end
+
+
+def frames(data: bytes, most: int = MAX_PAYLOAD) -> Iterator[tuple[int, float | None, bytes | None, str | None, int]]:
+    """``frames_of`` of a log in memory."""
+    return frames_of(lambda at, n: data[at : at + n], len(data), most=most)
+
+
+def _from_file(file: pa.NativeFile) -> Callable[[int, int], bytes]:
+    return lambda at, n: file.read_at(n, at)
+
+
+def _batches(rows: Iterable[tuple], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches of rows of frames, by the bytes of their payloads."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[3] or b"") + 256
+        if size > most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), _KINDS, strict=True)], names=_NAMES)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), _KINDS, strict=True)], names=_NAMES)
+
+
+def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            yield from _batches((name, *f) for f in frames(data.as_py()))
+
+
+def frame_ranges(files: DataFrame, size: int = RANGE) -> DataFrame:
+    """Ranges of whole frames of about ``size`` bytes: path, length, record_index, begin, stop. ``files``: path, length. Only heads of frames are read."""
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, length in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
+                with opened(path) as file:
+                    found, first = [], None
+                    for index, _, begin, end, _ in heads(_from_file(file), length):
+                        first = (index, begin) if first is None else first
+                        if end is None or end - first[1] >= size or end == length:
+                            found.append((path, length, *first, length if end is None else end))
+                            first = None
+                yield pa.RecordBatch.from_pylist([dict(zip(("path", "length", "record_index", "begin", "stop"), r, strict=True)) for r in found], pa.schema([("path", pa.string()), *((n, pa.int64()) for n in ("length", "record_index", "begin", "stop"))]))
+
+    return files.select("path", "length").mapInArrow(find, "path string, length long, record_index long, begin long, stop long")
+
+
+def read_ranges(ranges: DataFrame) -> DataFrame:
+    """The frames of ``frame_ranges``, a range a task's step."""
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held: list[tuple] = []
-                for f in frames(data.as_py()):
-                    held.append((name, *f))
-                    if len(held) == 64:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), _KINDS, strict=True)], names=_NAMES)
-                        held = []
-                if held:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), _KINDS, strict=True)], names=_NAMES)
+            for r in batch.to_pylist():
+                with opened(r["path"]) as file:
+                    yield from _batches((r["path"], *f) for f in frames_of(_from_file(file), r["length"], r["begin"], r["record_index"], r["stop"]))
+
+    return ranges.mapInArrow(decode, FRAMES)
+
+
+def _placed(frames: DataFrame) -> DataFrame:
+    return frames.withColumns({"feed": F.regexp_extract("path", r"([^/]+)/date=", 1), "date": F.try_to_date(F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})", 1))})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    out = files.select("path", "content").mapInArrow(decode, FRAMES)
-    return out.withColumns({"feed": F.regexp_extract("path", r"([^/]+)/date=", 1), "date": F.try_to_date(F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})", 1))})
+
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+
+
+def read_frames(spark: SparkSession, path: str, glob: str = "*.log", size: int = RANGE) -> DataFrame:
+    """Every frame, with feed and date from the path ``feed/date=YYYY-MM-DD/``; error rows included.
+
+    Files of more than ``size`` bytes are read by ranges of about that size."""
+    files = _files(spark, path, glob)
+    small = files.filter(F.col("length") <= size).select("path", "content").mapInArrow(_whole, FRAMES)
+    large = files.filter(F.col("length") > size).select("path", "length")
+    total = large.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
+    if not total.n:
+        return _placed(small)
+    ranges = frame_ranges(large.repartition(total.n), size).repartition(min(int(total.bytes // size) + 1, MOST_TASKS))
+    return _placed(small.unionByName(read_ranges(ranges)))
+
+
+def stream_frames(spark: SparkSession, path: str, glob: str = "*.log", size: int = RANGE, files_per_trigger: int = 64) -> DataFrame:
+    """``read_frames`` of files as they arrive, each once: logs that are complete when they appear, of any length, by ranges."""
+    files = spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_trigger).load(path)
+    ranges = frame_ranges(files.select("path", "length"), size).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _placed(read_ranges(ranges))
 
 
 _KINDS = (pa.string(), pa.int64(), pa.float64(), pa.binary(), pa.string(), pa.int64())
@@ -89,7 +186,21 @@ def write_partitioned(df: DataFrame, path: str, date: str = "date") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(date).parquet(path)
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """path, size, mtime, sha256 of each file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), F.sha2("content", 256).alias("sha256"))
+def file_inventory(spark: SparkSession, path: str, glob: str = "*", size: int = RANGE) -> DataFrame:
+    """path, size, mtime, sha256 of each file that is not empty (Spark lists no others); files of more than ``size`` bytes are hashed piece by piece."""
+
+    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for path in batch.column(0).to_pylist():
+                digest = hashlib.sha256()
+                with opened(path) as file:
+                    while piece := file.read(1 << 20):
+                        digest.update(piece)
+                made.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["path", "size", "mtime", "sha256"])
+
+    files = _files(spark, path, glob)
+    small = files.filter(F.col("length") <= size).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > size).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    return small.unionByName(large.mapInArrow(digests, "path string, size long, mtime timestamp, sha256 string"))

@@ -6,7 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from feedspark.operators import feeds, health
+from feedspark.operators import feeds, health, presence
 from feedspark.operators.compression import CompressionPolicy
 from feedspark.sources import gtfs_rt, partitions, rawlog
 from feedspark.streaming.state import presence_stream, unchanged_since_stream
@@ -122,6 +122,16 @@ def test_records(spark, tmp_path):
     assert {(r.file_stem, r.date) for r in partitions.read_objects(spark, str(tmp_path / "r"), "date string").collect()} == {("2024-01-02", "2024-01-02"), ("2024-01-03", None)}
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@pytest.fixture
+def rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    yield
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
 def stream(spark, tmp_path, rows, schema, build, name):
     for i, batch in enumerate(rows):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
@@ -131,7 +141,7 @@ def stream(spark, tmp_path, rows, schema, build, name):
     return spark.table(name)
 
 
-def test_presence_stream(spark, tmp_path):
+def test_presence_stream(spark, tmp_path, rocks):
     polls = [[("f", 1.0, "d", True, ["a", "b"]), ("f", 2.0, "d", True, ["b", "c"])], [("f", 3.0, "d", False, None), ("f", 4.0, "d", True, ["c"])], [("f", 5.0, "d", True, []), ("f", 6.0, "e", True, ["z"])]]
     got = stream(spark, tmp_path, polls, "feed string, time double, day string, ok boolean, members array<string>", lambda d: presence_stream(d, 3), "presence")
     assert got.filter("size(entered) + size(withdrawn) = 0").count() + got.filter("size(entered) + size(withdrawn) > 0").count() == 15
@@ -141,6 +151,26 @@ def test_presence_stream(spark, tmp_path):
     assert {(r.time, r.kind, r.sequence) for r in got.collect()} == {(1.0, "baseline", 1), (2.0, "delta", 2), (4.0, "baseline", 1), (5.0, "delta", 2), (6.0, "baseline", 1)}
 
 
+def test_presence_state_grows_with_changes(spark, tmp_path, rocks):
+    """Two hundred members, of which a poll replaces three: entries written are the changed ones, and the result is the batch operator's."""
+    schema = "feed string, time double, day string, ok boolean, members array<string>"
+    polls, held = [], [f"m{i}" for i in range(200)]
+    for t in range(5):
+        polls.append(("f", float(t), "d", True, list(held)))
+        held = [*held[3:], *[f"n{t}-{i}" for i in range(3)]]
+    for p in polls:
+        spark.createDataFrame([p], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = presence_stream(live, 2).writeStream.format("memory").queryName("grown").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    written = [p["stateOperators"][0]["customMetrics"]["rocksdbPutCount"] for p in q.recentProgress if p["numInputRows"]]
+    assert written[0] > 200 and all(w < 40 for w in written[1:])
+    got = {(r.time, m, "withdrawn") for r in spark.table("grown").collect() for m in r.withdrawn} | {(r.time, m, "baseline" if r.kind == "baseline" else "entered") for r in spark.table("grown").collect() for m in r.entered}
+    seen = spark.createDataFrame([(p[1], m) for p in polls for m in p[4]], "time double, member string")
+    grid = presence.poll_grid(seen.select("time").distinct(), "time", F.lit(False), day=F.lit("d"))
+    assert got == {tuple(r) for r in presence.membership_changes(seen, grid, "time", ["member"]).collect()}
+
+
 def test_freshness_stream(spark, tmp_path):
     polls = [[("f", 0.0, 10, "x"), ("f", 200.0, 10, "x")], [("f", 400.0, 350, "x"), ("f", 500.0, 350, None)]]
     got = stream(spark, tmp_path, polls, "feed string, time double, header long, content string", unchanged_since_stream, "fresh")
