@@ -109,8 +109,8 @@ p AS (""" + " UNION ALL ".join(f"SELECT u, '{r}' AS reason, t, e FROM n WHERE {c
 q AS (SELECT *, CASE WHEN lag(e) OVER (PARTITION BY u, reason ORDER BY t) = t THEN 0 ELSE 1 END AS new FROM p), k AS (SELECT *, sum(new) OVER (PARTITION BY u, reason ORDER BY t) AS run FROM q)
 SELECT u AS user_id, reason, min(t) AS from_us, max(e) AS until_us FROM k GROUP BY u, reason, run""",
     "day_verdicts": MANIFESTS["daily_manifest"].rpartition("SELECT")[0] + """, ht AS (SELECT ts AS checked_at, min_by(user_id % 3, event_id) AS version, min_by(user_id % 40 = 0, event_id) AS old FROM events WHERE event_type = 'signup' AND ts >= TIMESTAMP '2024-01-05' AND day(ts) % 3 <> 0 GROUP BY ts),
-dd AS (SELECT DISTINCT day FROM j0), la AS (SELECT dd.day, ht.version FROM dd ASOF LEFT JOIN ht ON CAST(dd.day + 1 AS TIMESTAMP) > ht.checked_at), at AS (SELECT dd.day, ht.version IS NOT NULL AS covered, coalesce(ht.old, false) AS old FROM dd ASOF LEFT JOIN ht ON CAST(dd.day AS TIMESTAMP) >= ht.checked_at),
-wi AS (SELECT CAST(checked_at AS DATE) AS day, bool_or(old) AS old FROM ht GROUP BY ALL), st AS (SELECT la.day, la.version, at.covered, wi.day IS NOT NULL AS seen, at.old OR coalesce(wi.old, false) AS old FROM la JOIN at ON at.day = la.day LEFT JOIN wi ON wi.day = la.day),
+dd AS (SELECT DISTINCT day FROM j0), la AS (SELECT dd.day, ht.version FROM dd ASOF LEFT JOIN ht ON CAST(dd.day + 1 AS TIMESTAMP) > ht.checked_at), sa AS (SELECT dd.day, ht.version IS NOT NULL AS covered, coalesce(ht.old, false) AS old FROM dd ASOF LEFT JOIN ht ON CAST(dd.day AS TIMESTAMP) >= ht.checked_at),
+wi AS (SELECT CAST(checked_at AS DATE) AS day, bool_or(old) AS old FROM ht GROUP BY ALL), st AS (SELECT la.day, la.version, sa.covered, wi.day IS NOT NULL AS seen, sa.old OR coalesce(wi.old, false) AS old FROM la JOIN sa ON sa.day = la.day LEFT JOIN wi ON wi.day = la.day),
 ev AS (SELECT day, 'error' AS kind, event_type AS source, list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS rank, unnest(string_split(errors, ',')) AS rule, generate_subscripts(string_split(errors, ','), 1) AS place, '' AS detail FROM y WHERE errors <> ''
 UNION ALL SELECT day, 'flag', event_type, list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type), unnest(string_split(flags, ',')), generate_subscripts(string_split(flags, ','), 1), '' FROM y WHERE flags <> ''
 UNION ALL SELECT DISTINCT day, 'error', 'runs', 8, CASE WHEN i % 3 = 0 THEN 'invalid_run_id' ELSE 'missing_run_record' END, CASE WHEN i % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN i % 3 = 0 THEN 'run-0' ELSE md5('2') END FROM j0 WHERE i % 3 <> 1
