@@ -5,22 +5,24 @@ hold come last (an estimate of their number leads the hash). Its sketch is the b
 k = size - ceil(least * size) + 1: two sets of Jaccard similarity ``least`` or more share a
 retained value, whatever the order is, so the inverted lists of retained values lose no pair.
 
-1. Equal sets become one node. Each list's most central node (fewest values of its own) meets
-   the others of the list; links give first components.
-2. What is still apart is compared: in lists of up to SMALL nodes by pairs, from their first
-   common value on; in crowded lists in blocks, inside tasks. There the nodes outside the list's
+1. Equal sets become one node. In each list the most central node (fewest values of its own) meets
+   the others; links give first components.
+2. What is still apart is compared: in lists of up to SMALL nodes by pairs, with the number of
+   lists they share; in crowded lists in blocks, inside tasks. There the nodes outside the list's
    largest component meet all others, so a crowd that is one component is not compared again,
    and pairs that share the crowded value most nodes had before are left to its list.
-3. A proposed pair passes the union sketch if the values below the last one that both sketches
-   reach, and all later ones, could hold enough common values; this bound drops no link.
-   The rest is checked on full sets.
+3. A pair of small lists passes the union sketch if its common retained values and all values
+   after the sketches could be common values enough; this bound drops no link. The set whose
+   last retained value is the smaller one is known up to there: what both hold up to there are
+   the lists they share, and it has size - k further values.
+4. What passes is checked on full sets.
 
 The steps are the same for any data; only connecting links to components takes rounds, by
 the logarithm of their length. Sets are of 58-bit hashes and nodes of 64-bit hashes of sets."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ SHINGLE, LEAST = 3, (85, 100)
 SMALL, BLOCK = 16, 256
 #: Values of a slice in which repeated ones are counted, the least count of a frequent one, and how many of these are told to the tasks.
 SLICE, FREQUENT, TOLD = 1 << 20, 8, 1 << 18
-#: Bits of a value that hold its hash; those above hold the logarithm of its count.
+#: Bits of a value that hold its hash; those above hold the logarithm of its count, 31 at most, so that a value is no negative number.
 HASH_BITS = np.uint64(58)
 
 
@@ -71,12 +73,17 @@ def enough(common: int, x: int, y: int, least: tuple[int, int]) -> bool:
     return common * (least[0] + least[1]) >= least[0] * (x + y)
 
 
-def could_link(x: np.ndarray, y: np.ndarray, nx: int, ny: int, least: tuple[int, int]) -> bool:
-    """The union sketch's bound: up to the smaller of the last values all is known of both sets."""
-    last = min(x[-1], y[-1])
-    i, j = np.searchsorted(x, last, "right"), np.searchsorted(y, last, "right")
-    common = len(np.intersect1d(x[:i], y[:j], assume_unique=True))
-    return enough(common + min(nx - int(i), ny - int(j)), nx, ny, least)
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
+
+
+def lists_needed(nx: int, ny: int, least: tuple[int, int]) -> int:
+    """How many retained values sets of these sizes must share at least to reach the similarity."""
+    whole = -(-least[0] * (nx + ny) // (least[0] + least[1]))
+    return whole - max(nx - retained(nx, least), ny - retained(ny, least))
 
 
 def common_counts(xs: list[np.ndarray], ys: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
@@ -126,7 +133,7 @@ def frequent(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     got = seen.orderBy(F.desc("n"), "v").limit(TOLD).toArrow()
     v, n = got.column("v").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(v)
-    return v[order], np.minimum(63, np.log2(n[order])).astype(np.uint64)
+    return v[order], np.minimum(31, np.log2(n[order])).astype(np.uint64)
 
 
 def _pairs(x: Column, y: Column) -> list[Column]:
@@ -138,7 +145,7 @@ def _roots_of(entries: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
     return entries.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _blocked(entries: DataFrame, sets: DataFrame, least: tuple[int, int], block: int) -> DataFrame:
+def _blocked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: tuple[int, int], block: int) -> DataFrame:
     """Links (a, b) of roots between the components that meet in crowded lists: entries (k, node, size, before, root)."""
     largest = entries.groupBy("k", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("root", "n").alias("big"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").drop("roots")
     usual = entries.filter(F.col("before").isNotNull()).groupBy("k", "before").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("before", "n").alias("usual"))
@@ -171,8 +178,8 @@ def _blocked(entries: DataFrame, sets: DataFrame, least: tuple[int, int], block:
         out: dict[tuple[int, int], None] = {}
         if len(rows) and len(cols):
             size = np.array([len(v) for v in values], np.int64)
-            n_common = common_counts([values[i] for i in rows], [values[i] for i in cols]).astype(np.int64)
-            close = n_common * (least[0] + least[1]) >= least[0] * (size[rows][:, None] + size[cols][None])
+            both = common_counts([values[i] for i in rows], [values[i] for i in cols]).astype(np.int64)
+            close = both * (least[0] + least[1]) >= least[0] * (size[rows][:, None] + size[cols][None])
             close &= root[rows][:, None] != root[cols][None]
             at: dict[int, int] = {}
 
@@ -188,7 +195,8 @@ def _blocked(entries: DataFrame, sets: DataFrame, least: tuple[int, int], block:
                     out[min(x, y), max(x, y)] = None
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return dealt.join(sets, "node").groupBy("k", "rc", "ri", "cc", "ci").applyInArrow(check, "a long, b long")
+    dealt = materialize(dealt)
+    return dealt.join(sets_of(dealt.select("node")), "node").groupBy("k", "rc", "ri", "cc", "ci").applyInArrow(check, "a long, b long")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, small: int = SMALL, block: int = BLOCK, also: DataFrame | None = None, empty_alike: bool = False) -> DataFrame:
@@ -225,67 +233,60 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             sets = [shingles(x.as_py(), shingle) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(map(node_of, sets), pa.int64()), pa.array([coded(s, known, rank).tobytes() for s in sets], pa.binary())], names=["node", "s"])
 
-    def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y, nx, ny = (batch.column(i).to_pylist() for i in (2, 3, 4, 5))
-            good = pa.array([could_link(np.array(p, np.uint64), np.array(q, np.uint64), m, n, least) for p, q, m, n in zip(x, y, nx, ny, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
-
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = ([np.frombuffer(v.as_py(), np.uint64) for v in batch.column(i)] for i in (2, 3))
-            good = pa.array([enough(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q), least) for p, q in zip(x, y, strict=True)], pa.bool_())
+            good = pa.array([enough(common(p, q), len(p), len(q), least) for p, q in zip(x, y, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
 
     made = materialize(in_batches(rows, sketch, "doc_id long, text_key long, node long, size long, own long, keys array<long>"))
     first = F.min(F.struct(order_id("doc_id").alias("o"), F.col("text_key").alias("k")))
     nodes = materialize((made if empty_alike else made.filter("size > 0")).groupBy("node").agg(first.alias("w"), F.first("size").alias("size"), F.first("own").alias("own"), F.first("keys").alias("keys")))
-    entries = nodes.select("node", "size", "own", F.posexplode("keys").alias("place", "k"))
+    packed = F.col("size") * 256 + F.floor(F.col("own") * 255 / F.greatest("size", F.lit(1)))  # the size, and the share of values of one's own
+    entries = nodes.select("node", packed.cast("long").alias("p"), F.explode("keys").alias("k"))
     counts = materialize(entries.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    lists = materialize(entries.join(counts, "k"))
-    central = F.min(F.struct((F.col("own") / F.col("size")).alias("r"), "node", "size"))
-    lead = lists.groupBy("k").agg(central.alias("x"))
+    lists = materialize(entries.join(counts, "k").select("k", "node", F.shiftright("p", 8).alias("size"), F.col("p").bitwiseAND(255).alias("own"), "n"))
+    crowds = lists.filter(F.col("n") > small)
+    in_crowds = crowds.groupBy("node").agg(F.count(F.lit(1)).alias("crowded"))
+    kept_of = lambda n: n + 1 - F.ceil(n * least[0] / F.lit(least[1]))
+    rest = lambda n: n - kept_of(n)
     can = lambda x, y: F.least(x, y) * (least[0] + least[1]) >= F.lit(least[0]) * (x + y)
-    met = lists.join(lead, "k").filter((F.col("x.node") != F.col("node")) & can(F.col("size"), F.col("x.size"))).select(*_pairs(F.col("x.node"), F.col("node")))
-    if also is not None:
-        met = met.unionByName(also)
-    sketches = nodes.select("node", "size", "keys")
-
-    def side(name: str, source: DataFrame, *columns: str) -> DataFrame:
-        return source.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
-
-    def passed(pairs: DataFrame) -> DataFrame:
-        both = pairs.distinct().join(side("a", sketches, "keys", "size"), "a").join(side("b", sketches, "keys", "size"), "b")
-        return materialize(in_batches(both.select("a", "b", "keys_a", "keys_b", "size_a", "size_b"), bounded, "a long, b long"))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(side("a", sets, "s"), "a").join(side("b", sets, "s"), "b")
-        return in_batches(both.select("a", "b", "s_a", "s_b"), exact, "a long, b long")
-
-    pairs = passed(met)
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lists.select("node")).distinct()
-    wanted = nodes.join(needed, "node", "left_semi").select(F.nullif(F.col("w.o"), F.lit(NULL_ID)).alias("doc_id"), F.col("w.k").alias("text_key"))
-    sets = materialize(in_batches(filter_rows(rows, wanted, "left_semi", "doc_id", "t").select("t"), members, "node long, s binary").dropDuplicates(["node"]))
-    roots = components(linked(pairs))
+    needed = lambda x, y: F.ceil(F.lit(least[0]) * (x + y) / F.lit(least[0] + least[1])) - F.greatest(rest(x), rest(y))
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        """(node, s): the full sets of these nodes, from the texts of one document each."""
+        wanted = nodes.join(some.distinct(), "node", "left_semi").select(F.nullif(F.col("w.o"), F.lit(NULL_ID)).alias("doc_id"), F.col("w.k").alias("text_key"))
+        return materialize(in_batches(filter_rows(rows, wanted, "left_semi", "doc_id", "t").select("t"), members, "node long, s binary").dropDuplicates(["node"]))
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+    def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        a, b = (sets.select(F.col("node").alias(c), F.col("s").alias(f"s_{c}")) for c in "ab")
+        return in_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b"), exact, "a long, b long")
+
+    central = lists.groupBy("k").agg(F.min(F.struct("own", "node", "size")).alias("x"))
+    met = lists.join(central, "k").filter((F.col("x.node") != F.col("node")) & can(F.col("size"), F.col("x.size")))
+    met = met.groupBy(*_pairs(F.col("x.node"), F.col("node"))).agg(F.count(F.lit(1)).alias("shared"), F.max(needed(F.col("size"), F.col("x.size"))).alias("needed")).filter("shared >= needed").select("a", "b")
+    pairs = materialize(met if also is None else met.unionByName(also).distinct())
+    roots = components(linked(pairs, sets_of(ends(pairs))))
     n_roots = roots.count()
     here = _roots_of(lists, roots, n_roots)
     apart = here.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("k")
-    here = materialize(here.join(apart, "k", "left_semi"))
-    few = here.filter(F.col("n") <= small).groupBy("k").agg(F.collect_list(F.struct("root", "node", "size", "place")).alias("g"))
-
-    def fits(x: Column, y: Column) -> Column:
-        rest = F.least(x["size"] - x["place"], y["size"] - y["place"])
-        return (x["root"] < y["root"]) & (rest * (least[0] + least[1]) >= F.lit(least[0]) * (x["size"] + y["size"]))
-
-    across = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: fits(x, y)), lambda y: F.struct(x["node"].alias("x"), y["node"].alias("y")))))
-    more = few.select(F.explode(across).alias("p")).select(*_pairs(F.col("p.x"), F.col("p.y"))).distinct()
-    links = linked(passed(more.join(pairs, ["a", "b"], "left_anti")))
-    crowds = lists.filter(F.col("n") > small)
-    if not crowds.isEmpty():
-        before = crowds.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("place", "k"))).alias("all"))
-        at = before.select("node", F.posexplode("all").alias("i", "e"), "all").select("node", F.col("e.k").alias("k"), F.when(F.col("i") > 0, F.col("all")[F.col("i") - 1]["k"]).alias("before"))
-        crowded = here.filter(F.col("n") > small).join(at, ["node", "k"])
-        links = links.unionByName(_blocked(materialize(crowded.select("k", "node", "size", "before", "root")), sets, least, block))
+    here = materialize(here.join(apart, "k", "left_semi").join(in_crowds, "node", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0))))
+    few = here.filter(F.col("n") <= small).groupBy("k").agg(F.collect_list(F.struct("root", "node", "size", "crowded")).alias("g"))
+    meet = lambda x, y: (x["root"] < y["root"]) & can(x["size"], y["size"])
+    pair = lambda x, y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"), (needed(x["size"], y["size"]) - F.least(x["crowded"], y["crowded"])).alias("needed"))
+    across = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: meet(x, y)), lambda y: pair(x, y))))
+    shared = few.select(F.explode(across).alias("p")).select("p.*").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("needed").alias("needed"))
+    more = materialize(shared.filter("shared >= needed").select("a", "b").join(pairs, ["a", "b"], "left_anti"))
+    links = linked(more, sets_of(ends(more)))
+    open_lists = here.filter(F.col("n") > small)
+    if not open_lists.isEmpty():
+        upto = F.array_sort(F.collect_list("k"))
+        before = crowds.groupBy("node").agg(upto.alias("all")).select("node", "all", F.posexplode("all").alias("i", "k")).select("node", "k", F.when(F.col("i") > 0, F.col("all")[F.col("i") - 1]).alias("before"))
+        crowded = materialize(open_lists.join(before, ["node", "k"]).select("k", "node", "size", "before", "root"))
+        links = links.unionByName(_blocked(crowded, sets_of, least, block))
     links = materialize(links)
     if not links.isEmpty():
         roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
