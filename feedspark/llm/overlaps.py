@@ -1,21 +1,22 @@
 """Components of similar sets: bottom-k sketches, inverted lists, union sketches, exact Jaccard.
 
 A text's set of word shingles is ordered by one hash function, in which values that many texts
-hold come last (an estimate of their number leads the hash). Its sketch is the bottom k, where
+hold come last (the logarithm of their number leads the hash). Its sketch is the bottom k, where
 k = size - ceil(least * size) + 1: two sets of Jaccard similarity ``least`` or more share a
 retained value, whatever the order is, so the inverted lists of retained values lose no pair.
 
 1. Equal sets become one node. In each list the most central node (fewest values of its own) meets
    the others; links give first components.
 2. What is still apart is compared: in lists of up to SMALL nodes by pairs, with the number of
-   lists they share; in crowded lists in blocks, inside tasks. There the nodes outside the list's
+   lists they share; in crowded lists in blocks of sketches, inside tasks. There the nodes outside the list's
    largest component meet all others, so a crowd that is one component is not compared again,
    and pairs that share the crowded value most nodes had before are left to its list.
-3. A pair of small lists passes the union sketch if its common retained values and all values
+3. A pair passes the union sketch if its common retained values and all values
    after the sketches could be common values enough; this bound drops no link. The set whose
    last retained value is the smaller one is known up to there: what both hold up to there are
    the lists they share, and it has size - k further values.
-4. What passes is checked on full sets.
+4. What passes is checked on full sets: pair by pair, or, where a block's sketches propose more
+   than a few pairs a node, as that block.
 
 The steps are the same for any data; only connecting links to components takes rounds, by
 the logarithm of their length. Sets are of 58-bit hashes and nodes of 64-bit hashes of sets."""
@@ -37,8 +38,10 @@ from feedspark.llm.simhash import components
 SHINGLE, LEAST = 3, (85, 100)
 #: Lists up to this size are compared by pairs; nodes of a block of a longer one (and 1,024 values a node on average).
 SMALL, BLOCK = 16, 256
-#: Values of a slice in which repeated ones are counted, the least count of a frequent one, and how many of these are told to the tasks.
-SLICE, FREQUENT, TOLD = 1 << 20, 8, 1 << 18
+#: Values that are counted together before they leave a task; hashes below this are counted (a quarter; sketches reach a sixth); how many frequent values are told to the tasks.
+SLICE, COUNTED, TOLD = 1 << 20, np.uint64(1 << 62), 1 << 19
+#: A block whose sketches propose more pairs than this for each of its nodes is compared on full sets as a block.
+DENSE = 4
 #: Bits of a value that hold its hash; those above hold the logarithm of its count, 31 at most, so that a value is no negative number.
 HASH_BITS = np.uint64(58)
 
@@ -105,31 +108,45 @@ def common_counts(xs: list[np.ndarray], ys: list[np.ndarray], chunk: int = 8192)
     return out
 
 
-def frequent(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent values (sorted) and their ranks: the logarithm of a count over all texts.
+def bottom(s: np.ndarray, k: int, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first k of ``coded``: most often among the smallest hashes, where few values have to be looked up."""
+    low = s[: 2 * k + 16]
+    if len(known) and len(low) < len(s):
+        at = np.minimum(np.searchsorted(known, low), len(known) - 1)
+        rest = low[known[at] != low]
+        if len(rest) >= k:
+            return rest[:k] >> np.uint64(64 - int(HASH_BITS))
+    elif len(low) < len(s):
+        return low[:k] >> np.uint64(64 - int(HASH_BITS))
+    return coded(s, known, rank)[:k]
 
-    A task counts its texts' values in slices and hands on those that repeat in one, so what it
-    sends is bounded by half of a slice; at most TOLD values, the most frequent ones, are told to
-    the tasks. The order needs no exact counts, only that all tasks use the same ones."""
+
+def frequent(rows: DataFrame, width: int, above: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values of more than ``above`` texts (sorted) and their ranks: the logarithms of these numbers.
+
+    Counted over all texts, for hashes below COUNTED, which all sketches but those of short texts keep
+    to; at most TOLD values, the most frequent ones, are told to the tasks. Any order that all tasks use
+    gives the same links: these counts only keep the lists short."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
-        def repeated() -> pa.RecordBatch:
+        def summed() -> pa.RecordBatch:
             v, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(v[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["v", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(n)], names=["v", "n"])
 
         for batch in batches:
             for x in batch.column(0):
-                held.append(shingles(x.as_py(), width))
+                s = shingles(x.as_py(), width)
+                held.append(s[: np.searchsorted(s, COUNTED)])
                 size += len(held[-1])
                 if size > SLICE:
-                    yield repeated()
+                    yield summed()
                     held, size = [], 0
         if held:
-            yield repeated()
+            yield summed()
 
-    seen = in_batches(rows.select("t"), count, "v long, n long").groupBy("v").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
+    seen = materialize(in_batches(rows.select("t"), count, "v long, n long").groupBy("v").agg(F.sum("n").alias("n")).filter(F.col("n") > above))
     got = seen.orderBy(F.desc("n"), "v").limit(TOLD).toArrow()
     v, n = got.column("v").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(v)
@@ -145,8 +162,8 @@ def _roots_of(entries: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
     return entries.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _blocked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: tuple[int, int], block: int) -> DataFrame:
-    """Links (a, b) of roots between the components that meet in crowded lists: entries (k, node, size, before, root)."""
+def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: tuple[int, int], block: int) -> tuple[DataFrame, DataFrame]:
+    """Of the components that meet in crowded lists, entries (k, node, size, before, root): pairs of nodes that pass the union sketch, and links of roots from dense blocks."""
     largest = entries.groupBy("k", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("root", "n").alias("big"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").drop("roots")
     usual = entries.filter(F.col("before").isNotNull()).groupBy("k", "before").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("before", "n").alias("usual"))
     kind = F.when(F.col("root") != F.col("big"), F.when(F.col("usual").isNull() | ~F.col("before").eqNullSafe(F.col("usual")), "OA").otherwise("OB")).when(F.col("usual").isNull() | ~F.col("before").eqNullSafe(F.col("usual")), "SA").otherwise("SB")
@@ -169,6 +186,34 @@ def _blocked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], leas
     places = F.when(F.col("c") == "OA", oa).when(F.col("c") == "OB", ob).when(F.col("c") == "SA", sa).otherwise(as_column("OA", "SB", upto(n["OA"])))
     dealt = here.join(shape, "k").withColumn("i", i).select("k", "node", "root", F.inline(places))
 
+    key = ["k", "rc", "ri", "cc", "ci"]
+    none = pa.array([], pa.int64())
+
+    def propose(group: pa.Table) -> pa.Table:
+        side, root, node, size = (group.column(c).to_numpy() for c in ("side", "root", "node", "size"))
+        values = [np.array(v.as_py(), np.uint64) for v in group.column("keys")]
+        rows, cols = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        inner = not len(cols)
+        cols = rows if inner else cols
+        a, b, dense = none, none, False
+        if len(rows) and len(cols):
+            rest = size - np.array([len(v) for v in values])
+            both = common_counts([values[i] for i in rows], [values[i] for i in cols]).astype(np.int64)
+            whole = -(-least[0] * (size[rows][:, None] + size[cols][None]) // (least[0] + least[1]))
+            close = both >= np.maximum(1, whole - np.maximum(rest[rows][:, None], rest[cols][None]))
+            close &= root[rows][:, None] != root[cols][None]
+            if inner:
+                close &= node[rows][:, None] < node[cols][None]
+            dense = bool(close.sum() > DENSE * (len(rows) + len(cols)))
+            if not dense:
+                i, j = np.nonzero(close)
+                x, y = node[rows[i]], node[cols[j]]
+                a, b = pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())
+        if dense:
+            a = b = pa.array([None], pa.int64())
+        first = {c: group.column(c)[0] for c in key}
+        return pa.table({c: pa.array([v.as_py()] * len(a), v.type) for c, v in first.items()} | {"a": a, "b": b})
+
     def check(group: pa.Table) -> pa.Table:
         side, root = group.column("side").to_numpy(), group.column("root").to_numpy()
         values = [np.frombuffer(v.as_py(), np.uint64) for v in group.column("s")]
@@ -196,7 +241,12 @@ def _blocked(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], leas
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     dealt = materialize(dealt)
-    return dealt.join(sets_of(dealt.select("node")), "node").groupBy("k", "rc", "ri", "cc", "ci").applyInArrow(check, "a long, b long")
+    proposed = materialize(dealt.join(sketches, "node").groupBy(*key).applyInArrow(propose, "k long, rc string, ri int, cc string, ci int, a long, b long"))
+    dense = dealt.join(proposed.filter("a is null").select(*key), key, "left_semi")
+    links = dealt.limit(0).select(F.col("root").alias("a"), F.col("root").alias("b"))
+    if not dense.isEmpty():
+        links = dense.join(sets_of(dense.select("node")), "node").groupBy(*key).applyInArrow(check, "a long, b long")
+    return proposed.filter("a is not null").select("a", "b"), links
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: tuple[int, int] = LEAST, small: int = SMALL, block: int = BLOCK, also: DataFrame | None = None, empty_alike: bool = False) -> DataFrame:
@@ -213,7 +263,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``empty_alike`` texts without words are copies of each other."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("t"))
-    told = spark.sparkContext.broadcast(frequent(rows, shingle))
+    told = spark.sparkContext.broadcast(frequent(rows, shingle, small))
 
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = told.value
@@ -221,7 +271,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             made: tuple[list, ...] = ([], [], [], [])
             for x in batch.column(2):
                 s = shingles(x.as_py(), shingle)
-                low = coded(s, known, rank)[: retained(len(s), least)]
+                low = bottom(s, retained(len(s), least), known, rank)
                 for column, v in zip(made, (node_of(s), len(s), int((low >> HASH_BITS == 0).sum()), low.view(np.int64)), strict=True):
                     column.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -279,15 +329,17 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pair = lambda x, y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"), (needed(x["size"], y["size"]) - F.least(x["crowded"], y["crowded"])).alias("needed"))
     across = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: meet(x, y)), lambda y: pair(x, y))))
     shared = few.select(F.explode(across).alias("p")).select("p.*").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("needed").alias("needed"))
-    more = materialize(shared.filter("shared >= needed").select("a", "b").join(pairs, ["a", "b"], "left_anti"))
-    links = linked(more, sets_of(ends(more)))
+    more, dense = shared.filter("shared >= needed").select("a", "b"), None
     open_lists = here.filter(F.col("n") > small)
     if not open_lists.isEmpty():
         upto = F.array_sort(F.collect_list("k"))
         before = crowds.groupBy("node").agg(upto.alias("all")).select("node", "all", F.posexplode("all").alias("i", "k")).select("node", "k", F.when(F.col("i") > 0, F.col("all")[F.col("i") - 1]).alias("before"))
         crowded = materialize(open_lists.join(before, ["node", "k"]).select("k", "node", "size", "before", "root"))
-        links = links.unionByName(_blocked(crowded, sets_of, least, block))
-    links = materialize(links)
+        met, dense = _blocked(crowded, nodes.select("node", "size", "keys"), sets_of, least, block)
+        more = more.unionByName(met)
+    more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"))
+    links = linked(more, sets_of(ends(more)))
+    links = materialize(links if dense is None else links.unionByName(dense))
     if not links.isEmpty():
         roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     named = _roots_of(nodes.select("node", "w"), roots, NULL_ID)

@@ -63,8 +63,9 @@ def rows():
     return list(zip(ids, texts, strict=True)) + [(5, "same id"), (5, "same id"), (None, "one two")]
 
 
-@pytest.mark.parametrize(("small", "block"), [(16, 256), (4, 16)])
-def test_components_equal_brute_force(spark, rows, monkeypatch, small, block):
+@pytest.mark.parametrize(("small", "block", "dense"), [(16, 256, 4), (4, 16, 0), (4, 16, 10**9)])
+def test_components_equal_brute_force(spark, rows, monkeypatch, small, block, dense):
+    monkeypatch.setattr(overlaps, "DENSE", dense)
     df = spark.createDataFrame([(t, i, "x", 1) for i, t in rows], "text string, doc_id long, node string, keys int").repartition(5)
     got = overlaps.similar_sets(df, small=small, block=block).collect()
     assert len(got) == len(rows)
@@ -97,6 +98,8 @@ def test_sketches_lose_no_pair():
         rank = r.integers(1, 9, len(known)).astype(np.uint64)
         for told in ((none, none), (known, rank)):
             a, b = (overlaps.coded(np.unique(v), *told) for v in (x, y))
+            for k in (1, 3, len(a)):
+                assert overlaps.bottom(np.unique(x), k, *told).tolist() == a[:k].tolist()
             common = len(np.intersect1d(a, b))
             if overlaps.enough(common, len(a), len(b), (85, 100)):
                 p, q = a[: overlaps.retained(len(a), (85, 100))], b[: overlaps.retained(len(b), (85, 100))]
