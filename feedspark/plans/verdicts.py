@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedspark.operators import manifest, replay, verdict
+from feedspark.operators import manifest, replay, status, verdict
 from feedspark.operators import versions as op
 from feedspark.plans.manifests import FEEDS, _days
 from feedspark.plans.manifests import SQL as MANIFESTS
@@ -70,6 +70,14 @@ def day_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("date", "complete", "quality_ok", text("errors").alias("errors"), text("flags").alias("flags"))
 
 
+def collection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days before the 28th; a receipt a day, some of an old version, unverified or named by another day."""
+    _, feeds = _verdicts(spark, sf_dir)
+    n = F.dayofmonth("day")
+    receipts = events(spark, sf_dir).select("day").distinct().select("day", F.when(n % 5 == 0, 1).otherwise(2).alias("version"), (n % 3 != 0).alias("remote_verified"), F.when(n == 7, F.date_add("day", 1)).otherwise(F.col("day")).alias("file_date"))
+    return status.collection_statistics(feeds, receipts, "day", "event_type", F.lit("2024-01-28").cast("date"))
+
+
 def static_join_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report for each return flag; order lines are updates, orders trips, customers routes, in three versions by the order's number."""
     li = table(spark, sf_dir, "lineitem")
@@ -118,6 +126,10 @@ UNION ALL SELECT day, 'error', 'static', 7, 'no_version', 0, '' FROM st WHERE ve
 UNION ALL SELECT day, 'flag', 'static', 7, 'no_version_seen', 3, '' FROM st WHERE NOT covered AND NOT seen UNION ALL SELECT day, 'flag', 'static', 7, 'start_not_covered', 4, '' FROM st WHERE seen AND NOT covered UNION ALL SELECT day, 'flag', 'static', 7, 'legacy_schedule_uncertain', 5, '' FROM st WHERE old),
 ls AS (SELECT dd.day, coalesce(string_agg(source || ':' || rule || ':' || detail, ',' ORDER BY rank, place, detail) FILTER (WHERE kind = 'error'), '') AS errors, coalesce(string_agg(source || ':' || rule || ':' || detail, ',' ORDER BY rank, place, detail) FILTER (WHERE kind = 'flag'), '') AS flags FROM dd LEFT JOIN ev ON ev.day = dd.day GROUP BY ALL)
 SELECT day AS date, errors = '' AS complete, flags = '' AS quality_ok, errors, flags FROM ls""",
+    "collection_report": MANIFESTS["daily_manifest"].rpartition("SELECT")[0] + """, q AS (SELECT day, sum(coalesce(attempted_polls, 0)) AS polls, sum(rows) AS rows, sum(rs) AS raw, bool_and(flags = '') AS good FROM y WHERE day < DATE '2024-01-28' GROUP BY day HAVING sum(coalesce(attempted_polls, 0)) > 0),
+rc AS (SELECT DISTINCT day FROM j0 WHERE day < DATE '2024-01-28' AND day(day) % 5 <> 0 AND day(day) % 3 <> 0 AND day(day) <> 7)
+SELECT (SELECT min(first_success) FROM d WHERE day < DATE '2024-01-28') AS evidenced_since, count(*) AS evidenced_days, CAST(sum(polls) AS BIGINT) AS polls_recorded, CAST(sum(rows) AS BIGINT) AS event_rows, CAST(sum(raw) AS BIGINT) AS raw_snapshots, max(day) AS latest_date, arg_max(CASE WHEN good THEN 'good' ELSE 'flagged' END, day) AS latest_quality,
+(SELECT count(*) FROM rc) AS verified_days, (SELECT max(day) FROM rc) AS last_verified_date FROM q""",
     "static_join_report": """WITH o AS (SELECT l_returnflag AS f, CASE WHEN l_suppkey % 50 <> 0 THEN (l_orderkey + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) % 3 END AS ver, l_orderkey, l_linenumber, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL),
 s AS (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem WHERE l_quantity > 10),
 m AS (SELECT o.*, ver IS NOT NULL AS known, t.o_orderkey IS NOT NULL AS trip, s.l_orderkey IS NOT NULL AS exact, CASE WHEN t.o_orderkey IS NULL THEN 'external_or_unmatched_valid_realtime' ELSE coalesce(c.c_mktsegment, 'static_route_type_unknown') END AS mode, CASE WHEN o.l_suppkey % 7 <> 0 THEN CAST(o.l_suppkey AS VARCHAR) ELSE '(missing_route_id)' END AS route
@@ -133,4 +145,4 @@ concat_ws(',', CASE WHEN unresolved > 0 THEN 'unresolved_updates' END, CASE WHEN
 FROM w LEFT JOIN vs ON vs.f = w.f LEFT JOIN a ON a.f = w.f LEFT JOIN bm ON bm.f = w.f LEFT JOIN kr ON kr.f = w.f""",
 }
 
-QUERIES = {f.__name__: f for f in (presence_log_faults, source_timestamp_coverage, day_verdicts, static_join_report)}
+QUERIES = {f.__name__: f for f in (presence_log_faults, source_timestamp_coverage, day_verdicts, collection_report, static_join_report)}
