@@ -9,20 +9,26 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedspark.llm.common import NULL_ID, filter_rows, in_batches, materialize, table, text_of, word_array
+from feedspark.llm.hashing import HASHES, P, mix, rolled
 
 WINDOW = 13
 #: A pass looks for about this many windows (some 2.6 million nodes, 120 MB in each worker) of about
 #: this many characters of items; a larger benchmark is looked for in several passes.
 PASS_WINDOWS, PASS_CHARS = 100_000, 8_000_000
+#: Logarithm of the bits (16 MB) of the filter that a text must pass before it meets several automata, bits of a window in it, and item names remembered by a worker.
+FILTER_BITS, PROBES, NAMES_HELD = 27, 4, 1_000_000
 #: Windows of one item that are dealt together: longer items are cut, the parts overlapping.
 PART_WINDOWS = 2_000
 #: Bytes that end a word, and A-Z to lower case. Bytes from 0x80 belong to words.
@@ -45,9 +51,11 @@ class Finder:
         base = math.isqrt(len(number)) + 1
         self.codes = {w: chr(1 + n // base) + chr(1 + base + n % base) for w, n in number.items()}
         by_number = list(self.codes.values())
+        coded.sort(key=lambda x: (x[0] is None, x[0] or ""))
         self.names: list[str | None] = list(dict.fromkeys(name for name, _ in coded))
-        place = {name: (i,) for i, name in enumerate(self.names)}
-        self.owners: list[tuple[int, ...]] = []
+        place = {name: i for i, name in enumerate(self.names)}
+        self.owners: list[array] = []  # of each window, the places of its items' names, rising
+        self.named: dict[frozenset[int], list[str | None]] = {}
         self.automaton, shortest = ahocorasick.Automaton(ahocorasick.STORE_INTS), width
         for name, own in coded:
             only, text, n = place[name], "".join([by_number[c] for c in own]), min(len(own), width)
@@ -57,9 +65,9 @@ class Finder:
                 at = self.automaton.get(window, -1)
                 if at < 0:
                     self.automaton.add_word(window, len(self.owners) << 8 | n)
-                    self.owners.append(only)
-                elif only[0] not in self.owners[at >> 8]:
-                    self.owners[at >> 8] += only
+                    self.owners.append(array("I", (only,)))
+                elif self.owners[at >> 8][-1] != only:
+                    self.owners[at >> 8].append(only)
         self.runs = re.compile("[^\0]{%d,}" % (2 * shortest))
         if self.owners:
             self.automaton.make_automaton()
@@ -77,8 +85,16 @@ class Finder:
         if not found:
             return len(w), [], []
         runs = merged((last - (v & 255), last) for last, v in found)
-        owners = {o for v in {v for _, v in found} for o in self.owners[v >> 8]}
-        return len(w), runs, sorted((self.names[o] for o in owners), key=lambda x: (x is None, x or ""))
+        return len(w), runs, self.items_of(frozenset(v >> 8 for _, v in found))
+
+    def items_of(self, windows: frozenset[int]) -> list[str | None]:
+        """Names of the items that own any of the windows, in order; remembered, as one passage stands in many texts."""
+        if windows not in self.named:
+            if sum(map(len, self.named.values())) > NAMES_HELD:
+                self.named.clear()
+            owners = np.unique(np.concatenate([np.frombuffer(self.owners[v], np.uint32) for v in windows]))
+            self.named[windows] = [self.names[o] for o in owners.tolist()]
+        return self.named[windows]
 
 
 def merged(runs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -151,17 +167,66 @@ def _joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, _RUNS), batch.column(4)], names=["doc_id", "text_key", "n_words", "runs", "items"])
 
 
+def _places(h: np.ndarray) -> np.ndarray:
+    """Bits of the filter of each window's hash, PROBES of them."""
+    return np.concatenate([mix(h + np.uint64(i) * P) >> np.uint64(64 - FILTER_BITS) for i in range(PROBES)]).reshape(PROBES, -1)
+
+
+def _hashed(w: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(HASHES.__getitem__, w), np.uint64, len(w))
+
+
+def _sifted(rows: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+    """doc_id, text_key, n_words, t: the text stays where it may hold a window, and is null elsewhere.
+
+    One scan with a Bloom filter of all windows, of fixed size: a larger benchmark lets more texts
+    pass, none of those with a window is stopped. The filter is put together by partial aggregates."""
+
+    def bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [_hashed(x.as_py().encode().split()) for x in batch.column(0)]
+            at = np.unique(np.concatenate([_places(rolled(h, min(len(h), width))).ravel() for h in own] or [np.zeros(0, np.uint64)]))
+            cell, first = np.unique(at >> np.uint64(6), return_index=True)
+            mask = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), pa.array(mask.view(np.int64))], names=["cell", "mask"])
+
+    made = in_batches(items.select("t"), bits, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table_ = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    table_[made.column("cell").to_numpy()] = made.column("mask").to_numpy().view(np.uint64)
+    sizes = [r.n for r in items.select(F.least(F.size(F.split("t", " ")), F.lit(width)).alias("n")).distinct().collect()]
+    shared = rows.sparkSession.sparkContext.broadcast((table_, sizes))
+
+    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, widths = shared.value
+        for batch in batches:
+            n_words, keep = [], []
+            for x in batch.column(2):
+                h = _hashed(words(x.as_py()))
+                n_words.append(len(h))
+                hit = False
+                for n in widths:
+                    at = _places(rolled(h, n))
+                    hit = hit or bool(((held[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0).any())
+                keep.append(hit)
+            texts = pa.compute.if_else(pa.array(keep, pa.bool_()), batch.column(2), pa.scalar(None, batch.column(2).type))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), texts], names=["doc_id", "text_key", "n_words", "t"])
+
+    return in_batches(rows, sift, "doc_id long, text_key long, n_words long, t string")
+
+
 def _in_passes(rows: DataFrame, items: DataFrame, passes: int) -> DataFrame:
-    """Parts of items are dealt by hash over the passes; each scans all texts, and what the later ones
-    find (few rows, without texts) is joined to the first one's by identifier and text hash."""
+    """Parts of items are dealt by hash over the passes. All texts are scanned once, for windows' hashes; only
+    those that may hold a window go through the automata, and what these find (few rows, without texts) is
+    joined to the documents by identifier and text hash."""
     key = [F.coalesce("doc_id", F.lit(NULL_ID)).alias("_o"), "text_key"]
-    own = lambda i: items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == i)
-    base = materialize(_scanned(rows, own(0)))
-    hits = base
-    for i in range(1, passes):
-        hits = hits.unionByName(materialize(_scanned(rows, own(i)).filter(F.size("runs") > 0)))
+    base = materialize(_sifted(rows, items))
+    some = base.filter("t is not null").select("doc_id", "text_key", "t")
+    found = [materialize(_scanned(some, items.filter(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == i)).filter(F.size("runs") > 0)) for i in range(passes)]
+    hits = found[0]
+    for more in found[1:]:
+        hits = hits.unionByName(more)
     ids = F.array_sort(F.array_distinct(F.flatten(F.collect_list("items"))))
-    by_key = hits.filter(F.size("runs") > 0).groupBy(*key).agg(F.flatten(F.collect_list("runs")).alias("runs"), ids.alias("items"))
+    by_key = hits.groupBy(*key).agg(F.flatten(F.collect_list("runs")).alias("runs"), ids.alias("items"))
     got = base.select("doc_id", "n_words", *key).join(by_key, ["_o", "text_key"], "left")
     filled = got.select("doc_id", "text_key", "n_words", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     return in_batches(filled, _joined, f"doc_id long, text_key long, n_words long, runs {RUNS}, items array<string>")
@@ -172,7 +237,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     The benchmark's windows and characters are counted first. Up to about ``pass_windows`` and
     ``pass_chars`` of them, its words are broadcast and each text is scanned once. A larger one,
-    or a very long item, is dealt over passes of that size; the results are the same.
+    or a very long item, is dealt over passes of that size, which only texts meet that a filter
+    of all windows lets pass; the results are the same.
 
     Null text (of documents or items) has no words. A null item id is an item too: it counts,
     its name is null and comes last. Items that repeat count once. Very long texts are scanned
