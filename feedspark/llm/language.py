@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import in_batches, materialize, sampled, table, text_of
+from feedspark.llm.common import BROADCAST_KEYS, in_batches, materialize, table, text_of
+from feedspark.llm.hashing import P, mix
 
 #: Bytes of a window, of which a text has as many as it needs; size of a byte's vector; filters of each width.
 WINDOW, DIM, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
-#: Different labelled texts of each language that the network is trained on, about this many at most, whole; languages learned, the most frequent ones.
-TRAIN_TEXTS, LANGUAGES = 300, 200
+#: Different windows of labelled texts that the network is trained on, about this many of each language and of all.
+TRAIN_WINDOWS, TRAIN_ALL = 4_000, 200_000
 #: Training passes over the sample EPOCHS times, and more often if these are fewer than STEPS batches.
 EPOCHS, STEPS, BATCH, RATE, SEED = 6, 500, 64, 0.004, 11
 #: A document is rejected if it has no letter, or if its best language has less than this probability.
@@ -95,17 +96,17 @@ class Network:
         return out
 
 
-def train(samples: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = SEED) -> Network:
-    """Adam on cross entropy over the samples' windows; (text, language)."""
+def train(samples: list[tuple[str | bytes, str]], epochs: int = EPOCHS, seed: int = SEED) -> Network:
+    """Adam on cross entropy over the samples' windows; (text or its bytes, language)."""
     languages = sorted({lang for _, lang in samples})
     net = Network.new(languages, seed)
     if not languages:
         return net
-    x, y = [], []
-    for text, lang in sorted(samples):
-        for w in byte_windows(text.encode()):
+    x, y, number = [], [], {lang: i for i, lang in enumerate(languages)}
+    for text, lang in sorted((t.encode() if isinstance(t, str) else t, lang) for t, lang in samples):
+        for w in byte_windows(text):
             x.append(w)
-            y.append(languages.index(lang))
+            y.append(number[lang])
     x, y = np.stack(x), np.array(y)
     r, mask = np.random.default_rng(seed), Network.mask()
     span = max(WIDTHS)
@@ -144,16 +145,36 @@ def train(samples: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = SEED
     return net
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_TEXTS, languages: int = LANGUAGES) -> Network:
-    """Train on a bounded sample of rows: about ``per_language`` different whole texts of each language, chosen by a hash of the text.
+def drawn(windows: np.ndarray, share: float) -> np.ndarray:
+    """The windows that a hash of their bytes draws; equal windows are all in or all out."""
+    h = np.zeros(len(windows), np.uint64)
+    for column in np.ascontiguousarray(windows).view(np.uint64).T:
+        h = mix(h * P + column)
+    return windows[(h >> np.uint64(11)).astype(np.float64) < share * 2.0**53]
 
-    Rows without a language or a letter are left out, copies count once. Of more than
-    ``languages`` languages the most frequent are learned. Only the sample comes to the driver."""
+
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_WINDOWS, in_all: int = TRAIN_ALL) -> Network:
+    """Train on a bounded sample: different windows of all labelled texts, about ``per_language`` of each language and ``in_all`` of all.
+
+    Windows are drawn by their hash where the texts are, from all windows of whole texts; only
+    the sample, WINDOW bytes a row, comes to the driver, however long the texts are. Every language
+    is learned. Rows without a language or a letter are left out, copies count once."""
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("lang"))
-    counts = materialize(rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).orderBy(F.desc("n"), "lang").limit(languages))
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
-    sample = rows.join(F.broadcast(counts), "lang").filter(sampled(F.col("t"), share)).select("t", "lang").distinct()
-    return train([(x.t, x.lang) for x in sample.toLocalIterator()])
+    texts = rows.groupBy("lang", F.xxhash64("t").alias("h")).agg(F.max(F.ceil(F.octet_length("t") / F.lit(WINDOW))).alias("windows"))
+    counts = materialize(texts.groupBy("lang").agg(F.sum("windows").alias("n")))
+    languages = counts.count()
+    each = min(per_language, max(1, in_all // max(1, languages)))
+    shares = counts.select("lang", F.least(F.lit(1.0), F.lit(float(each)) / F.col("n")).alias("share"))
+    known = rows.join(F.broadcast(shares) if languages <= BROADCAST_KEYS else shares, "lang").select("t", "lang", "share")
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [drawn(byte_windows(t.as_py().encode()), s.as_py()) for t, s in zip(batch.column(0), batch.column(2), strict=True)]
+            at = pa.array(np.repeat(np.arange(len(got)), [len(w) for w in got]), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(at), pa.array([w.tobytes() for part in got for w in part], pa.binary())], names=["lang", "w"])
+
+    sample = in_batches(known, draw, "lang string, w binary").distinct()
+    return train([(bytes(x.w), x.lang) for x in sample.toLocalIterator()])
 
 
 def identify(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
