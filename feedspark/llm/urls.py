@@ -14,7 +14,7 @@ from feedspark.llm.common import materialize, sampled, table
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: Different labelled URLs that the trees are fitted on, about this many at most, chosen by a hash of the url.
 TRAIN_ROWS = 8_000
-FEATURES = ("n_url", "n_host", "n_path", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "n_suffix", "suffix_rate", "suffix_share")
+FEATURES = ("n_url", "n_host", "n_path", "depth", "labels", "digit_ratio", "entropy", "parameters", "hyphens", "n_suffix", "suffix_rate", "suffix_share", "segment_rate")
 #: Weight of the prior in a suffix's rate; share of the hosts (1 / HELD_OUT) that ``held_out_accuracy`` leaves out of the fit.
 SMOOTHING, HELD_OUT = 5, 4
 
@@ -47,10 +47,10 @@ def entropy(text: Column) -> Column:
 
 
 def with_rules(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page_id, u (the url, empty for null), host, path, hit (rule and verdict, or null), suffix, site (the host's last two labels)."""
+    """page_id, u (the url, empty for null), host, path, hit (rule and verdict, or null), suffix, site (the host's last two labels), segment (the path's first)."""
     host, path = host_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("u"), host.alias("host"), path.alias("path"))
-    return rows.withColumns({"hit": rule_of(F.col("host"), F.col("path"), rules), "suffix": F.substring_index("host", ".", -1), "site": F.substring_index("host", ".", -2)})
+    return rows.withColumns({"hit": rule_of(F.col("host"), F.col("path"), rules), "suffix": F.substring_index("host", ".", -1), "site": F.substring_index("host", ".", -2), "segment": F.lower(F.substring_index(F.substring("path", 2, 256), "/", 1))})
 
 
 def with_features(rows: DataFrame) -> DataFrame:
@@ -59,8 +59,9 @@ def with_features(rows: DataFrame) -> DataFrame:
     suffix_rate is the smoothed share of blocked among the suffix's labelled urls *of other
     sites*, suffix_share the share of all urls that other sites of the suffix have: what a site
     itself counts is not among its features, so that no url meets its own label there, nor its
-    site's name under another number. Both are counted over all urls and written once, so that Spark knows their size when it plans the joins and can split a
-    frequent site's rows."""
+    site's name under another number. segment_rate is the same rate over urls of other sites whose
+    path begins with the same segment. All are counted over all urls and written once, so that
+    Spark knows their size when it plans the joins and can split a frequent site's rows."""
     blocked, labelled = F.count_if(F.col("hit.verdict") == "block"), F.count("hit")
     sites = materialize(rows.groupBy("suffix", "site").agg(blocked.alias("b"), labelled.alias("l"), F.count(F.lit(1)).alias("n")))
     suffixes = materialize(sites.groupBy("suffix").agg(F.sum("b").alias("sb"), F.sum("l").alias("sl"), F.sum("n").alias("sn")))
@@ -68,6 +69,8 @@ def with_features(rows: DataFrame) -> DataFrame:
     prior = total.sb / total.sl if total.sl else 0.5
     rate = (F.col("sb") - F.col("b") + F.lit(SMOOTHING * prior)) / (F.col("sl") - F.col("l") + SMOOTHING)
     known = sites.join(suffixes, "suffix").select("site", rate.alias("suffix_rate"), ((F.col("sn") - F.col("n")) / F.lit(float(max(1, total.sn)))).alias("suffix_share"))
+    paths = materialize(rows.groupBy("segment", "site").agg(blocked.alias("b"), labelled.alias("l")).filter("l > 0"))
+    segments = materialize(paths.groupBy("segment").agg(F.sum("b").alias("tb"), F.sum("l").alias("tl")))
     u = F.col("u")
     count = lambda c, sign: (F.length(c) - F.length(F.replace(c, F.lit(sign), F.lit("")))).cast("double")
     lexical = {
@@ -76,7 +79,10 @@ def with_features(rows: DataFrame) -> DataFrame:
         "digit_ratio": F.length(F.regexp_replace(u, "[^0-9]", "")) / F.greatest(F.length(u), F.lit(1)),
         "entropy": entropy(F.lower(u)), "parameters": F.when(F.contains(u, F.lit("?")), count(u, "&") + 1).otherwise(0.0),
     }
-    return rows.join(known, "site").withColumns(lexical)
+    own = lambda c: F.coalesce(F.col(c), F.lit(0))
+    segment_rate = (own("tb") - own("b") + F.lit(SMOOTHING * prior)) / (own("tl") - own("l") + SMOOTHING)
+    counted = rows.join(known, "site").join(segments, "segment", "left").join(paths, ["segment", "site"], "left").withColumn("segment_rate", segment_rate).drop("tb", "tl", "b", "l")
+    return counted.withColumns(lexical)
 
 
 def fit(full: DataFrame, train_rows: int = TRAIN_ROWS) -> GBTClassificationModel | None:

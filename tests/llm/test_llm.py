@@ -185,6 +185,18 @@ def test_language(spark, docs, none, sf):
     assert {r.lang_pred for r in language.identify(docs, language.fit(none)).collect()} == {"und"}
 
 
+def test_training_windows_are_bounded_and_every_language_is_learned(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(language, "train", lambda samples: held.append(samples))
+    rows = [(" ".join(f"x{i}y{j}" for j in range(4000)), "long") for i in range(4)] + [(f"word {i}", f"l{i % 250}") for i in range(500)] + [("same text", "long")] * 50 + [("7", "none"), (None, "none"), ("abc", None)]
+    language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3), per_language=40)
+    language.fit(spark.createDataFrame(rows, "text string, lang string"), per_language=10**6)
+    some, every = held
+    count = lambda s, k: sum(lang == k for _, lang in s)
+    assert {lang for _, lang in some} == {"long", *(f"l{i}" for i in range(250))} and all(len(w) == 256 for w, _ in some)
+    assert 10 < count(some, "long") < 90 and count(every, "long") > 400 and count(every, "l7") == 2 and len(set(every)) == len(every)
+
+
 def test_network_equals_a_naive_convolution():
     net = language.Network.new(["de", "en", "fr"], 3)
     net.bias += 0.05
@@ -229,6 +241,7 @@ def test_url_features_equal_brute_force(spark):
     got = {r.page_id: r for r in urls.with_features(table).collect()}
     assert len(got) == len(rows)
     of = {i: (r.suffix, r.site, r.hit.verdict if r.hit else None) for i, r in got.items()}
+    first = {i: (r.path[1:].split("/")[0].lower(), r.site, r.hit.verdict if r.hit else None) for i, r in got.items()}
     labels = [v for _, _, v in of.values() if v]
     prior = labels.count("block") / len(labels)
     for i, u in rows:
@@ -243,6 +256,8 @@ def test_url_features_equal_brute_force(spark):
         others = [v for s, site, v in of.values() if s == r.suffix and site != r.site]
         want = (others.count("block") + 5 * prior) / (sum(map(bool, others)) + 5)
         assert abs(r.suffix_rate - want) < 1e-12 and abs(r.suffix_share - len(others) / len(rows)) < 1e-12
+        others = [v for s, site, v in first.values() if s == first[i][0] and site != r.site]
+        assert abs(r.segment_rate - (others.count("block") + 5 * prior) / (sum(map(bool, others)) + 5)) < 1e-12
 
 
 def test_url_trees_take_all_features_and_no_label(spark):
