@@ -36,8 +36,8 @@ from feedspark.llm.hashing import HASHES, rolled
 from feedspark.llm.simhash import components
 
 SHINGLE, LEAST = 3, (85, 100)
-#: Lists up to this size are compared by pairs; nodes of a block of a longer one (and 1,024 values a node on average).
-SMALL, BLOCK = 16, 256
+#: Lists up to this size are compared by pairs; nodes of a block of a longer one (and 512 values a node on average).
+SMALL, BLOCK = 16, 1024
 #: Values that are counted together before they leave a task; hashes below this are counted (a quarter; sketches reach a sixth); how many frequent values are told to the tasks.
 SLICE, COUNTED, TOLD = 1 << 20, np.uint64(1 << 62), 1 << 19
 #: A block whose sketches propose more pairs than this for each of its nodes is compared on full sets as a block.
@@ -89,7 +89,7 @@ def lists_needed(nx: int, ny: int, least: tuple[int, int]) -> int:
     return whole - max(nx - retained(nx, least), ny - retained(ny, least))
 
 
-def common_counts(xs: list[np.ndarray], ys: list[np.ndarray], chunk: int = 8192) -> np.ndarray:
+def common_counts(xs: list[np.ndarray], ys: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
     """Common values of each of xs and each of ys, by products of 0/1 matrices over the values that both sides hold."""
     fx, fy = np.concatenate(xs), np.concatenate(ys)
     ix, iy = np.repeat(np.arange(len(xs)), [len(x) for x in xs]), np.repeat(np.arange(len(ys)), [len(y) for y in ys])
@@ -168,7 +168,7 @@ def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFra
     usual = entries.filter(F.col("before").isNotNull()).groupBy("k", "before").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("before", "n").alias("usual"))
     kind = F.when(F.col("root") != F.col("big"), F.when(F.col("usual").isNull() | ~F.col("before").eqNullSafe(F.col("usual")), "OA").otherwise("OB")).when(F.col("usual").isNull() | ~F.col("before").eqNullSafe(F.col("usual")), "SA").otherwise("SB")
     here = materialize(entries.join(largest, "k").join(usual, "k", "left").select("k", "node", "size", "root", kind.alias("c")))
-    count = lambda c: F.greatest(F.ceil(F.count_if(F.col("c") == c) / block), F.ceil(F.sum(F.when(F.col("c") == c, F.col("size"))) / (block * 1024))).cast("int").alias(f"n{c}")
+    count = lambda c: F.greatest(F.ceil(F.count_if(F.col("c") == c) / block), F.ceil(F.sum(F.when(F.col("c") == c, F.col("size"))) / (block * 512))).cast("int").alias(f"n{c}")
     shape = here.groupBy("k").agg(*[F.coalesce(count(c), F.lit(0)).alias(f"n{c}") for c in ("OA", "OB", "SA", "SB")])
     i = F.pmod(F.xxhash64("node", "k"), F.greatest(F.lit(1), F.element_at(F.create_map(*[x for c in ("OA", "OB", "SA", "SB") for x in (F.lit(c), F.col(f"n{c}"))]), F.col("c")))).cast("int")
     upto = lambda n: F.slice(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), F.lit(1), n)
@@ -191,7 +191,9 @@ def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFra
 
     def propose(group: pa.Table) -> pa.Table:
         side, root, node, size = (group.column(c).to_numpy() for c in ("side", "root", "node", "size"))
-        values = [np.array(v.as_py(), np.uint64) for v in group.column("keys")]
+        lists = group.column("keys").combine_chunks()
+        flat, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(np.diff(lists.offsets.to_numpy()))
+        values = np.split(flat, ends[:-1])
         rows, cols = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         inner = not len(cols)
         cols = rows if inner else cols
