@@ -12,11 +12,12 @@ def poll_grid(polls: DataFrame, poll: str, gap: Column, stream: list[str] | None
     """Numbers the polls of a stream and its segments: ``gap`` (over _before and the poll) opens a new one.
 
     Nothing is concluded over a gap; a segment begins with a baseline. Polls are ordered inside
-    a ``day`` of the stream (default: the date of ``poll``), which hands on its last poll, its number
+    a ``day`` of the stream (default: the date of a ``poll`` that is a date or time, else none), which hands on its last poll, its number
     of polls and its segments; only days, a row each, are ordered along the stream."""
     own = stream or []
     names = [*own, "_day"]
-    rows = polls.withColumn("_day", F.to_date(poll) if day is None else day)
+    dated = polls.schema[poll].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+    rows = polls.withColumn("_day", (F.to_date(poll) if dated else F.lit(None).cast("date")) if day is None else day)
     w = inside(own, "_day", [poll])
     days = rows.groupBy(*names).agg(F.max(poll).alias("_last"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*own).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
