@@ -15,16 +15,6 @@ def explode_outer_rows(df: DataFrame, items: str, fields: list[str], ordinal: st
     return out
 
 
-def tombstones(df: DataFrame, deleted: Column, payload: list[str]) -> DataFrame:
-    """Deleted entities keep their poll and entity columns; the payload is null."""
-    return df.withColumns({c: F.when(~F.coalesce(deleted, F.lit(False)), F.col(c)) for c in payload})
-
-
-def prefixed(struct: str, prefix: str, fields: list[str]) -> list[Column]:
-    """The fields of a nested event as ``prefix_field`` columns."""
-    return [F.col(f"{struct}.{f}").alias(f"{prefix}_{f}") for f in fields]
-
-
 def canonical_json(value: Column, keep_nulls: bool = True) -> Column:
     """Compact JSON; the struct's fields must be declared in sorted order. An empty list is '[]'."""
     return F.to_json(value, {"ignoreNullFields": "false" if keep_nulls else "true"})

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedspark.plans import compression, coverage, evidence, manifests, presence, revisions, shapes, verdicts, versions
+from feedspark.plans import compression, coverage, evidence, feeds, manifests, presence, revisions, shapes, verdicts, versions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for module in (revisions, compression, presence, versions, coverage, shapes, evidence, manifests, verdicts):
+for module in (revisions, compression, presence, versions, coverage, shapes, evidence, manifests, verdicts, feeds):
     QUERIES |= module.QUERIES
     SQL |= module.SQL
