@@ -15,10 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedspark.operators.carry import joined
+from feedspark.operators.carry import inside, joined, with_previous
+from feedspark.storage import staged
 
 #: The versions of a record and of its source timestamps, and the parts of the two identities.
 VERSION, SOURCE_VERSION, TRIP_PARTS, STOP_PARTS = 1, 1, 4, 3
+#: Records of a log, or changes of trips and stops, that a task holds, about.
+ROWS = 100_000
 #: The rules in the order in which a record is checked.
 RULES = (
     "baseline_sequence", "sequence_gap", "unsupported_record", "trip_identity", "stop_identity", "trip_enters_twice", "not_preceding_membership", "withdrawn_trip_keeps_stops", "membership_counts",
@@ -26,10 +29,23 @@ RULES = (
 )
 
 
+def _parts(n: int | None) -> int:
+    return max(1, -(-int(n or 0) // ROWS))
+
+
+def _dealt(log: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``_chunk``, a range of places of about ROWS records, and ``segment``. Only a row for each chunk is ordered along a log."""
+    rows = staged(log.repartitionByRange(_parts(log.count()), *by, "order").withColumn("_chunk", F.spark_partition_id()))
+    base = F.coalesce((F.col("kind") == "baseline").cast("int"), F.lit(0))
+    sums = rows.groupBy(*by, "_chunk").agg(F.sum(base).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    got = joined(rows, sums.select(*by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), by, "_chunk")
+    return got.withColumn("segment", F.col("_before") + F.sum(base).over(inside(by, "_chunk", ["order"]))).drop("_before")
+
+
 def segmented(log: DataFrame, by: list[str]) -> DataFrame:
     """Adds ``segment``, counted from 0 (before the first baseline) in each log. A log is a feed's day, a row each poll."""
-    w = Window.partitionBy(*by).orderBy("order")
-    return log.withColumn("segment", F.sum((F.col("kind") == "baseline").cast("int")).over(w))
+    return _dealt(log, by).drop("_chunk")
 
 
 def _rule(name: str) -> Column:
@@ -46,54 +62,73 @@ def faults(log: DataFrame, by: list[str], trip_parts: int = TRIP_PARTS, stop_par
 
     A fault is a broken rule of ``RULES``, the first one of the record. ``promised``: poll_id and
     presence_source_timestamps_version of journals, which a record must repeat where it is not
-    null. Rows are spread by trip and stop; only counts of records are summed along a segment."""
-    rows = segmented(log, by)
-    at = [*by, "segment", "order"]
-    w = Window.partitionBy(*by).orderBy("order")
-    first = F.row_number().over(Window.partitionBy(*by, "poll_id").orderBy("order")) > 1
+    null. Records are dealt by ranges of places, changes by trip and stop, about ROWS in a task
+    whatever a log's length is; what a range hands on is a row."""
+    names = ["order", "poll_id", "stream_id", "sequence", "kind", "version", "trip_count", "stop_count", "changes", "source_timestamps_version", "source_timestamp_updates"]
+    rows = staged(_dealt(log.select(*by, *names), by))
+    at = [*by, "segment", "order", "poll_id"]
+    none = F.array().cast("array<array<string>>")
+    changes = F.coalesce("changes", F.array().cast(log.schema["changes"].dataType))
+    updates = F.coalesce("source_timestamp_updates", F.array().cast(log.schema["source_timestamp_updates"].dataType))
     baseline = F.col("kind") == "baseline"
-    follows = F.col("stream_id").eqNullSafe(F.lag("stream_id").over(w)) & F.col("sequence").eqNullSafe(F.lag("sequence").over(w) + 1)
-    supported = F.coalesce((F.col("version") == VERSION) & F.col("kind").isin("baseline", "delta"), F.lit(False))
     source = F.col("source_timestamps_version")
-    trips = F.transform(F.coalesce("changes", F.array().cast(log.schema["changes"].dataType)), lambda c: c["trip"])
-    stops = F.flatten(F.transform("changes", lambda c: F.concat(F.coalesce(c["entered_stops"], F.array().cast("array<array<string>>")), F.coalesce(c["withdrawn_stops"], F.array().cast("array<array<string>>")))))
+    trips = F.transform(changes, lambda c: c["trip"])
+    stops = F.flatten(F.transform("changes", lambda c: F.concat(F.coalesce(c["entered_stops"], none), F.coalesce(c["withdrawn_stops"], none))))
     updated = F.transform("source_timestamp_updates", lambda u: u["trip"])
-    record = rows.withColumn("_rules", _broken([
+    each = lambda c: F.size(F.array_distinct(F.coalesce(c, none)))
+    net = lambda c: each(c["entered_stops"]) - each(c["withdrawn_stops"])
+    summed = lambda f: F.aggregate(changes, F.lit(0).cast("long"), lambda s, c: s + F.coalesce(f(c), F.lit(0)))
+    nets = {"_trips": summed(lambda c: c["trip_entered"].cast("int") - c["trip_withdrawn"].cast("int")), "_stops": summed(net)}
+
+    record = with_previous(rows.withColumns(nets), by, "_chunk", ["order"], F.struct("stream_id", "sequence", source.alias("source")), "_prev")
+    polls = rows.groupBy(*by, "poll_id").agg(F.min("order").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    record = joined(record, polls, by, "poll_id")
+    handed = record.groupBy(*by, "segment", "_chunk").agg(*[F.sum(c).alias(c) for c in nets])
+    before = Window.partitionBy(*by, "segment").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    handed = handed.select(*by, "segment", "_chunk", *[F.sum(c).over(before).alias(f"_before{c}") for c in nets]).filter("_before_trips is not null")
+    record = joined(record, handed, [*by, "segment"], "_chunk")
+    local = Window.partitionBy(*by, "_chunk", "segment").orderBy("order")
+    total = lambda c: F.coalesce(f"_before{c}", F.lit(0)) + F.sum(c).over(local)
+    follows = F.col("stream_id").eqNullSafe(F.col("_prev.v.stream_id")) & F.col("sequence").eqNullSafe(F.col("_prev.v.sequence") + 1)
+    supported = F.coalesce((F.col("version") == VERSION) & F.col("kind").isin("baseline", "delta"), F.lit(False))
+    record = record.withColumns({f"_all{c}": total(c) for c in nets}).withColumn("_rules", _broken([
         ("baseline_sequence", baseline & ~F.col("sequence").eqNullSafe(F.lit(1))), ("sequence_gap", ~baseline & ~F.coalesce(follows, F.lit(False))), ("unsupported_record", ~supported),
         ("trip_identity", F.exists(trips, lambda t: F.size(t) != trip_parts) | (F.size(F.array_distinct(trips)) < F.size(trips))), ("stop_identity", F.exists(stops, lambda s: F.size(s) != stop_parts)),
-        ("unsupported_source_timestamps", source.isNotNull() & (source != SOURCE_VERSION)), ("source_timestamps_without_baseline", ~baseline & source.isNotNull() & F.lag(source).over(w).isNull()),
-        ("invalid_source_timestamp", source.isNotNull() & ((F.size(F.array_distinct(updated)) < F.size(updated)) | F.exists("source_timestamp_updates", lambda u: u["timestamp"] < 0))), ("duplicate_poll", first),
+        ("membership_counts", ~F.col("trip_count").eqNullSafe(F.col("_all_trips")) | ~F.col("stop_count").eqNullSafe(F.col("_all_stops"))),
+        ("unsupported_source_timestamps", source.isNotNull() & (source != SOURCE_VERSION)), ("source_timestamps_without_baseline", ~baseline & source.isNotNull() & F.col("_prev.v.source").isNull()),
+        ("invalid_source_timestamp", source.isNotNull() & ((F.size(F.array_distinct(updated)) < F.size(updated)) | F.exists("source_timestamp_updates", lambda u: u["timestamp"] < 0))), ("duplicate_poll", F.col("order") > F.col("_first")),
     ]))
     if promised is not None:
         asked = promised.filter("presence_source_timestamps_version is not null").groupBy("poll_id").agg(F.max("presence_source_timestamps_version").alias("_asked"))
         lacking = F.col("_asked").isNotNull() & ~F.col("_asked").eqNullSafe(source)
         record = record.join(asked, "poll_id", "left").withColumn("_rules", F.when(lacking, F.array_append("_rules", _rule("promised_evidence"))).otherwise(F.col("_rules"))).drop("_asked")
-    change = rows.select(*at, source.alias("_source"), F.explode("changes").alias("c")).select(*at, "_source", "c.*")
+
+    told = lambda t: source.isNotNull() & F.coalesce(F.exists(updates, lambda u: u["trip"] == t), F.lit(False))
+    step = lambda t, enters, leaves, n, both, told, owed: F.struct(t.alias("trip"), enters.alias("enters"), leaves.alias("leaves"), n.alias("net"), both.alias("both"), told.alias("told"), owed.alias("owed"))
+    changed = F.transform(changes, lambda c: step(c["trip"], c["trip_entered"], c["trip_withdrawn"], net(c), F.size(F.array_intersect(c["entered_stops"], c["withdrawn_stops"])) > 0, told(c["trip"]), source.isNotNull()))
+    alone = F.filter(F.array_distinct(F.transform(F.when(source.isNotNull(), updates).otherwise(F.slice(updates, 1, 0)), lambda u: u["trip"])), lambda t: ~F.coalesce(F.array_contains(trips, t), F.lit(False)))
+    unknown = lambda kind: F.lit(None).cast(kind)
+    only_told = F.transform(alone, lambda t: step(t, unknown("boolean"), unknown("boolean"), unknown("int"), unknown("boolean"), F.lit(True), F.lit(False)))
+    move = lambda c, which, enters: F.transform(F.array_distinct(F.coalesce(c[which], none)), lambda s: F.struct(c["trip"].alias("trip"), s.alias("stop"), F.lit(enters).alias("enters")))
+    moved = lambda c: F.concat(move(c, "entered_stops", True), move(c, "withdrawn_stops", False))
+    steps, moves = F.concat(changed, only_told), F.flatten(F.transform(changes, moved))
+    many = rows.agg(F.sum(F.size(changes) + F.size(updates)).alias("steps"), F.sum(F.size(stops)).alias("moves")).first()
+    trip = rows.select(*at, F.inline(steps)).repartition(_parts(many.steps), *by, "segment", "trip")
     same_trip = Window.partitionBy(*by, "segment", "trip").orderBy("order")
-    present = F.coalesce(~F.lag("trip_withdrawn").over(same_trip), F.lit(False))
-    each = lambda c: F.size(F.array_distinct(F.coalesce(c, F.array().cast("array<array<string>>"))))
-    net = each("entered_stops") - each("withdrawn_stops")
-    kept = F.sum(net).over(same_trip)
-    trip_rules = change.withColumn("_rules", _broken([("trip_enters_twice", F.col("trip_entered") & present), ("not_preceding_membership", (~F.col("trip_entered") & ~present) | (F.size(F.array_intersect("entered_stops", "withdrawn_stops")) > 0)), ("withdrawn_trip_keeps_stops", F.col("trip_withdrawn") & (kept != 0))]))
-    moved = lambda c, enters: change.select(*at, "trip", F.explode(F.array_distinct(c)).alias("stop"), F.lit(enters).alias("enters"))
-    stop = moved("entered_stops", True).unionByName(moved("withdrawn_stops", False))
+    last = F.last(F.when(F.col("net").isNotNull(), F.struct("leaves")), ignorenulls=True).over(same_trip.rowsBetween(Window.unboundedPreceding, -1))
+    trip = trip.withColumns({"_present": F.coalesce(~last["leaves"], F.lit(False)), "_kept": F.sum("net").over(same_trip), "_here": F.coalesce(F.last(~F.col("leaves"), ignorenulls=True).over(same_trip), F.lit(False))})
+    trip = trip.withColumn("_rules", _broken([
+        ("trip_enters_twice", F.col("enters") & F.col("_present")), ("not_preceding_membership", (~F.col("enters") & ~F.col("_present")) | F.col("both")), ("withdrawn_trip_keeps_stops", F.col("leaves") & (F.col("_kept") != 0)),
+        ("invalid_source_timestamp", F.col("told") & ~F.col("_here")), ("source_timestamps_do_not_cover", F.col("owed") & F.col("enters") & F.col("_here") & ~F.col("told")),
+    ]))
+    stop = rows.select(*at, F.inline(moves)).repartition(_parts(many.moves), *by, "segment", "trip", "stop")
     was = F.coalesce(F.lag("enters").over(Window.partitionBy(*by, "segment", "trip", "stop").orderBy("order", "enters")), F.lit(False))
-    stop_rules = stop.withColumn("_rules", _broken([("not_preceding_membership", F.col("enters") == was)]))
-    nets = change.groupBy(*at).agg(F.sum(F.col("trip_entered").cast("int") - F.col("trip_withdrawn").cast("int")).alias("_trips"), F.sum(net).alias("_stops"))
-    whole = Window.partitionBy(*by, "segment").orderBy("order")
-    total = lambda c: F.sum(F.coalesce(c, F.lit(0))).over(whole)
-    counted = rows.select(*at, "trip_count", "stop_count").join(nets, at, "left")
-    count_rules = counted.withColumn("_rules", _broken([("membership_counts", ~F.col("trip_count").eqNullSafe(total("_trips")) | ~F.col("stop_count").eqNullSafe(total("_stops")))]))
-    told = rows.filter(source.isNotNull()).select(*at, F.explode("source_timestamp_updates").alias("u")).select(*at, "u.trip", F.lit(True).alias("_told")).distinct()
-    steps = change.select(*at, "trip", "trip_entered", (~F.col("trip_withdrawn")).alias("_here"), "_source").join(told, [*at, "trip"], "full_outer")
-    here = F.coalesce(F.last("_here", ignorenulls=True).over(same_trip), F.lit(False))
-    source_rules = steps.withColumn("_rules", _broken([("invalid_source_timestamp", F.col("_told") & ~here), ("source_timestamps_do_not_cover", F.col("_source").isNotNull() & F.col("trip_entered") & here & F.col("_told").isNull())]))
-    found = [x.filter(F.size("_rules") > 0).groupBy(*at).agg(F.min(F.array_min("_rules")).alias("_rule")) for x in (record, trip_rules, stop_rules, count_rules, source_rules)]
-    every = found[0]
-    for x in found[1:]:
-        every = every.unionByName(x)
-    worst = every.groupBy(*by, "segment").agg(F.min(F.struct("order", "_rule")).alias("_f")).select(*by, "segment", F.col("_f.order").alias("order"), F.get(F.array(*map(F.lit, RULES)), F.col("_f._rule")).alias("rule"))
-    return worst.join(rows.select(*at, "poll_id"), at)
+    stop = stop.withColumn("_rules", _broken([("not_preceding_membership", F.col("enters") == was)]))
+
+    least = F.min("_f").alias("_f")
+    found = [x.filter(F.size("_rules") > 0).select(*by, "segment", F.struct("order", F.array_min("_rules").alias("_rule"), "poll_id").alias("_f")).groupBy(*by, "segment").agg(least) for x in (record, trip, stop)]
+    worst = found[0].unionByName(found[1]).unionByName(found[2]).groupBy(*by, "segment").agg(least)
+    return worst.select(*by, "segment", F.col("_f.order").alias("order"), F.get(F.array(*map(F.lit, RULES)), F.col("_f._rule")).alias("rule"), F.col("_f.poll_id").alias("poll_id"))
 
 
 def trusted(log: DataFrame, by: list[str], found: DataFrame) -> DataFrame:

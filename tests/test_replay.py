@@ -149,3 +149,15 @@ def test_interval_coverage(spark):
     line = spark.range(50).select(F.lit("k").alias("trip"), F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     whole = replay.coverage(line, line.filter("a <> 7"), ["trip"], "a", "b").collect()
     assert [(r.reason, r.a, r.b) for r in whole] == [("uncovered", 7, 8)]
+
+
+def test_a_long_day_is_dealt_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(replay, "ROWS", 5)
+    rest = [record(i, "delta", i + 1, 1 + (i == 30), 2, []) for i in range(2, 40)]
+    again = [record(40, "baseline", 1, 1, 0, [change(B, enters=True)], updates=[(B, 1)], stream="s2")]
+    again += [record(i, "delta", i - 39, 1, 0, [], stream="s2", poll="p0" if i == 50 else None) for i in range(41, 60)]
+    log = spark.createDataFrame([BASE, NEXT, *rest, *again], SCHEMA)
+    most = max(r["count"] for r in replay._dealt(log, ["date"]).groupBy("_chunk").count().collect())
+    assert most <= 15
+    found = replay.faults(log, ["date"])
+    assert {(r.segment, r.order, r.rule, r.poll_id) for r in found.collect()} == {(1, 30, "membership_counts", "p30"), (2, 50, "duplicate_poll", "p0")}
