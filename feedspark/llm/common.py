@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,13 +49,51 @@ def materialize(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``materialize`` wrote of these tables, once nothing reads them any more."""
+    for x in tables:
+        path = x.sparkSession._jvm.org.apache.hadoop.fs.Path(x._written_at)
+        path.getFileSystem(x.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release() -> None:
+    """Gives the memory that this process has freed back to the system; workers live on, from one stage to the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """``run`` of one group, and ``release`` after a large one."""
+
+    @functools.wraps(run)
+    def wrapped(group: pa.Table) -> pa.Table:
+        try:
+            return run(group)
+        finally:
+            if group.nbytes > BATCH_BYTES // 8:
+                release()
+
+    return wrapped
 
 
 def in_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of BATCH_BYTES at most (and one row more)."""
+    """``mapInArrow`` with batches of BATCH_BYTES at most (and one row more); at a task's end its worker releases what it freed."""
     df.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(whole, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedspark.llm.common import BROADCAST_KEYS, NULL_ID, filter_rows, in_batches, materialize, order_id, table, text_of
+from feedspark.llm.common import BROADCAST_KEYS, NULL_ID, discard, filter_rows, in_batches, materialize, order_id, releasing, table, text_of
 from feedspark.llm.hashing import HASHES, rolled
 from feedspark.llm.simhash import components
 
@@ -42,6 +42,8 @@ SMALL, BLOCK = 16, 1024
 SLICE, COUNTED, TOLD = 1 << 20, np.uint64(1 << 62), 1 << 19
 #: A block whose sketches propose more pairs than this for each of its nodes is compared on full sets as a block.
 DENSE = 4
+#: Sets are copied to their pairs and blocks in passes of this many copies a node, or PASS_ROWS in all: what a pass shuffles is removed before the next.
+COPIES, PASS_ROWS = 3, 20_000
 #: Bits of a value that hold its hash; those above hold the logarithm of its count, 31 at most, so that a value is no negative number.
 HASH_BITS = np.uint64(58)
 
@@ -162,6 +164,16 @@ def _roots_of(entries: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
     return entries.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _in_passes(rows: DataFrame, key: list[str], nodes: int, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` over all rows, those of one key together, in passes whose copies of ``nodes`` sets are bounded by the sets themselves."""
+    passes = max(1, -(-rows.count() // max(PASS_ROWS, COPIES * nodes)))
+    done = [materialize(run(rows.filter(F.pmod(F.xxhash64(*key), F.lit(passes)) == i))) for i in range(passes)]
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: tuple[int, int], block: int) -> tuple[DataFrame, DataFrame]:
     """Of the components that meet in crowded lists, entries (k, node, size, before, root): pairs of nodes that pass the union sketch, and links of roots from dense blocks."""
     largest = entries.groupBy("k", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("root", "n").alias("big"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").drop("roots")
@@ -243,11 +255,13 @@ def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFra
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     dealt = materialize(dealt)
-    proposed = materialize(dealt.join(sketches, "node").groupBy(*key).applyInArrow(propose, "k long, rc string, ri int, cc string, ci int, a long, b long"))
-    dense = dealt.join(proposed.filter("a is null").select(*key), key, "left_semi")
+    proposed = _in_passes(dealt, key, sketches.count(), lambda x: x.join(sketches, "node").groupBy(*key).applyInArrow(releasing(propose), "k long, rc string, ri int, cc string, ci int, a long, b long"))
+    dense = materialize(dealt.join(proposed.filter("a is null").select(*key), key, "left_semi"))
     links = dealt.limit(0).select(F.col("root").alias("a"), F.col("root").alias("b"))
     if not dense.isEmpty():
-        links = dense.join(sets_of(dense.select("node")), "node").groupBy(*key).applyInArrow(check, "a long, b long")
+        sets = sets_of(dense.select("node"))
+        links = _in_passes(dense, key, sets.count(), lambda x: x.join(sets, "node").groupBy(*key).applyInArrow(releasing(check), "a long, b long"))
+        discard(sets)
     return proposed.filter("a is not null").select("a", "b"), links
 
 
@@ -293,11 +307,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     made = materialize(in_batches(rows, sketch, "doc_id long, text_key long, node long, size long, own long, keys array<long>"))
     first = F.min(F.struct(order_id("doc_id").alias("o"), F.col("text_key").alias("k")))
-    nodes = materialize((made if empty_alike else made.filter("size > 0")).groupBy("node").agg(first.alias("w"), F.first("size").alias("size"), F.first("own").alias("own"), F.first("keys").alias("keys")))
+    sketched = materialize((made if empty_alike else made.filter("size > 0")).groupBy("node").agg(first.alias("w"), F.first("size").alias("size"), F.first("own").alias("own"), F.first("keys").alias("keys")))
     packed = F.col("size") * 256 + F.floor(F.col("own") * 255 / F.greatest("size", F.lit(1)))  # the size, and the share of values of one's own
-    entries = nodes.select("node", packed.cast("long").alias("p"), F.explode("keys").alias("k"))
+    nodes, named_rows = materialize(sketched.drop("keys", "own")), materialize(made.drop("keys", "own"))
+    discard(made)
+    entries = sketched.select("node", packed.cast("long").alias("p"), F.explode("keys").alias("k"))
     counts = materialize(entries.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     lists = materialize(entries.join(counts, "k").select("k", "node", F.shiftright("p", 8).alias("size"), F.col("p").bitwiseAND(255).alias("own"), "n"))
+    discard(counts)
     crowds = lists.filter(F.col("n") > small)
     in_crowds = crowds.groupBy("node").agg(F.count(F.lit(1)).alias("crowded"))
     kept_of = lambda n: n + 1 - F.ceil(n * least[0] / F.lit(least[1]))
@@ -313,15 +330,19 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
-    def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs whose full sets are similar enough."""
+        sets = sets_of(ends(pairs))
         a, b = (sets.select(F.col("node").alias(c), F.col("s").alias(f"s_{c}")) for c in "ab")
-        return in_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b"), exact, "a long, b long")
+        got = _in_passes(pairs, ["a", "b"], sets.count(), lambda x: in_batches(x.join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b"), exact, "a long, b long"))
+        discard(sets)
+        return got
 
     central = lists.groupBy("k").agg(F.min(F.struct("own", "node", "size")).alias("x"))
     met = lists.join(central, "k").filter((F.col("x.node") != F.col("node")) & can(F.col("size"), F.col("x.size")))
     met = met.groupBy(*_pairs(F.col("x.node"), F.col("node"))).agg(F.count(F.lit(1)).alias("shared"), F.max(needed(F.col("size"), F.col("x.size"))).alias("needed")).filter("shared >= needed").select("a", "b")
     pairs = materialize(met if also is None else met.unionByName(also).distinct())
-    roots = components(linked(pairs, sets_of(ends(pairs))))
+    roots = components(linked(pairs))
     n_roots = roots.count()
     here = _roots_of(lists, roots, n_roots)
     apart = here.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("k")
@@ -337,16 +358,17 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         upto = F.array_sort(F.collect_list("k"))
         before = crowds.groupBy("node").agg(upto.alias("all")).select("node", "all", F.posexplode("all").alias("i", "k")).select("node", "k", F.when(F.col("i") > 0, F.col("all")[F.col("i") - 1]).alias("before"))
         crowded = materialize(open_lists.join(before, ["node", "k"]).select("k", "node", "size", "before", "root"))
-        met, dense = _blocked(crowded, nodes.select("node", "size", "keys"), sets_of, least, block)
+        met, dense = _blocked(crowded, sketched.select("node", "size", "keys"), sets_of, least, block)
         more = more.unionByName(met)
     more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"))
-    links = linked(more, sets_of(ends(more)))
-    links = materialize(links if dense is None else links.unionByName(dense))
+    discard(lists, here, sketched)
+    links = linked(more)
+    links = links if dense is None else links.unionByName(dense)
     if not links.isEmpty():
         roots = components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     named = _roots_of(nodes.select("node", "w"), roots, NULL_ID)
     least_of = named.groupBy("root").agg(F.min("w").alias("c"))
-    got = made.drop("keys", "own").join(named.join(least_of, "root").select("node", "c"), "node", "left")
+    got = named_rows.join(named.join(least_of, "root").select("node", "c"), "node", "left")
     mine = F.coalesce(F.col("c"), F.struct(order_id("doc_id").alias("o"), F.col("text_key").alias("k")))
     kept = (order_id("doc_id") == mine["o"]) & (F.col("text_key") == mine["k"])
     return got.select("doc_id", "text_key", F.col("size").alias("n_shingles"), F.nullif(mine["o"], F.lit(NULL_ID)).alias("component_id"), kept.alias("kept"))

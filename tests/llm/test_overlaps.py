@@ -112,3 +112,34 @@ def test_sketches_lose_no_pair():
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert overlaps.similar_sets(none).isEmpty() and similar.near_copies(none).isEmpty()
+
+
+def test_sets_are_copied_in_passes_and_removed(spark, monkeypatch):
+    monkeypatch.setattr(overlaps, "PASS_ROWS", 2)
+    monkeypatch.setattr(overlaps, "COPIES", 1)
+    r = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(40):
+        w = list(base)
+        for j in r.integers(0, 60, 1 + i % 4):
+            w[j] = f"x{r.integers(0, 9)}"
+        texts.append((i, " ".join(w)))
+    sizes, gone = [], []
+    pairs_of, discard = overlaps._in_passes, overlaps.discard
+
+    def passes(rows, key, nodes, run):
+        sizes.append(-(-rows.count() // max(2, nodes)))
+        return pairs_of(rows, key, nodes, run)
+
+    monkeypatch.setattr(overlaps, "_in_passes", passes)
+    monkeypatch.setattr(overlaps, "discard", lambda *t: (gone.extend(t), discard(*t)))
+    got = {x.doc_id: x.component_id for x in overlaps.similar_sets(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    sets = [sets_of(t, 3) for _, t in texts]
+    low = list(range(40))
+    for _ in range(40):
+        for i in range(40):
+            for j in range(40):
+                if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                    low[i] = low[j] = min(low[i], low[j])
+    assert got == dict(enumerate(low)) and max(sizes) > 1 and len(gone) >= 5
