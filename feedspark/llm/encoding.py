@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from feedspark.llm.hashing import HASHES
+
 #: Code points that some engine takes for white space. Cuts are made only at spaces beside none of these.
 WHITE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
 CUT = re.compile(f"(?<![{WHITE}]) (?![{WHITE}])")
@@ -94,7 +96,8 @@ _ENCODERS: dict[str, Encoder | None] = {}
 
 
 def encoder(path: str, limit: int = REMEMBERED) -> Encoder:
-    """One encoder for each worker process and file; its cache is cut to the limit of the last caller."""
+    """One encoder for each worker process and file; its cache is cut to the limit of the last caller. Word hashes of earlier stages go."""
+    HASHES.clear()
     own = _ENCODERS.setdefault(path, None) or Encoder(path, limit)
     _ENCODERS[path], own.limit = own, limit
     if len(own.known) > limit:
