@@ -7,7 +7,7 @@ import public_tokenizers as P
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from feedspark.llm.encoding import MARKS, TOGETHER, Encoder
+from feedspark.llm.encoding import MARKS, TOGETHER, Encoder, encoded, encoder
 
 BPE = P.path("byte_bpe_50k.json")
 PIECES = [
@@ -54,3 +54,15 @@ def test_other_vocabularies_are_encoded_alone():
     own = Encoder(BPE, 1_000_000)
     own.begins[:] = False  # as if no token spelled a space
     assert own.encode(pa.array(["one two\nthree four."])) == Encoder(BPE, 0).direct(["one two\nthree four."])
+
+
+def test_forgotten_words_are_encoded_together(monkeypatch):
+    """As packing encodes, batch after batch with a cache that the words exceed."""
+    texts = pa.array([f"head {' '.join(f'p{chr(97 + i % 26)}{i + 1_000 * k}' for i in range(1_000))}." for k in range(12)])
+    own = encoder(BPE, 100)
+    count = Counting(own.tokenizer)
+    monkeypatch.setattr(own, "tokenizer", count)
+    got = list(encoded(texts, BPE, size=20_000, limit=100))
+    assert count.texts <= 12 + 3 * 12
+    monkeypatch.undo()
+    assert got == own.direct(texts.to_pylist())
