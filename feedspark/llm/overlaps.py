@@ -7,8 +7,9 @@ retained value, whatever the order is, so the inverted lists of retained values
 
 1. Equal sets become one node. In each list the most central node (fewest values of its own) meets
    the others; links give first components.
-2. What is still apart is compared: in lists of up to SMALL nodes by pairs, with the number of
-   lists they share; in crowded lists in blocks of sketches, inside tasks. There the nodes outside the list's
+2. What is still apart is compared: in short lists by pairs, with the number of lists they share
+   (up to SMALL nodes; where more values are frequent than can be told to the tasks, also lists as long as
+   those of the values left out, up to PAIRED); in crowded lists in blocks of sketches, inside tasks. There the nodes outside the list's
    largest component meet all others, so a crowd that is one component is not compared again,
    and pairs that share the crowded value most nodes had before are left to its list.
 3. A pair passes the union sketch if its common retained values and all values
@@ -38,12 +39,18 @@ from feedspark.llm.simhash import components
 SHINGLE, LEAST = 3, (85, 100)
 #: Lists up to this size are compared by pairs; nodes of a block of a longer one (and 512 values a node on average).
 SMALL, BLOCK = 16, 1024
+#: Lists of values that were too many to be told are compared by pairs up to this size: a pair is a row of three numbers, a node in a block its whole sketch.
+PAIRED = 256
+#: Pairs of lists are counted in passes of this many a node (before sizes are compared).
+PAIRS = 256
 #: Values that are counted together before they leave a task; hashes below this are counted (a quarter; sketches reach a sixth); how many frequent values are told to the tasks.
 SLICE, COUNTED, TOLD = 1 << 20, np.uint64(1 << 62), 1 << 19
 #: A block whose sketches propose more pairs than this for each of its nodes is compared on full sets as a block.
 DENSE = 4
-#: Sets are copied to their pairs and blocks in passes of this many copies a node, or PASS_ROWS in all: what a pass shuffles is removed before the next.
+#: Sets are copied to their pairs and blocks in passes of this many copies a node, or PASS_ROWS in all, counted in sets of mean size: what a pass shuffles is removed before the next.
 COPIES, PASS_ROWS = 3, 20_000
+#: Full sets are so many times as large as sketches (about): their copies in a pass are fewer by this.
+FULL = 8
 #: Bits of a value that hold its hash; those above hold the logarithm of its count, 31 at most, so that a value is no negative number.
 HASH_BITS = np.uint64(58)
 
@@ -164,9 +171,7 @@ def _roots_of(entries: DataFrame, roots: DataFrame, n_roots: int) -> DataFrame:
     return entries.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _in_passes(rows: DataFrame, key: list[str], nodes: int, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``run`` over all rows, those of one key together, in passes whose copies of ``nodes`` sets are bounded by the sets themselves."""
-    passes = max(1, -(-rows.count() // max(PASS_ROWS, COPIES * nodes)))
+def _passes(rows: DataFrame, key: list[str], passes: int, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
     done = [materialize(run(rows.filter(F.pmod(F.xxhash64(*key), F.lit(passes)) == i))) for i in range(passes)]
     out = done[0]
     for more in done[1:]:
@@ -174,8 +179,21 @@ def _in_passes(rows: DataFrame, key: list[str], nodes: int, run: Callable[[DataF
     return out
 
 
-def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: tuple[int, int], block: int) -> tuple[DataFrame, DataFrame]:
-    """Of the components that meet in crowded lists, entries (k, node, size, before, root): pairs of nodes that pass the union sketch, and links of roots from dense blocks."""
+def _in_passes(rows: DataFrame, key: list[str], nodes: int, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``run`` over all rows, those of one key together, in passes that copy at most COPIES * ``nodes`` sets of mean size; a row copies ``weight`` of them.
+
+    Long sets are in more lists than short ones, so that copies are several times as large as sets are on average."""
+    copies = rows.agg(F.ceil(F.sum("weight"))).first()[0] or 0
+    return _passes(rows, key, max(1, -(-copies // max(PASS_ROWS, COPIES * nodes))), run)
+
+
+def paired(known: np.ndarray, rank: np.ndarray, small: int) -> int:
+    """Up to which size lists are compared by pairs: ``small``, or the count of the rarest value that was told if there was no room for others."""
+    return small if len(known) < TOLD else min(max(small, 2 << int(rank.min())), max(small, PAIRED))
+
+
+def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFrame], DataFrame], least: tuple[int, int], block: int, total: int, mean: float) -> tuple[DataFrame, DataFrame]:
+    """Of the components that meet in crowded lists, entries (k, node, size, before, root): pairs of nodes that pass the union sketch, and links of roots from dense blocks. ``total`` nodes have sets of ``mean`` values."""
     largest = entries.groupBy("k", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("root", "n").alias("big"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").drop("roots")
     usual = entries.filter(F.col("before").isNotNull()).groupBy("k", "before").agg(F.count(F.lit(1)).alias("n")).groupBy("k").agg(F.max_by("before", "n").alias("usual"))
     kind = F.when(F.col("root") != F.col("big"), F.when(F.col("usual").isNull() | ~F.col("before").eqNullSafe(F.col("usual")), "OA").otherwise("OB")).when(F.col("usual").isNull() | ~F.col("before").eqNullSafe(F.col("usual")), "SA").otherwise("SB")
@@ -196,7 +214,7 @@ def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFra
     ob = F.concat(as_column("OA", "OB", upto(n["OA"])), as_row("OB", "SA", upto(n["SA"])))
     sa = F.concat(as_column("OA", "SA", upto(n["OA"])), as_column("OB", "SA", upto(n["OB"])))
     places = F.when(F.col("c") == "OA", oa).when(F.col("c") == "OB", ob).when(F.col("c") == "SA", sa).otherwise(as_column("OA", "SB", upto(n["OA"])))
-    dealt = here.join(shape, "k").withColumn("i", i).select("k", "node", "root", F.inline(places))
+    dealt = here.join(shape, "k").withColumn("i", i).select("k", "node", "root", (F.col("size") / mean).alias("weight"), F.inline(places))
 
     key = ["k", "rc", "ri", "cc", "ci"]
     none = pa.array([], pa.int64())
@@ -255,12 +273,12 @@ def _blocked(entries: DataFrame, sketches: DataFrame, sets_of: Callable[[DataFra
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     dealt = materialize(dealt)
-    proposed = _in_passes(dealt, key, sketches.count(), lambda x: x.join(sketches, "node").groupBy(*key).applyInArrow(releasing(propose), "k long, rc string, ri int, cc string, ci int, a long, b long"))
+    proposed = _in_passes(dealt, key, total, lambda x: x.drop("weight").join(sketches, "node").groupBy(*key).applyInArrow(releasing(propose), "k long, rc string, ri int, cc string, ci int, a long, b long"))
     dense = materialize(dealt.join(proposed.filter("a is null").select(*key), key, "left_semi"))
     links = dealt.limit(0).select(F.col("root").alias("a"), F.col("root").alias("b"))
     if not dense.isEmpty():
         sets = sets_of(dense.select("node"))
-        links = _in_passes(dense, key, sets.count(), lambda x: x.join(sets, "node").groupBy(*key).applyInArrow(releasing(check), "a long, b long"))
+        links = _in_passes(dense, key, total // FULL, lambda x: x.drop("weight").join(sets, "node").groupBy(*key).applyInArrow(releasing(check), "a long, b long"))
         discard(sets)
     return proposed.filter("a is not null").select("a", "b"), links
 
@@ -315,7 +333,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = materialize(entries.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     lists = materialize(entries.join(counts, "k").select("k", "node", F.shiftright("p", 8).alias("size"), F.col("p").bitwiseAND(255).alias("own"), "n"))
     discard(counts)
-    crowds = lists.filter(F.col("n") > small)
+    total, mean = nodes.agg(F.count(F.lit(1)), F.greatest(F.lit(1.0), F.avg("size"))).first()
+    upto = paired(*told.value, small)
+    crowds = lists.filter(F.col("n") > upto)
     in_crowds = crowds.groupBy("node").agg(F.count(F.lit(1)).alias("crowded"))
     kept_of = lambda n: n + 1 - F.ceil(n * least[0] / F.lit(least[1]))
     rest = lambda n: n - kept_of(n)
@@ -334,7 +354,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         """Those of the pairs whose full sets are similar enough."""
         sets = sets_of(ends(pairs))
         a, b = (sets.select(F.col("node").alias(c), F.col("s").alias(f"s_{c}")) for c in "ab")
-        got = _in_passes(pairs, ["a", "b"], sets.count(), lambda x: in_batches(x.join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b"), exact, "a long, b long"))
+        copied = pairs.join(nodes.select(F.col("node").alias("a"), (F.col("size") / mean).alias("weight")), "a")
+        got = _in_passes(copied, ["a", "b"], total // FULL, lambda x: in_batches(x.drop("weight").join(a, "a").join(b, "b").select("a", "b", "s_a", "s_b"), exact, "a long, b long"))
         discard(sets)
         return got
 
@@ -347,18 +368,19 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     here = _roots_of(lists, roots, n_roots)
     apart = here.groupBy("k").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("k")
     here = materialize(here.join(apart, "k", "left_semi").join(in_crowds, "node", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0))))
-    few = here.filter(F.col("n") <= small).groupBy("k").agg(F.collect_list(F.struct("root", "node", "size", "crowded")).alias("g"))
+    short = here.filter(F.col("n") <= upto)
+    few = short.groupBy("k").agg(F.collect_list(F.struct("root", "node", "size", "crowded")).alias("g"))
     meet = lambda x, y: (x["root"] < y["root"]) & can(x["size"], y["size"])
     pair = lambda x, y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b"), (needed(x["size"], y["size"]) - F.least(x["crowded"], y["crowded"])).alias("needed"))
     across = F.flatten(F.transform("g", lambda x: F.transform(F.filter("g", lambda y: meet(x, y)), lambda y: pair(x, y))))
-    shared = few.select(F.explode(across).alias("p")).select("p.*").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("needed").alias("needed"))
-    more, dense = shared.filter("shared >= needed").select("a", "b"), None
-    open_lists = here.filter(F.col("n") > small)
+    several = lambda x: x.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("needed").alias("needed")).filter("shared >= needed").select("a", "b")
+    compared = short.agg(F.ceil(F.sum((F.col("n") - 1) / 2))).first()[0] or 0
+    more, dense = _passes(few.select(F.explode(across).alias("p")).select("p.*"), ["a", "b"], max(1, -(-compared // (PAIRS * max(1, total)))), several), None
+    open_lists = here.filter(F.col("n") > upto)
     if not open_lists.isEmpty():
-        upto = F.array_sort(F.collect_list("k"))
-        before = crowds.groupBy("node").agg(upto.alias("all")).select("node", "all", F.posexplode("all").alias("i", "k")).select("node", "k", F.when(F.col("i") > 0, F.col("all")[F.col("i") - 1]).alias("before"))
+        before = crowds.groupBy("node").agg(F.array_sort(F.collect_list("k")).alias("all")).select("node", "all", F.posexplode("all").alias("i", "k")).select("node", "k", F.when(F.col("i") > 0, F.col("all")[F.col("i") - 1]).alias("before"))
         crowded = materialize(open_lists.join(before, ["node", "k"]).select("k", "node", "size", "before", "root"))
-        met, dense = _blocked(crowded, sketched.select("node", "size", "keys"), sets_of, least, block)
+        met, dense = _blocked(crowded, sketched.select("node", "size", "keys"), sets_of, least, block, total, mean)
         more = more.unionByName(met)
     more = materialize(more.distinct().join(pairs, ["a", "b"], "left_anti"))
     discard(lists, here, sketched)

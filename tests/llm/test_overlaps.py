@@ -143,3 +143,31 @@ def test_sets_are_copied_in_passes_and_removed(spark, monkeypatch):
                 if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
                     low[i] = low[j] = min(low[i], low[j])
     assert got == dict(enumerate(low)) and max(sizes) > 1 and len(gone) >= 5
+
+
+def test_copies_are_counted_in_sets_of_mean_size(spark, monkeypatch):
+    monkeypatch.setattr(overlaps, "PASS_ROWS", 10)
+    passes = []
+    rows = spark.range(40).selectExpr("id AS k", "5D AS weight")
+    got = overlaps._in_passes(rows, ["k"], 1, lambda x: (passes.append(x), x.select("k"))[1])
+    assert len(passes) == 20 and sorted(x.k for x in got.collect()) == list(range(40))
+
+
+def test_values_that_were_not_told_propose_few_pairs_and_copies(spark, monkeypatch):
+    """Phrases of about 20 of 200 texts each: more frequent values than there is room for."""
+    monkeypatch.setattr(overlaps, "TOLD", 4)
+    monkeypatch.setattr(overlaps, "PAIRS", 128)
+    r = np.random.default_rng(8)
+    phrases = [" ".join(f"p{i}w{j}" for j in range(6)) for i in range(400)]
+    texts = [" ".join(phrases[j] for j in r.choice(400, 40, replace=False)) for _ in range(200)]
+    texts += [f"{t} more{i}" for i, t in enumerate(texts[:20])]
+    rows, copied, real = list(enumerate(texts)), [], overlaps._in_passes
+
+    def passes(some, key, nodes, run):
+        copied.append(some.count())
+        return real(some, key, nodes, run)
+
+    monkeypatch.setattr(overlaps, "_in_passes", passes)
+    got = {x.doc_id: x.component_id for x in overlaps.similar_sets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: low for (i, _), low in brute(rows, 3, 85, 100).items()}
+    assert sum(copied) < 1000
